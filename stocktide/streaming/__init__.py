@@ -1,0 +1 @@
+"""Left empty on purpose: the inventory holds no streaming operator, late data is a flag on the batch feed."""
