@@ -58,8 +58,12 @@ def asof_join(
     attrs: Mapping[str, str],
     valid_from: str = "valid_from",
     tie: str = "version_no",
+    days_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join of each fact to the last version with ``valid_from <= fact_ts``; highest ``tie`` at equal times."""
+    """Left join of each fact to the last version with ``valid_from <= fact_ts``; highest ``tie`` at equal times.
+
+    ``days_from`` is a cheaper frame that holds at least the keys and times of ``facts``.
+    """
     usable = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull())
     marked_versions = usable.select(
         _chunk(F.col(version_key), F.col(valid_from)).alias("_chunk"),
@@ -86,7 +90,8 @@ def asof_join(
     )
 
     # One row per (key, day): days that have facts ask, days that have versions answer.
-    asked = marked_facts.select("_chunk").distinct()
+    source = facts if days_from is None else days_from
+    asked = source.select(_chunk(F.col(fact_key), F.col(fact_ts)).alias("_chunk")).distinct()
     answers = marked_versions.groupBy("_chunk").agg(F.max(F.struct("_at", "_tie", "_version")).alias("_last"))
     earlier = Window.partitionBy("_chunk.k").orderBy("_chunk.d").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -9,7 +9,7 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktide.operators.asof import asof_join, range_join, versions_fit
+from stocktide.operators.asof import range_join, versions_fit
 from stocktide.plans import dq, finance, marts, staging
 from stocktide.sources import feeds as scans
 from stocktide.sources import sample, schemas
@@ -23,18 +23,36 @@ LAYOUT = {
 }
 
 
+class Frames(Mapping):
+    """Frames by name, each composed when it is first asked for."""
+
+    def __init__(self, sources: Mapping[str, Callable[[], DataFrame]]):
+        self._sources, self._made = dict(sources), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._sources[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._sources)
+
+    def __len__(self):
+        return len(self._sources)
+
+
 @dataclass(frozen=True)
 class Feeds:
-    """Raw feeds by name plus the reference frames."""
+    """Raw feeds by feed name, and the reference frames: uom, warehouses, carriers, legacy, manifest, calendar and
+    feed_calendar, the days on which the feeds are expected."""
 
     raw: Mapping[str, DataFrame]
-    uom: DataFrame
-    warehouses: DataFrame
-    carriers: DataFrame
-    legacy: DataFrame
-    manifest: DataFrame
-    calendar: DataFrame
-    feed_calendar: DataFrame  # days on which the feeds are expected
+    reference: Mapping[str, DataFrame]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.reference:
+            raise AttributeError(name)
+        return self.reference[name]
 
     @staticmethod
     def delivered(spark: SparkSession, root: str, skip_files: tuple[str, ...] = ()) -> Feeds:
@@ -42,43 +60,46 @@ class Feeds:
         absent = scans.missing_inputs(spark, root)
         if absent:
             raise FileNotFoundError("inputs not found: " + ", ".join(absent))
-        reference = partial(scans.scan_reference, spark, root)
-        calendar = marts.dim_calendar(reference("fiscal_calendar"))
-        return Feeds(
-            raw={n: scans.scan_feed(spark, root, n, skip_files=skip_files) for n in schemas.FEEDS},
-            uom=reference("uom_conversion"),
-            warehouses=reference("warehouse_master"),
-            carriers=reference("carrier_master"),
-            legacy=reference("legacy_finance_weekly_report"),
-            manifest=scans.scan_manifest(spark, root),
-            calendar=calendar,
-            feed_calendar=calendar,
-        )
+        read = partial(partial, scans.scan_reference, spark, root)
+
+        def calendar() -> DataFrame:
+            return marts.dim_calendar(read("fiscal_calendar")())
+
+        raw = {n: partial(scans.scan_feed, spark, root, n, skip_files=skip_files) for n in schemas.FEEDS}
+        reference = {
+            "uom": read("uom_conversion"), "warehouses": read("warehouse_master"), "carriers": read("carrier_master"),
+            "legacy": read("legacy_finance_weekly_report"), "manifest": partial(scans.scan_manifest, spark, root),
+            "calendar": calendar, "feed_calendar": calendar,
+        }
+        return Feeds(Frames(raw), Frames(reference))
 
     @staticmethod
     def from_tables(spark: SparkSession, sf_dir: str) -> Feeds:
         """The same shapes derived from the given tables."""
-        get = partial(sample.feed, spark, sf_dir)
-        orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-        events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        traded = orders.agg(
-            F.min("o_orderdate").alias("first_day"), F.date_add(F.to_date(F.max("o_orderdate")), 5).alias("last_day")
-        )
-        observed = events.agg(F.min("ts").alias("first_day"), F.max("ts").alias("last_day"))
         adapters = {
             "pos_transactions": "feed_pos", "reefer_telemetry": "feed_telemetry", "wms_scan_events": "feed_wms",
             "erp_cdc/outlet_master": "feed_outlet", "erp_cdc/product_master": "feed_product",
             "erp_cdc/sales_order_header": "feed_order",
         }
+        references = {
+            "uom": "ref_uom", "warehouses": "ref_warehouse", "carriers": "ref_carrier", "legacy": "ref_legacy",
+            "manifest": "ref_manifest",
+        }
+        get = partial(partial, sample.feed, spark, sf_dir)
+
+        def traded() -> DataFrame:
+            first, last = F.min("o_orderdate"), F.date_add(F.to_date(F.max("o_orderdate")), 5)
+            orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+            return marts.calendar_between(orders.agg(first.alias("first_day"), last.alias("last_day")))
+
+        def observed() -> DataFrame:
+            events = spark.read.parquet(f"{sf_dir}/events.parquet")
+            return marts.calendar_between(events.agg(F.min("ts").alias("first_day"), F.max("ts").alias("last_day")))
+
+        reference = {n: get(a) for n, a in references.items()}
         return Feeds(
-            raw={n: get(a) for n, a in adapters.items()},
-            uom=get("ref_uom"),
-            warehouses=get("ref_warehouse"),
-            carriers=get("ref_carrier"),
-            legacy=get("ref_legacy"),
-            manifest=get("ref_manifest"),
-            calendar=marts.calendar_between(traded),
-            feed_calendar=marts.calendar_between(observed),
+            Frames({n: get(a) for n, a in adapters.items()}),
+            Frames({**reference, "calendar": traded, "feed_calendar": observed}),
         )
 
 
@@ -196,7 +217,7 @@ class Models:
     @cached_property
     def rpt_sales_flat(self) -> DataFrame:
         """A view: never stored. Stored dimensions are measured first and broadcast only if they fit."""
-        join = asof_join
+        join = None
         if self.store and versions_fit(self.dim_outlet, "outlet_code") and versions_fit(self.dim_product, "sku_code"):
             join = range_join
         return marts.rpt_sales_flat(

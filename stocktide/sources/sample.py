@@ -210,8 +210,48 @@ SELECT 'wms_scan_events', 'dt=' || CAST(dt AS STRING), CAST(2 AS BIGINT), count(
 FROM feed_wms GROUP BY dt
 """
 
+# Questions: the user turns of the conversations, and one composed question per order with a period phrase.
 SQL["questions"] = """
 SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'
+UNION ALL
+SELECT -1 - o.o_orderkey, CAST(0 AS BIGINT),
+       CASE o.o_orderkey % 19
+         WHEN 0 THEN 'Gross sales by channel'
+         WHEN 1 THEN 'What were net sales & baskets by month?'
+         WHEN 2 THEN 'Revenue for category ' || o.o_orderpriority
+         WHEN 3 THEN 'Units sold'
+         WHEN 4 THEN 'How many units in eaches'
+         WHEN 5 THEN 'Top 10 SKUs and outlets'
+         WHEN 6 THEN 'How does that reconcile with the FINANCE report'
+         WHEN 7 THEN 'Order value by source system'
+         WHEN 8 THEN 'Excursion rate'
+         WHEN 9 THEN 'Gateway outage and missing readings'
+         WHEN 10 THEN 'Which days have missing data in any feed?'
+         WHEN 11 THEN 'Dock-to-dispatch cycle time by warehouse'
+         WHEN 12 THEN 'Excursion rate by carrier'
+         WHEN 13 THEN 'Which outlets changed channel'
+         WHEN 14 THEN 'Order tax and net value'
+         WHEN 15 THEN 'What share of chilled trips breached temperature'
+         WHEN 16 THEN 'Turnover by regional zone'
+         WHEN 17 THEN 'Tell me a story about ' || c.c_name
+         ELSE 'Sales: quarterly, by channel (' || c.c_mktsegment || ')' END
+       || ' ' ||
+       CASE o.o_orderkey % 13
+         WHEN 0 THEN 'last quarter'
+         WHEN 1 THEN 'last complete quarter'
+         WHEN 2 THEN 'previous quarter'
+         WHEN 3 THEN 'last 7 days'
+         WHEN 4 THEN 'in the last 30 days'
+         WHEN 5 THEN 'last 90 days!'
+         WHEN 6 THEN 'last month'
+         WHEN 7 THEN 'this month'
+         WHEN 8 THEN 'last year'
+         WHEN 9 THEN 'over all time'
+         WHEN 10 THEN 'FY' || substr(CAST(o.o_orderdate AS STRING), 3, 2) || ' Q' || CAST(1 + o.o_custkey % 4 AS STRING)
+         WHEN 11 THEN CASE o.o_custkey % 4 WHEN 0 THEN 'in June ' WHEN 1 THEN 'sept ' WHEN 2 THEN 'February ' ELSE 'Dec ' END
+                      || substr(CAST(o.o_orderdate AS STRING), 1, 4)
+         ELSE '' END
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """
 
 
