@@ -2,7 +2,8 @@
 
 Two plans give the same rows. ``asof_join`` never pairs a fact with more than one version: facts and versions
 of one (key, day) are merged in time order and the last version seen is carried forward; the version in force
-at the start of a day comes from one row per (key, day). A hot key is spread over its days. ``range_join`` ships
+at the start of a day is found among one row per (key, day) and merged in as the day's first row. The facts are
+exchanged once and a hot key is spread over its days. ``range_join`` ships
 the versions to every task and is for tables that ``versions_fit`` has measured.
 """
 
@@ -65,48 +66,50 @@ def asof_join(
     ``days_from`` is a cheaper frame that holds at least the keys and times of ``facts``.
     """
     usable = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull())
+    header, version, fact = 0, 1, 2
     marked_versions = usable.select(
         _chunk(F.col(version_key), F.col(valid_from)).alias("_chunk"),
+        F.lit(version).alias("_kind"),
         F.col(valid_from).alias("_at"),
         F.col(tie).cast("long").alias("_tie"),
-        F.lit(False).alias("_is_fact"),
         F.struct(*[F.col(source).alias(out) for out, source in attrs.items()]).alias("_version"),
     )
     marked_facts = facts.select(
         "*",
         _chunk(F.col(fact_key), F.col(fact_ts)).alias("_chunk"),
+        F.lit(fact).alias("_kind"),
         F.col(fact_ts).alias("_at"),
-        F.lit(True).alias("_is_fact"),
     )
-    in_time = (
-        Window.partitionBy("_chunk")
-        .orderBy(F.asc_nulls_first("_at"), "_is_fact", "_tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    same_day = (
-        marked_facts.unionByName(marked_versions, allowMissingColumns=True)
-        .withColumn("_seen", F.last("_version", ignorenulls=True).over(in_time))
-        .where("_is_fact")
-    )
-
-    # One row per (key, day): days that have facts ask, days that have versions answer.
+    # One row per (key, day): days that have facts ask, days that have versions answer with their last one. The
+    # answer in force at the start of a day opens the day as a header.
     source = facts if days_from is None else days_from
     asked = source.select(_chunk(F.col(fact_key), F.col(fact_ts)).alias("_chunk")).distinct()
     answers = marked_versions.groupBy("_chunk").agg(F.max(F.struct("_at", "_tie", "_version")).alias("_last"))
-    earlier = Window.partitionBy("_chunk.k").orderBy("_chunk.d").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
+    # Within one day the question stands before the answer, so it only sees earlier days.
+    earlier_days = (
+        Window.partitionBy("_chunk.k")
+        .orderBy("_chunk.d", F.col("_asked").isNull())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    headers = (
         asked.select("_chunk", F.lit(True).alias("_asked"))
         .unionByName(answers, allowMissingColumns=True)
-        .groupBy("_chunk")
-        .agg(F.max("_asked").alias("_asked"), F.max("_last").alias("_last"))
-        .select("_chunk", "_asked", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-        .where("_asked")
-        .select("_chunk", F.col("_carried._version").alias("_before"))
+        .select("_chunk", "_asked", F.last("_last", ignorenulls=True).over(earlier_days).alias("_carried"))
+        .where("_asked AND _carried IS NOT NULL")
+        .select("_chunk", F.lit(header).alias("_kind"), F.col("_carried._version").alias("_version"))
+    )
+    in_time = (
+        Window.partitionBy("_chunk")
+        .orderBy(F.col("_kind") != header, F.asc_nulls_first("_at"), "_kind", "_tie")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = F.coalesce("_seen", "_before")
-    return same_day.join(carried, "_chunk", "left").select(
-        *[F.col(c) for c in facts.columns],
-        *[found.getField(out).alias(out) for out in attrs],
+    found = F.col("_found")
+    return (
+        marked_facts.unionByName(marked_versions, allowMissingColumns=True)
+        .unionByName(headers, allowMissingColumns=True)
+        .withColumn("_found", F.last("_version", ignorenulls=True).over(in_time))
+        .where(F.col("_kind") == fact)
+        .select(*facts.columns, *[found.getField(out).alias(out) for out in attrs])
     )
 
 

@@ -1,11 +1,10 @@
 """Change-log operators: version numbers, validity windows, deletions, canonical snapshots.
 
 An ordered window over one entity would put the whole history of a hot entity into one task. The windows here
-run over (entity, day) instead, and one row per (entity, day) carries what a day needs from its neighbours:
-the number of versions before it, the next day's first change, whether the entity was ever deleted. A window
-over one entity then sees days, never changes.
-
-Keys are wrapped in structs so that rows with a NULL key or NULL time still meet their own kind.
+run over (entity, day) instead. What a day needs from its neighbours (the number of changes before it, the next
+day's first change, whether the entity was ever deleted) is computed from one row per (entity, day) and travels
+as an extra row of that day, sorted to its start or end, so the wide rows are exchanged once and joined to
+nothing. A window over one entity sees days, never changes.
 """
 
 from __future__ import annotations
@@ -29,51 +28,45 @@ def version_history(
 ) -> DataFrame:
     """One row per (key, seq) with ``version_no``, the position of the change among the raw rows of its key.
 
-    Numbers are given before copies of a (key, seq) are dropped, so a dropped copy leaves a gap. Copies collapse
-    into a count before the exchange.
+    Numbers are given before copies of a (key, seq) are dropped, so a dropped copy leaves a gap. Exact copies
+    collapse into a count before the exchange. Of the copies of a (key, seq) the one that arrived first stays.
     """
     others = [c for c in raw.columns if c not in (key, op_ts, seq, arrived)]
-    ident = F.struct(F.col(key).alias("k"), F.col(op_ts).alias("t"), F.col(seq).alias("s"))
+    header, marker, change = 0, 1, 2
 
-    changes = raw.groupBy(ident.alias("_id")).agg(
-        F.count(F.lit(1)).alias("_copies"), F.min(F.struct(arrived, *others)).alias("_row")
+    changes = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_copies")).select(
+        "*", day_chunk(key, op_ts).alias("_chunk"), F.lit(change).alias("_kind")
     )
-    # The copy of a (key, seq) that arrived first is the one to keep.
-    keepers = (
-        raw.groupBy(F.struct(F.col(key).alias("k"), F.col(seq).alias("s")).alias("_ks"))
+    # A marker stands before the (time, seq) that is to be kept for each (key, seq).
+    markers = (
+        raw.groupBy(key, seq)
         .agg(F.min(F.struct(F.col(arrived).alias("a"), F.col(op_ts).alias("t"))).alias("_first"))
-        .select(F.struct("_ks.k", "_first.t", "_ks.s").alias("_id"), F.lit(True).alias("_keep"))
-    )
-    flagged = changes.join(keepers, "_id", "left").select(
-        F.col("_id.k").alias(key),
-        F.col("_id.t").alias(op_ts),
-        F.col("_id.s").alias(seq),
-        "_copies",
-        "_row",
-        F.coalesce("_keep", F.lit(False)).alias("_keep"),
+        .select(key, F.col("_first.t").alias(op_ts), seq)
+        .select("*", F.lit(0).alias("_copies"), day_chunk(key, op_ts).alias("_chunk"), F.lit(marker).alias("_kind"))
     )
-    chunked = flagged.withColumn("_chunk", day_chunk(key, op_ts))
-
-    per_day = (
+    # A header opens each day with the number of changes on the days before it.
+    earlier_days = Window.partitionBy("_chunk.k").orderBy("_chunk.d").rowsBetween(Window.unboundedPreceding, -1)
+    headers = (
         raw.groupBy(day_chunk(key, op_ts).alias("_chunk"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_chunk",
-            F.sum("_n").over(Window.partitionBy("_chunk.k").orderBy("_chunk.d").rowsBetween(
-                Window.unboundedPreceding, -1)).alias("_before"),
-        )
+        .select("_chunk", F.sum("_n").over(earlier_days).alias("_copies"), F.lit(header).alias("_kind"))
+        .where("_copies IS NOT NULL")
     )
-    in_day = (
-        Window.partitionBy("_chunk")
-        .orderBy(F.asc_nulls_last(op_ts), F.asc_nulls_last(seq))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    in_day = Window.partitionBy("_chunk").orderBy(
+        F.col("_kind") != header, F.asc_nulls_last(op_ts), F.asc_nulls_last(seq), "_kind",
+        *[F.asc_nulls_first(c) for c in (arrived, *others)],
     )
-    numbered = chunked.withColumn("_in_day", F.coalesce(F.sum("_copies").over(in_day), F.lit(0)))
-    ordered = [c if c in (key, op_ts, seq) else F.col(f"_row.{c}").alias(c) for c in raw.columns]
+    before = F.sum("_copies").over(in_day.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        numbered.where("_keep")
-        .join(per_day, "_chunk", "left")
-        .select(*ordered, (F.col("_in_day") + F.coalesce("_before", F.lit(0)) + 1).alias("version_no"))
+        changes.unionByName(markers, allowMissingColumns=True)
+        .unionByName(headers, allowMissingColumns=True)
+        .select(
+            *raw.columns, "_kind",
+            (F.coalesce(before, F.lit(0)) + 1).alias("version_no"),
+            F.lag("_kind").over(in_day).alias("_previous"),
+        )
+        .where((F.col("_kind") == change) & (F.col("_previous") == marker))
+        .drop("_kind", "_previous")
     )
 
 
@@ -85,27 +78,36 @@ def validity_windows(
     Once deleted an entity stays deleted, whatever change follows; two changes at one time leave a window of
     zero length for the earlier of them.
     """
-    chunked = history.withColumn("_chunk", day_chunk(key, op_ts))
+    chunked = history.select("*", day_chunk(key, op_ts).alias("_chunk"), F.lit(False).alias("_is_trailer"))
     by_key = Window.partitionBy("_chunk.k")
-    per_day = (
+    # A trailer closes each day with the entity's next change after the day and whether it was ever deleted.
+    trailers = (
         chunked.groupBy("_chunk")
         .agg(F.min(op_ts).alias("_first"), F.max(is_delete(op)).alias("_deleted"))
         .select(
             "_chunk",
-            F.lead("_first").over(by_key.orderBy("_chunk.d")).alias("_next_day"),
-            F.max("_deleted").over(by_key).alias("is_deleted"),
+            F.lead("_first").over(by_key.orderBy("_chunk.d")).alias(op_ts),
+            F.max("_deleted").over(by_key).alias("_gone"),
+            F.lit(True).alias("_is_trailer"),
         )
     )
-    in_day = Window.partitionBy("_chunk").orderBy(version)
-    joined = chunked.withColumn("_next", F.lead(op_ts).over(in_day)).join(per_day, "_chunk")
-    following = F.coalesce("_next", "_next_day")
-    return joined.select(
-        *history.columns,
-        "is_deleted",
-        F.col(op_ts).alias("valid_from"),
-        F.coalesce(following, F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
-        following.isNull().alias("is_last_version"),
-        (following.isNull() & ~F.col("is_deleted")).alias("is_current"),
+    in_day = Window.partitionBy("_chunk").orderBy("_is_trailer", version)
+    following = F.col("_next")
+    return (
+        chunked.unionByName(trailers, allowMissingColumns=True)
+        .select(
+            "*", F.lead(op_ts).over(in_day).alias("_next"),
+            F.max("_gone").over(Window.partitionBy("_chunk")).alias("_ever_gone"),
+        )
+        .where("NOT _is_trailer")
+        .select(
+            *history.columns,
+            F.col("_ever_gone").alias("is_deleted"),
+            F.col(op_ts).alias("valid_from"),
+            F.coalesce(following, F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
+            following.isNull().alias("is_last_version"),
+            (following.isNull() & ~F.col("_ever_gone")).alias("is_current"),
+        )
     )
 
 

@@ -1,13 +1,13 @@
 """Routing of a table of questions to the KPI library: one projection, no join and no shuffle.
 
-The registry is a short fixed list, so each intent becomes a score expression on the question.
+The registry is a short fixed list, so each intent becomes a score expression on the terms a question holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import add, and_, or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,73 +30,78 @@ def with_text(questions: DataFrame, text: str = "question") -> DataFrame:
     return questions.withColumn("normalised", normalised(text))
 
 
-def score(question: Column, intent: Intent) -> Column:
-    """Groups hit plus terms hit, or 0 when a group is missed or none of the optional terms occurs."""
-    hits = [_mentions(question, group) for group in intent.all_of]
-    terms = [question.contains(t) for t in intent.any_of]
-    points = F.lit(len(hits))
-    needed = list(hits)
-    if terms:
-        found = reduce(add, [t.cast("int") for t in terms])
-        points, needed = points + found, [*needed, found > 0]
-    return F.when(reduce(and_, needed), points).otherwise(0) if needed else F.lit(0)
+def _list(terms: Iterable[str]) -> Column:
+    return F.array(*[F.lit(t) for t in terms])
 
 
 def _mentions(question: Column, terms: Iterable[str]) -> Column:
     return reduce(or_, [question.contains(t) for t in terms])
 
 
+def score(hits: Column, intent: Intent) -> Column:
+    """Groups hit plus terms hit, or 0 when a group is missed or none of the optional terms occurs.
+
+    ``hits`` is the list of registry terms found in the question.
+    """
+    needed = [F.arrays_overlap(hits, _list(group)) for group in intent.all_of]
+    points = F.lit(len(needed))
+    if intent.any_of:
+        found = F.size(F.array_intersect(hits, _list(intent.any_of)))
+        points, needed = points + found, [*needed, found > 0]
+    return F.when(reduce(and_, needed), points).otherwise(0) if needed else F.lit(0)
+
+
+def with_scores(questions: DataFrame, intents: Sequence[Intent]) -> DataFrame:
+    """Normalised text, the registry terms it holds, and one score column per intent.
+
+    Terms are looked up in one loop over a literal list rather than as an expression each: a projection of some
+    hundred and fifty text tests would be too long a method to be compiled.
+    """
+    terms = list(dict.fromkeys(t for i in intents for group in (*i.all_of, i.any_of) for t in group))
+    found = with_text(questions).withColumn("_hits", F.filter(_list(terms), lambda t: F.contains("normalised", t)))
+    return found.withColumns({f"_s{i}": score(F.col("_hits"), n) for i, n in enumerate(intents)})
+
+
 def scored(questions: DataFrame, keys: Sequence[str], intents: Sequence[Intent] = INTENTS) -> DataFrame:
     """One row per question and intent that matches it."""
-    q = F.col("normalised")
     entries = F.array(
         *[
             F.struct(
-                F.lit(i).alias("position"), F.lit(intent.name).alias("intent"), score(q, intent).alias("score"),
+                F.lit(i).alias("position"), F.lit(intent.name).alias("intent"), F.col(f"_s{i}").alias("score"),
                 F.lit(intent.refused is not None).alias("refused"),
             )
             for i, intent in enumerate(intents)
         ]
     )
-    return with_text(questions).select(*keys, F.inline(entries)).where("score > 0")
+    return with_scores(questions, intents).select(*keys, F.inline(entries)).where("score > 0")
 
 
 def picked(questions: DataFrame, keys: Sequence[str], intents: Sequence[Intent] = INTENTS) -> DataFrame:
     """The intent that answers each question: refusals win, then the score, then registry order; else 'unknown'."""
-    q = F.col("normalised")
+    # One whole number ranks the intents: a refusal outweighs any score, a score any place in the registry.
     ranks = [
-        F.struct(
-            ((score(q, intent) > 0) & F.lit(intent.refused is not None)).alias("refused"),
-            score(q, intent).alias("score"),
-            F.lit(-i).alias("order"),
-        )
+        F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}") * 1000 - i + (1_000_000 if intent.refused else 0)).otherwise(0)
         for i, intent in enumerate(intents)
     ]
-    best = with_text(questions).withColumn("best", F.greatest(*ranks))
-    known = F.col("best.score") > 0
-    position = -F.col("best.order") + 1
-    names = F.array(*[F.lit(i.name) for i in intents])
-    chosen = F.when(known, F.get(names, position - 1)).otherwise(F.lit("unknown"))
-    return best.select(
+    best = with_scores(questions, intents).withColumn("_rank", F.greatest(*ranks))
+    place = best.withColumn(
+        "_place", F.when(F.col("_rank") > 0, F.pmod(-F.col("_rank"), F.lit(1000))).otherwise(F.lit(len(intents)))
+    )
+    unknown = Intent("unknown")
+    lookup = lambda value: F.get(F.array(*[F.lit(value(i)) for i in (*intents, unknown)]), F.col("_place"))
+    chosen = place.withColumn("intent", lookup(lambda i: i.name))
+    return chosen.select(
         *keys,
-        chosen.alias("intent"),
-        F.col("best.score").alias("score"),
-        F.col("best.refused").alias("refused"),
-        _by_intent(chosen, intents, lambda i: i.refused).alias("catalogue"),
-        _by_intent(chosen, intents, lambda i: ", ".join(i.kpi) or None).alias("kpi"),
-        _by_intent(chosen, intents, lambda i: i.reason).alias("reason"),
-        group_choice(F.col("normalised"), chosen, intents).alias("group_by"),
+        "intent",
+        F.get(F.array(*[F.col(f"_s{i}") for i in range(len(intents))], F.lit(0)), F.col("_place")).alias("score"),
+        lookup(lambda i: i.refused is not None).alias("refused"),
+        lookup(lambda i: i.refused).alias("catalogue"),
+        lookup(lambda i: ", ".join(i.kpi) or None).alias("kpi"),
+        lookup(lambda i: i.reason).alias("reason"),
+        group_choice(F.col("normalised"), F.col("intent"), intents).alias("group_by"),
     )
 
 
-def _by_intent(chosen: Column, intents: Sequence[Intent], value) -> Column:
-    chain = F.when(F.lit(False), F.lit(None).cast("string"))
-    for intent in intents:
-        if value(intent) is not None:
-            chain = chain.when(chosen == intent.name, F.lit(value(intent)))
-    return chain
-
-
 def group_choice(question: Column, chosen: Column, intents: Sequence[Intent] = INTENTS) -> Column:
     """First grouping of the chosen intent, in registry order, with a term in the question."""
     chain = F.when(F.lit(False), F.lit(None).cast("string"))
