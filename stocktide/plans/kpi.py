@@ -136,8 +136,11 @@ def units_in_eaches(sales: DataFrame, date_from: Day = FIRST_DAY, date_to: Day =
     )
 
 
-def top_products(flat: DataFrame, top_n: int = 10, date_from: Day = FIRST_DAY, date_to: Day = LAST_DAY) -> DataFrame:
-    """Best sellers. The share is of the whole window, so its total is taken before the limit."""
+def top_products(
+    flat: DataFrame, top_n: int = 10, date_from: Day = FIRST_DAY, date_to: Day = LAST_DAY, sales: DataFrame | None = None
+) -> DataFrame:
+    """Best sellers. The share is of the whole window, so its total is taken before the limit; ``sales``, the same
+    lines without their dimensions, spares the total the joins of the view."""
     window = period(flat, date_from, date_to)
     ranked = (
         window.groupBy("sku_code")
@@ -152,7 +155,8 @@ def top_products(flat: DataFrame, top_n: int = 10, date_from: Day = FIRST_DAY, d
         .orderBy(F.desc("_gross"), "sku_code")
         .limit(top_n)
     )
-    whole = grand_total(window, "gross_sales_amount")
+    lines = window if sales is None else period(sales, date_from, date_to)
+    whole = grand_total(lines, "gross_sales_amount")
     return ranked.select(
         "sku_code", "product_name", "category", "is_chilled", "lines", as_double("_gross").alias("gross_sales"),
         "units_eaches", percent("_gross", whole).alias("pct_of_window"),

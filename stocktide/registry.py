@@ -431,6 +431,11 @@ for _name in (*Models.NAMES, Models.VIEW):
     query(_model)
 
 
+@stored_query
+def rpt_sales_flat(m: Models) -> DataFrame:
+    return m.rpt_sales_flat
+
+
 @query
 def dim_outlet(m: Models) -> DataFrame:
     return m.dim_outlet.withColumn("valid_to", end_text())
@@ -471,9 +476,10 @@ def kpi_gross_by_channel_latest(m: Models) -> DataFrame:
     return kpi.gross_by_channel_last_quarter(m.fct_sales)
 
 
-@stored_query
+@query
 def kpi_sales_summary(m: Models) -> DataFrame:
-    return kpi.sales_summary(m.rpt_sales_flat, group_by="month")
+    """By month, for which the facts alone suffice."""
+    return kpi.sales_summary(m.fct_sales, group_by="month")
 
 
 @query
@@ -488,7 +494,7 @@ def kpi_units_eaches(m: Models) -> DataFrame:
 
 @stored_query
 def kpi_top_products(m: Models) -> DataFrame:
-    return kpi.top_products(m.rpt_sales_flat, TOP_N)
+    return kpi.top_products(m.rpt_sales_flat, TOP_N, sales=m.fct_sales)
 
 
 @stored_query

@@ -68,15 +68,16 @@ def test_build_from_the_delivered_layout_twice(spark, tmp_path):
     given = delivered(spark, root)
     assert feeds.missing_inputs(spark, root) == []
     store = f"{tmp_path}/tables"
-    first = build_tables(Feeds.delivered(spark, root), store)
+    built = build_tables(Feeds.delivered(spark, root), store)
     counts = lambda m: {r["model"]: r["row_count"] for r in checks.row_counts({n: getattr(m, n) for n in (*Models.NAMES, Models.VIEW)}).collect()}
-    one = counts(first)
-    assert one == counts(build_tables(Feeds.delivered(spark, root), store))
+    one = counts(built)
+    built = build_tables(Feeds.delivered(spark, root), store)
+    assert one == counts(built)
     lazy = Models(given)
     assert one["fct_sales"] == one["rpt_sales_flat"] == lazy.fct_sales.count()
     assert one["dim_outlet"] == lazy.dim_outlet.count()
     assert spark.table(Models.VIEW).count() == one["rpt_sales_flat"]
-    current = first.dim_outlet.groupBy("outlet_code").agg(F.sum(F.col("is_current").cast("int")).alias("n"), F.max("is_deleted").alias("gone"))
+    current = built.dim_outlet.groupBy("outlet_code").agg(F.sum(F.col("is_current").cast("int")).alias("n"), F.max("is_deleted").alias("gone"))
     assert current.where("n <> CASE WHEN gone THEN 0 ELSE 1 END").count() == 0
 
 
