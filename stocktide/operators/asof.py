@@ -74,16 +74,19 @@ def asof_join(
         F.col(tie).cast("long").alias("_tie"),
         F.struct(*[F.col(source).alias(out) for out, source in attrs.items()]).alias("_version"),
     )
+    # Facts without a key or a time match nothing; a hash of the row keeps them from gathering in one group.
+    unmatched = F.col(fact_key).isNull() | F.col(fact_ts).isNull()
+    salt = F.when(unmatched, F.pmod(F.xxhash64(*facts.columns), F.lit(4096))).otherwise(F.lit(0))
     marked_facts = facts.select(
         "*",
-        _chunk(F.col(fact_key), F.col(fact_ts)).alias("_chunk"),
+        _chunk(F.when(~unmatched, F.col(fact_key)), F.col(fact_ts), salt).alias("_chunk"),
         F.lit(fact).alias("_kind"),
         F.col(fact_ts).alias("_at"),
     )
     # One row per (key, day): days that have facts ask, days that have versions answer with their last one. The
     # answer in force at the start of a day opens the day as a header.
     source = facts if days_from is None else days_from
-    asked = source.select(_chunk(F.col(fact_key), F.col(fact_ts)).alias("_chunk")).distinct()
+    asked = source.where(~unmatched).select(_chunk(F.col(fact_key), F.col(fact_ts)).alias("_chunk")).distinct()
     answers = marked_versions.groupBy("_chunk").agg(F.max(F.struct("_at", "_tie", "_version")).alias("_last"))
     # Within one day the question stands before the answer, so it only sees earlier days.
     earlier_days = (
@@ -113,5 +116,7 @@ def asof_join(
     )
 
 
-def _chunk(key: Column, ts: Column) -> Column:
-    return F.struct(key.alias("k"), F.coalesce(F.to_date(ts), F.lit(NO_TIME).cast("date")).alias("d"))
+def _chunk(key: Column, ts: Column, salt: Column | None = None) -> Column:
+    salt = F.lit(0) if salt is None else salt
+    day = F.coalesce(F.to_date(ts), F.lit(NO_TIME).cast("date"))
+    return F.struct(key.alias("k"), day.alias("d"), salt.cast("long").alias("s"))
