@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.functions.cleaning import is_delete
+from stocktide.operators.dedup import keep_first
 
 OPEN_END = "9999-12-31"  # fixed value: end of a version that has not been replaced
 
@@ -28,45 +29,37 @@ def version_history(
 ) -> DataFrame:
     """One row per (key, seq) with ``version_no``, the position of the change among the raw rows of its key.
 
-    Numbers are given before copies of a (key, seq) are dropped, so a dropped copy leaves a gap. Exact copies
-    collapse into a count before the exchange. Of the copies of a (key, seq) the one that arrived first stays.
+    Numbers count the raw rows, so a dropped copy leaves a gap. Of the copies of a (key, seq) the one that arrived
+    first stays. Whole rows go through the rank filter and the day window; counting needs keys and times only, and
+    both shrink groups of copies before their exchange.
     """
-    others = [c for c in raw.columns if c not in (key, op_ts, seq, arrived)]
-    header, marker, change = 0, 1, 2
-
-    changes = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_copies")).select(
-        "*", day_chunk(key, op_ts).alias("_chunk"), F.lit(change).alias("_kind")
+    header, change, count = 0, 1, 2
+    kept = keep_first(raw, [key, seq], [arrived, op_ts]).select(
+        "*", F.lit(0).alias("_rows"), day_chunk(key, op_ts).alias("_chunk"), F.lit(change).alias("_kind")
     )
-    # A marker stands before the (time, seq) that is to be kept for each (key, seq).
-    markers = (
-        raw.groupBy(key, seq)
-        .agg(F.min(F.struct(F.col(arrived).alias("a"), F.col(op_ts).alias("t"))).alias("_first"))
-        .select(key, F.col("_first.t").alias(op_ts), seq)
-        .select("*", F.lit(0).alias("_copies"), day_chunk(key, op_ts).alias("_chunk"), F.lit(marker).alias("_kind"))
+    # After each (time, seq) stands the number of raw rows that carry it.
+    counts = raw.groupBy(key, op_ts, seq).agg(F.count(F.lit(1)).alias("_rows")).select(
+        "*", day_chunk(key, op_ts).alias("_chunk"), F.lit(count).alias("_kind")
     )
-    # A header opens each day with the number of changes on the days before it.
+    # A header opens each day with the number of raw rows on the days before it.
     earlier_days = Window.partitionBy("_chunk.k").orderBy("_chunk.d").rowsBetween(Window.unboundedPreceding, -1)
     headers = (
         raw.groupBy(day_chunk(key, op_ts).alias("_chunk"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_chunk", F.sum("_n").over(earlier_days).alias("_copies"), F.lit(header).alias("_kind"))
-        .where("_copies IS NOT NULL")
+        .select("_chunk", F.sum("_n").over(earlier_days).alias("_rows"), F.lit(header).alias("_kind"))
+        .where("_rows IS NOT NULL")
     )
-    in_day = Window.partitionBy("_chunk").orderBy(
-        F.col("_kind") != header, F.asc_nulls_last(op_ts), F.asc_nulls_last(seq), "_kind",
-        *[F.asc_nulls_first(c) for c in (arrived, *others)],
+    before = F.sum("_rows").over(
+        Window.partitionBy("_chunk")
+        .orderBy(F.col("_kind") != header, F.asc_nulls_last(op_ts), F.asc_nulls_last(seq), "_kind")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.sum("_copies").over(in_day.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        changes.unionByName(markers, allowMissingColumns=True)
+        kept.unionByName(counts, allowMissingColumns=True)
         .unionByName(headers, allowMissingColumns=True)
-        .select(
-            *raw.columns, "_kind",
-            (F.coalesce(before, F.lit(0)) + 1).alias("version_no"),
-            F.lag("_kind").over(in_day).alias("_previous"),
-        )
-        .where((F.col("_kind") == change) & (F.col("_previous") == marker))
-        .drop("_kind", "_previous")
+        .withColumn("version_no", F.coalesce(before, F.lit(0)) + 1)
+        .where(F.col("_kind") == change)
+        .select(*raw.columns, "version_no")
     )
 
 

@@ -13,7 +13,7 @@ from stocktide.operators.completeness import status, with_median, with_trailing_
 from stocktide.operators.reconcile import full_reconcile
 from stocktide.sources import schemas
 
-# Thresholds of the checks.
+# Thresholds of the checks here, status, severity and verdict names below.
 MIN_DAILY_ROWS = 100
 COLLAPSE, LOW, TREND_LOW = 0.50, 0.75, 0.75
 GATEWAY_DEGRADED, GATEWAY_HOLE = 0.50, 0.40

@@ -10,7 +10,8 @@ from stocktide.functions.numbers import as_double, count_where, money, percent,
 from stocktide.operators.completeness import status
 from stocktide.operators.reconcile import in_weeks
 
-TOLERANCE = 0.05  # fixed value
+# The tolerance here, verdict names and basis labels below.
+TOLERANCE = 0.05
 
 
 def rpt_finance_reconciliation(sales: DataFrame, raw_pos: DataFrame, legacy: DataFrame) -> DataFrame:
