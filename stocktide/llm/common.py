@@ -55,10 +55,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """Write `frame` as Parquet in the shared folder and read it back: short lineage that survives lost executors."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    path = scratch(spark, "cut")
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
