@@ -166,16 +166,15 @@ def mix(h: np.ndarray) -> np.ndarray:
 #: Bytes that end a word: space and \t \n \v \f \r.
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of each word with A-Z lowered, index of its text), in order. Words are runs of non-gap bytes."""
-    n = len(data)
-    if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    inside = ~_GAP[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each word, in order: runs of non-gap bytes within one text."""
+    if len(data) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    inside = ~gap[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -183,8 +182,16 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     heads, tails = offsets[:-1][filled], offsets[1:][filled] - 1
     first[heads] = inside[heads]
     last[tails] = inside[tails]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums, (_, down) = prefix_hash(_LOWER[data]), powers(n)
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of each word with A-Z lowered, index of its text), in order."""
+    n = len(data)
+    starts, ends = word_bounds(data, offsets)
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    sums, (_, down) = prefix_hash(LOWER[data]), powers(n)
     h = (sums[ends] - sums[starts]) * down[starts]
     h = mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return h, np.searchsorted(offsets, starts, "right") - 1
