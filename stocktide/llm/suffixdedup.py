@@ -4,8 +4,8 @@ A byte goes if a string of `length` bytes (200) covers it that also starts anywh
 
 Method: suffixes are compared by prefix polynomial hashes. A binary search over the hashes finds how far two suffixes
 agree (their common extension), so a comparison takes logarithmic steps; merge sort orders the suffixes with it, and
-where neighbours in the order agree on `length` bytes the string at both is repeated. The bytes of every such pair are
-then compared, so a hash collision removes nothing.
+where neighbours agree far enough the string at both is repeated. The bytes of neighbours are then compared, so a hash
+collision removes nothing.
 
 One order over all suffixes of a corpus would be one sort over every byte, each carrying 200 bytes. The sort is
 partitioned instead so that strings that can be equal meet. Every string of `length` bytes has an anchor that depends on
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,48 +125,63 @@ class _Suffixes:
         return at
 
 
-def repeated_strings(stretches: list[bytes], places: np.ndarray, group: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each stretch the offsets of strings of `length` bytes that stand in another stretch of its group too.
-
-    places: where the anchor stands in each stretch; strings are compared at the same distance from it.
+def _classes(parts: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, agree): the parts suffix-sorted within their groups (group ascending), and on how many bytes each agrees
+    with the one before it in that order (-1 at the first of a group)."""
+    size = np.array([len(p) for p in parts], np.int64)
+    begin = np.concatenate([[0], np.cumsum(size + 1)])  # a gap byte ends each part, so that empty parts have a place
+    data = np.frombuffer(b"\0".join([*parts, b""]), np.uint8)
+    ends = np.repeat(begin[:-1] + size, size + 1)
+    limit = int(size.max(initial=0)) + 1
+    suffixes = _Suffixes(data, ends, limit)
+    at = suffixes.sort(begin[:-1], group)
+    order = np.searchsorted(begin, at, "right") - 1
+    agree = np.full(len(at), -1, np.int64)
+    same = np.flatnonzero(group[order][1:] == group[order][:-1]) + 1
+    if len(same):
+        n = suffixes.extension(at[same - 1], at[same])
+        # The bytes themselves, against hash collisions: the first difference before the claimed length counts.
+        reach, top = np.arange(limit), len(suffixes.data) - 1
+        for k in range(0, len(same), 1 << 14):
+            x, y, m = at[same[k : k + (1 << 14)] - 1], at[same[k : k + (1 << 14)]], n[k : k + (1 << 14)]
+            differ = suffixes.data[np.minimum(x[:, None] + reach, top)] != suffixes.data[np.minimum(y[:, None] + reach, top)]
+            differ &= reach < m[:, None]
+            n[k : k + (1 << 14)] = np.where(differ.any(axis=1), differ.argmax(axis=1), m)
+        agree[same] = n
+    return order, agree
+
+
+def repeated_reaches(lefts: list[bytes], rights: list[bytes], group: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """For stretches that share a middle (one group each): the smallest and largest x with a repeated string that takes
+    x bytes of the left part and total - x of the right one; -1 where there is none.
+
+    Left parts are given from the middle outwards. Both sides are suffix-sorted once; at every x the stretches that
+    agree on both sides are those in the same run of both orders.
     """
-    size = np.array([len(s) for s in stretches], np.int64)
-    begin = np.concatenate([[0], np.cumsum(size)])
-    data = np.frombuffer(b"".join(stretches), np.uint8)
-    suffixes = _Suffixes(data, np.repeat(begin[1:], size), length)
-    count = np.maximum(size - length + 1, 0)
-    own = np.repeat(np.arange(len(stretches)), count)
-    offset = np.arange(len(own)) - np.repeat(np.concatenate([[0], np.cumsum(count)])[:-1], count)
-    key = group[own] * (length + 1) + (places[own] - offset)  # strings can be equal only at one distance from the anchor
-    order = np.argsort(key, kind="stable")
-    own, offset, key = own[order], offset[order], key[order]
-    runs = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])]) if len(key) else key
-    start = begin[own] + offset
-    at = suffixes.sort(start, runs)
-    hit = np.zeros(len(at), bool)
-    if len(at) > 1:
-        near = np.flatnonzero(runs[1:] == runs[:-1])
-        near = near[suffixes.extension(at[near], at[near + 1]) >= length]
-        for k in range(0, len(near), 1 << 15):  # the bytes themselves, against collisions
-            part = near[k : k + (1 << 15)]
-            reach = np.arange(length)
-            same = (data[at[part][:, None] + reach] == data[at[part + 1][:, None] + reach]).all(axis=1)
-            hit[part[same]] = hit[part[same] + 1] = True
-    found = at[hit]
-    which = np.searchsorted(begin, found, "right") - 1
-    by = np.argsort(which, kind="stable")
-    found, which = found[by], which[by]
-    cuts = np.searchsorted(which, np.arange(len(stretches) + 1))
-    return [np.sort(found[cuts[i] : cuts[i + 1]] - begin[i]) for i in range(len(stretches))]
-
-
-def _merged(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Union of [s, s + length) for sorted starts."""
-    if len(starts) == 0:
-        return starts, starts
-    new = np.concatenate([[True], np.diff(starts) > length])
-    first = starts[new]
-    return first, np.concatenate([starts[np.flatnonzero(new)[1:] - 1], starts[-1:]]) + length
+    n = len(lefts)
+    size_l, size_r = (np.array([len(p) for p in parts], np.int64) for parts in (lefts, rights))
+    low, high = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    sides = [_classes(parts, group) for parts in (lefts, rights)]
+
+    def runs(side: tuple[np.ndarray, np.ndarray], least: int) -> np.ndarray:
+        order, agree = side
+        out = np.empty(n, np.int64)
+        out[order] = np.cumsum(agree < least)
+        return out
+
+    for x in range(total + 1):
+        fits = np.flatnonzero((size_l >= x) & (size_r >= total - x))
+        if len(fits) < 2:
+            continue
+        key = runs(sides[0], x)[fits] * (n + 1) + runs(sides[1], total - x)[fits]
+        by = np.argsort(key, kind="stable")
+        twin = key[by][1:] == key[by][:-1]
+        hit = np.zeros(len(fits), bool)
+        hit[by[1:][twin]] = hit[by[:-1][twin]] = True
+        found = fits[hit]
+        low[found] = np.where(low[found] < 0, x, low[found])
+        high[found] = x
+    return low, high
 
 
 # ---- the operator ---------------------------------------------------------------------------------------------------
@@ -231,10 +247,11 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _open_stretches(texts: DataFrame, length: int) -> DataFrame:
-    """(key_a, key_b, k1, k2, at, place, bytes) of the stretches named in `open`, for strings that start early and late.
+    """(key_a, key_b, k1, k2, origin, left, right) of the stretches named in `open`, for strings that start early and late.
 
-    A string holds either the 76 bytes before its anchor or those up to 124 after it begins; with the anchor, equal
-    strings agree on these, so they are part of the key under which stretches meet.
+    A string holds either the 76 bytes before its anchor or the 76 after its gram; with the anchor, equal strings agree
+    on these, so they are part of the key under which stretches meet. What lies to the left and right of this shared
+    middle travels; origin is where the middle begins in the text.
     """
     half = (length - GRAM + 1) // 2
 
@@ -250,42 +267,44 @@ def _open_stretches(texts: DataFrame, length: int) -> DataFrame:
             pos, row, h, begin, end = pos[pick], row[pick], h[pick], begin[pick], end[pick]
             sums, (_, down) = prefix_hash(part), powers(len(part))
             for early in (True, False):
+                a, b = (pos - half, pos + GRAM) if early else (pos, pos - half + 1 + length)
                 lo = begin if early else np.maximum(begin, pos - half + 1)
                 hi = np.minimum(end, pos - half + length) if early else end
-                a, b = (pos - half, pos) if early else (pos + GRAM, pos - half + 1 + length)
-                ok = (a >= base[row]) & (b <= base[row + 1]) & (hi - lo >= length)
-                lo, hi, a, b = lo[ok], hi[ok], a[ok], b[ok]
+                ok = (a >= lo) & (b <= hi) & (hi - lo >= length)
+                lo, hi, a, b, who = lo[ok], hi[ok], a[ok], b[ok], row[ok]
                 shared = mix((sums[b] - sums[a]) * down[a] ^ np.uint64(int(early)))
                 yield {
                     "key_a": h[ok].view(np.int64),
                     "key_b": shared.view(np.int64),
-                    "k1": k1[i + row[ok]],
-                    "k2": k2[i + row[ok]],
-                    "at": lo - base[row[ok]],
-                    "place": pos[ok] - lo,
-                    "bytes": pa.array([part[x:y].tobytes() for x, y in zip(lo, hi, strict=True)], pa.binary()),
+                    "k1": k1[i + who],
+                    "k2": k2[i + who],
+                    "origin": a - base[who],
+                    "left": pa.array([part[x:y][::-1].tobytes() for x, y in zip(lo, a, strict=True)], pa.binary()),
+                    "right": pa.array([part[x:y].tobytes() for x, y in zip(b, hi, strict=True)], pa.binary()),
                 }
 
-    schema = "key_a long, key_b long, k1 long, k2 long, at long, place long, bytes binary"
+    schema = "key_a long, key_b long, k1 long, k2 long, origin long, left binary, right binary"
     return arrow_map(texts.select("text", "k1", "k2", "open"), run, schema)
 
 
 def _sorted_out(stretches: DataFrame, length: int) -> DataFrame:
-    """(k1, k2, starts) of repeated strings among stretches of one key; rows come grouped and sorted by key."""
+    """(k1, k2, begin, end) of the bytes of repeated strings among stretches of one key; rows come grouped and sorted."""
     ship(stretches.sparkSession)
-    schema = "k1 long, k2 long, starts array<long>"
+    schema = "k1 long, k2 long, begin long, end long"
     arrow = arrow_schema(stretches.sparkSession, schema)
+    total = length - GRAM - (length - GRAM + 1) // 2
 
     def found(rows: list) -> pa.RecordBatch:
-        key_a, key_b, k1, k2, at, place, raw = (np.concatenate([r[i] for r in rows]) for i in range(7))
+        key_a, key_b, k1, k2, origin, left, right = (np.concatenate([r[i] for r in rows]) for i in range(7))
         new = np.concatenate([[True], (key_a[1:] != key_a[:-1]) | (key_b[1:] != key_b[:-1])])
         group = np.cumsum(new) - 1
         busy = (np.bincount(group) > 1)[group]
-        k1, k2, at, place, group, raw = k1[busy], k2[busy], at[busy], place[busy], group[busy], raw[busy]
+        k1, k2, origin, left, right, group = k1[busy], k2[busy], origin[busy], left[busy], right[busy], group[busy]
         group = np.unique(group, return_inverse=True)[1]
-        starts = repeated_strings(list(raw), place, group, length) if len(raw) else []
-        keep = [i for i, s in enumerate(starts) if len(s)]
-        columns = {"k1": k1[keep], "k2": k2[keep], "starts": pa.array([starts[i] + at[i] for i in keep], pa.list_(pa.int64()))}
+        low, high = repeated_reaches(left.tolist(), right.tolist(), group, total) if len(left) else (group, group)
+        hit = low >= 0
+        # Strings of one stretch overlap, so what they cover is one range.
+        columns = {"k1": k1[hit], "k2": k2[hit], "begin": (origin - high)[hit], "end": (origin - low)[hit] + length}
         return to_batch(columns, arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +316,7 @@ def _sorted_out(stretches: DataFrame, length: int) -> DataFrame:
                 continue
             held.append(columns)
             size += batch.num_rows
-            if size >= 4000:  # what is complete; the last key may go on
+            if size >= 20_000:  # what is complete; the last key may go on
                 a, b = columns[0], columns[1]
                 last = np.flatnonzero((a != a[-1]) | (b != b[-1]))
                 if len(last):
@@ -307,7 +326,7 @@ def _sorted_out(stretches: DataFrame, length: int) -> DataFrame:
         if held:
             yield found(held)
 
-    dealt = stretches.repartition("key_a", "key_b").sortWithinPartitions("key_a", "key_b", "k1", "k2", "at")
+    dealt = stretches.repartition("key_a", "key_b").sortWithinPartitions("key_a", "key_b", "k1", "k2", "origin")
     return dealt.mapInArrow(run, schema)
 
 
@@ -317,7 +336,7 @@ def _kept(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         data, off = utf8(batch.column(0))
         k1, k2 = (batch.column(i).to_numpy() for i in (1, 2))
-        full, starts = batch.column(3), batch.column(4)
+        full, ranges = batch.column(3), pc.fill_null(batch.column(4), pa.scalar([], batch.column(4).type))
         for i, j in slices(off):
             part, base = data[off[i] : off[j]], off[i : j + 1] - off[i]
             gone = np.zeros(len(part) + 1, np.int32)
@@ -327,11 +346,10 @@ def _kept(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
                 hit = np.isin(near, names)
                 np.add.at(gone, begin[hit], 1)
                 np.add.at(gone, end[hit], -1)
-            for r in range(i, j):
-                if starts[r].is_valid:
-                    first, last = _merged(np.unique(np.concatenate([np.asarray(x, np.int64) for x in starts[r].as_py()])), length)
-                    np.add.at(gone, first + base[r - i], 1)
-                    np.add.at(gone, last + base[r - i], -1)
+            own = ranges.slice(i, j - i)
+            origin = np.repeat(base[:-1], own.value_lengths().to_numpy())
+            for end, step in (("begin", 1), ("end", -1)):
+                np.add.at(gone, own.flatten().field(end).to_numpy() + origin, step)
             gone = np.cumsum(gone[:-1]) > 0
             edge = np.concatenate([[0], np.cumsum(gone)])
             rise = gone.copy()
@@ -351,7 +369,7 @@ def _kept(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
             }
 
     schema = "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
-    return arrow_map(texts.select("text", "k1", "k2", "full", "starts"), run, schema)
+    return arrow_map(texts.select("text", "k1", "k2", "full", "ranges"), run, schema)
 
 
 def _by_text(docs: DataFrame, length: int, with_text: bool) -> tuple[DataFrame, DataFrame]:
@@ -368,7 +386,7 @@ def _by_text(docs: DataFrame, length: int, with_text: bool) -> tuple[DataFrame,
 
     texts = rows.groupBy("k1", "k2").agg(F.min("text").alias("text"))  # used twice, exchanged once
     opened = texts.join(per_text.where(F.size("open") > 0).select("k1", "k2", "open"), ["k1", "k2"])
-    sorted_out = _sorted_out(_open_stretches(opened, length), length).groupBy("k1", "k2").agg(F.collect_list("starts").alias("starts"))
+    sorted_out = _sorted_out(_open_stretches(opened, length), length).groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     known = texts.join(per_text.select("k1", "k2", "full"), ["k1", "k2"], "left").join(sorted_out, ["k1", "k2"], "left")
     return rows, _kept(known, length, with_text)
 
