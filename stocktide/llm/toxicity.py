@@ -226,135 +226,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     return pickle.loads(models[0]["model"]) if models else fit([], np.zeros(0, bool))
 
 
-def score(self, p: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-        mass = np.bincount(row, np.where(p >= 0.1, p, 0), n)
-        return 1 / (1 + np.exp(-(self.scale[0] + self.scale[1] * np.log1p(mass))))
-
-
-# ---- fitting ------------------------------------------------------------------------------------------------------------
-
-
-def _forms(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[np.ndarray]:
-    """Hashes of each form of every token: the word, then its beginnings (0 where it is shorter)."""
-    sums, (_, down) = prefix_hash(LOWER[data]), powers(len(data))
-    for k, n in enumerate((0, *FORMS)):
-        stop = np.minimum(end, begin + n) if n else end
-        h = mix(((sums[stop] - sums[begin]) * down[begin]) ^ np.uint64(k + 1))
-        yield np.where(end - begin >= n, h, np.uint64(0))
-
-
-def toxic_forms(forms: list[np.ndarray], row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Greedy cover of the toxic documents by forms that at most one in twenty times occur in others."""
-    share, least = toxic.sum() / max(1, (~toxic).sum()), max(2, 0.002 * toxic.sum())
-    documents_of: dict[int, set[int]] = {}
-    others, length = {}, {}
-    for k, h in enumerate(forms):
-        order = np.lexsort((row, h))
-        h, r = h[order], row[order]
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])]) & (h != 0)
-        h, r = h[new], r[new]
-        names, first = np.unique(h, return_index=True)
-        hits = np.add.reduceat(toxic[r].astype(np.int64), first) if len(first) else first
-        rest = np.diff(np.append(first, len(h))) - hits
-        stop = np.append(first[1:], len(h))
-        for i in np.flatnonzero((hits >= least) & (rest * share <= 0.05 * hits)):
-            part = r[first[i] : stop[i]]
-            documents_of[int(names[i])] = set(part[toxic[part]].tolist())
-            others[int(names[i])], length[int(names[i])] = int(rest[i]), k
-    found, open_docs, pool = set(), set(np.flatnonzero(toxic).tolist()), dict(documents_of)
-    while open_docs and pool:
-        new = {f: len(d & open_docs) for f, d in pool.items()}
-        pool = {f: d for f, d in pool.items() if new[f] >= least}
-        if not pool:
-            break
-        best = max(pool, key=lambda f: (new[f], len(pool[f]), length[f], f))
-        found.add(best)
-        open_docs -= pool.pop(best)
-    # Forms as frequent as the found ones within documents already explained: other words of the same kind.
-    if found:
-        usual = max(0.3 * np.median([len(documents_of[f]) for f in found]), 3 * least, 4)
-        found |= {f for f, d in documents_of.items() if len(d) >= usual and others[f] * share <= 0.002 * len(d)}
-    return np.array(sorted(found), np.uint64)
-
-
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Field:
-    """The field for labelled documents. Without both labels the score is the labels' mean for every text."""
-    toxic = np.asarray(toxic, bool)
-    if not toxic.any() or toxic.all():
-        mean = float(toxic.mean()) if len(toxic) else 0.0
-        return Field(np.zeros(FEATURES + 1, np.float32), np.zeros(4), (float(np.log((mean + 1e-6) / (1 - mean + 1e-6))), 0.0))
-    raw = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    parts = [(i, *token_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) for i, j in slices(offsets)]
-    row = np.concatenate([i + p for i, _, _, p, _ in parts])
-    features = np.concatenate([f for *_, f in parts])
-    begin = np.concatenate([b + offsets[i] for i, b, *_ in parts])
-    end = np.concatenate([e + offsets[i] for i, _, e, *_ in parts])
-    bounds = np.searchsorted(row, np.arange(len(texts) + 1))
-    forms = list(_forms(data, begin, end))
-    found = toxic_forms(forms, row, toxic)
-    label = np.any([np.isin(h, found) for h in forms], axis=0) & toxic[row]
-    del forms, begin, end, parts
-    # Chains of CHAIN tokens: all with a toxic token, and as many others at most.
-    start = np.concatenate([np.arange(a, b, CHAIN) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-    stop = np.minimum(start + CHAIN, bounds[row[start] + 1]) if len(start) else start
-    count = np.concatenate([[0], np.cumsum(label)])
-    has = count[stop] > count[start]
-    rng = np.random.default_rng(7)
-    chosen = np.sort(np.concatenate([rng.permutation(np.flatnonzero(k))[:CHAINS] for k in (has, ~has)]))
-    pick = np.concatenate([np.arange(a, b) for a, b in zip(start[chosen], stop[chosen], strict=True)])
-    size = stop[chosen] - start[chosen]
-    chains = np.concatenate([[0], np.cumsum(size)])
-    x, y = features[pick], label[pick].astype(float)
-    inner = np.ones(len(pick), bool)
-    inner[chains[1:] - 1] = False
-    left = np.flatnonzero(inner)
-    seen = np.bincount((2 * y[left] + y[left + 1]).astype(int), minlength=4)
-    field = Field(np.zeros(FEATURES + 1), np.zeros(4), (0.0, 0.0))
-    theta, first, second = np.zeros(FEATURES + 5), np.zeros(FEATURES + 5), np.zeros(FEATURES + 5)
-    kinds, n = x.shape[1], max(1, len(chosen))
-    for step in range(1, rounds + 1):
-        field.weights, field.steps = theta[: FEATURES + 1], theta[FEATURES + 1 :]
-        p, expected = field.marginals(field.odds(x), chains, pairs=True)
-        gap = p - y
-        grad = np.concatenate([[gap.sum()], np.bincount(x.ravel(), np.repeat(gap, kinds), FEATURES), expected - seen]) / n + 1e-5 * theta
-        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
-        theta = theta - 0.25 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    field.weights, field.steps = theta[: FEATURES + 1], theta[FEATURES + 1 :]
-    p = field.marginals(field.odds(features), bounds)
-    mass = np.log1p(np.bincount(row, np.where(p >= 0.1, p, 0), len(texts)))
-    a, b = 0.0, 1.0
-    for _ in range(200):  # logistic calibration by Newton steps with a little shrinkage
-        q = 1 / (1 + np.exp(-np.clip(a + b * mass, -30, 30)))
-        w = q * (1 - q) + 1e-6
-        g = np.array([(q - toxic).sum() + 1e-3 * a, ((q - toxic) * mass).sum() + 1e-1 * b])
-        h = np.array([[w.sum() + 1e-3, (w * mass).sum()], [(w * mass).sum(), (w * mass * mass).sum() + 1e-1]])
-        move = np.linalg.solve(h, g)
-        a, b = a - np.clip(move[0], -2, 2), b - np.clip(move[1], -2, 2)
-        if abs(move).max() < 1e-6:
-            break
-    return Field(field.weights.astype(np.float32), field.steps, (float(a), float(b)))
-
-
-def held_out() -> F.Column:
-    """True for documents that are never learnt from: crc32(doc_id as text) mod 5 is 0, or there is no doc_id."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Field:
-    """Fit on labelled, not held-out rows: `sample` of each class at most, the first by a hash of doc_id."""
-    known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).where("_label in (0, 1)").groupBy("doc_id").agg(F.max("_label").alias("_label")).where(~held_out())
-    first = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample).select("doc_id", "_label")
-    # At most 2 * sample rows, and SAMPLE_BYTES of text, reach the driver.
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-    turn = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    rows = texts.withColumn("_size", F.sum(F.octet_length("text").cast("long")).over(turn)).where(F.col("_size") <= SAMPLE_BYTES).select("doc_id", "text", "_label").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return fit([r["text"] for r in rows], np.array([r["_label"] == 1 for r in rows], bool))
-
-
 def score(docs: DataFrame, field: Field) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted, and the offending spans (code points, with their probability).
 
