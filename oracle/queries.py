@@ -177,6 +177,12 @@ _BY_CHANNEL = _BY_CHANNEL.replace("sum(sum(gross_sales_amount)) OVER ()::DOUBLE"
 Q["kpi_gross_by_channel"] = _BY_CHANNEL + f"""
 FROM rpt_sales_flat WHERE fiscal_year = '{FISCAL_YEAR}' AND fiscal_quarter = '{FISCAL_QUARTER}' GROUP BY channel_at_sale
 """
+Q["kpi_gross_by_channel_1990s"] = _BY_CHANNEL + """
+FROM rpt_sales_flat WHERE fiscal_year = 'FY97' AND fiscal_quarter = 'Q1' GROUP BY channel_at_sale
+"""
+Q["kpi_gross_by_fiscal_quarter"] = _BY_CHANNEL.replace("SELECT ", "SELECT fiscal_year, fiscal_quarter, ", 1).replace("OVER ()", "OVER (PARTITION BY fiscal_year, fiscal_quarter)") + """
+FROM rpt_sales_flat WHERE fiscal_year IS NOT NULL GROUP BY fiscal_year, fiscal_quarter, channel_at_sale
+"""
 Q["kpi_gross_by_channel_latest"] = _BY_CHANNEL + """
 FROM fct_sales, (SELECT date_trunc('quarter', max(event_date_ist) + 1) AS following FROM fct_sales)
 WHERE event_date_ist < following AND event_date_ist >= following - INTERVAL 3 MONTH GROUP BY channel_at_sale

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,12 +35,3 @@ def quarter_start(end_year: Column, quarter: Column) -> Column:
 
 def quarter_end(end_year: Column, quarter: Column) -> Column:
     return F.last_day(F.add_months(quarter_start(end_year, quarter), 2))
-
-
-def quarter_bounds(fiscal_year_label: str, quarter_label: str) -> tuple[dt.date, dt.date]:
-    """The same bounds for literal parameters: ('FY27', 'Q1') is 2026-04-01 to 2026-06-30."""
-    first_month = 3 * int(quarter_label.removeprefix("Q")) + 1
-    start_year = 2000 + int(fiscal_year_label.removeprefix("FY")) - 1
-    start = dt.date(start_year + (first_month > 12), (first_month - 1) % 12 + 1, 1)
-    after = dt.date(start.year + (start.month > 9), (start.month + 2) % 12 + 1, 1)
-    return start, after - dt.timedelta(days=1)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from stocktide.functions.numbers import percent, total
 
 
-def share_of_groups(value: str) -> Column:
-    """Percent of the sum over all groups: for keys that are a short code list (channel, source, category).
+def share_of_groups(value: str, *within: str) -> Column:
+    """Percent of the sum over all groups (of those with equal `within` columns): for keys that are a short code list (channel, source, category).
 
     ``value`` is a decimal or whole number, so the total does not depend on the order of the groups.
     """
-    return percent(value, F.sum(value).over(Window.partitionBy(F.lit(0))))
+    return percent(value, F.sum(value).over(Window.partitionBy(*(within or (F.lit(0),)))))
 
 
 def grand_total(df: DataFrame, value: str | Column) -> Column:

@@ -29,13 +29,21 @@ def period(df: DataFrame, date_from: Day, date_to: Day, day: str = DAY) -> DataF
 def gross_by_channel(sales: DataFrame, calendar: DataFrame, fiscal_year: str = "FY27", fiscal_quarter: str = "Q1") -> DataFrame:
     """Sales of one fiscal quarter by channel with each channel's share.
 
-    The calendar decides which days belong to the quarter; the quarter's bounds are pushed to the scan as well.
+    The calendar alone decides which days belong to the quarter: its labels are joined, a row per day, and its first and
+    last day bound the scan as scalar subqueries.
     """
     quarter_days = calendar.where(
         (F.col("fiscal_year") == fiscal_year) & (F.col("fiscal_quarter") == fiscal_quarter)
-    ).select(F.col("calendar_date").alias(DAY))
-    bounded = period(sales, *fiscal.quarter_bounds(fiscal_year, fiscal_quarter))
-    return _by_channel(bounded.join(F.broadcast(quarter_days), DAY))
+    ).select(F.col("calendar_date").alias(DAY)).distinct()
+    first, last = (quarter_days.agg(f(DAY)).scalar() for f in (F.min, F.max))
+    bounded = sales.where((F.col(DAY) >= first) & (F.col(DAY) <= last))
+    return _by_channel(bounded.join(quarter_days, DAY))
+
+
+def gross_by_fiscal_quarter(sales: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales of every fiscal quarter of the calendar by channel, with each channel's share of its quarter."""
+    days = calendar.select(F.col("calendar_date").alias(DAY), "fiscal_year", "fiscal_quarter").dropDuplicates([DAY])
+    return _by_channel(sales.join(days, DAY), "fiscal_year", "fiscal_quarter")
 
 
 def gross_by_channel_last_quarter(sales: DataFrame) -> DataFrame:
@@ -47,8 +55,9 @@ def gross_by_channel_last_quarter(sales: DataFrame) -> DataFrame:
     return _by_channel(sales.where((F.col(DAY) >= start) & (F.col(DAY) < F.add_months(start, 3))))
 
 
-def _by_channel(sales: DataFrame) -> DataFrame:
-    grouped = sales.groupBy(F.col("channel_at_sale").alias("channel")).agg(
+def _by_channel(sales: DataFrame, *keys: str) -> DataFrame:
+    """Sales by channel within each of the keys' groups, with the channel's share of its group."""
+    grouped = sales.groupBy(*keys, F.col("channel_at_sale").alias("channel")).agg(
         F.count(F.lit(1)).alias("transaction_lines"),
         F.countDistinct("basket_id").alias("baskets"),
         F.sum("gross_sales_amount").alias("_gross"),
@@ -56,11 +65,11 @@ def _by_channel(sales: DataFrame) -> DataFrame:
         F.sum("sales_amount_incl_tax").alias("_incl"),
     )
     return grouped.select(
-        "channel", "transaction_lines", "baskets",
+        *keys, "channel", "transaction_lines", "baskets",
         as_double("_gross").alias("gross_sales_inr"), crore("_gross").alias("gross_sales_cr"),
         as_double("_net").alias("net_sales_inr"), as_double("_incl").alias("sales_incl_tax_inr"),
-        share_of_groups("_gross").alias("pct_of_total"),
-    ).orderBy(F.desc("gross_sales_inr"), "channel")
+        share_of_groups("_gross", *keys).alias("pct_of_total"),
+    ).orderBy(*keys, F.desc("gross_sales_inr"), "channel")
 
 
 def as_of_date(sales: DataFrame) -> DataFrame:

@@ -471,6 +471,17 @@ def kpi_gross_by_channel(m: Models) -> DataFrame:
     return kpi.gross_by_channel(m.fct_sales, m.dim_calendar, FISCAL_YEAR, FISCAL_QUARTER)
 
 
+@query
+def kpi_gross_by_channel_1990s(m: Models) -> DataFrame:
+    """A quarter before the year 2000, so that labels and years can't be mixed up unseen."""
+    return kpi.gross_by_channel(m.fct_sales, m.dim_calendar, "FY97", "Q1")
+
+
+@query
+def kpi_gross_by_fiscal_quarter(m: Models) -> DataFrame:
+    return kpi.gross_by_fiscal_quarter(m.fct_sales, m.dim_calendar)
+
+
 @query
 def kpi_gross_by_channel_latest(m: Models) -> DataFrame:
     return kpi.gross_by_channel_last_quarter(m.fct_sales)

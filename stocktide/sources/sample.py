@@ -117,7 +117,7 @@ SELECT CAST(c.c_custkey AS STRING), CASE WHEN o.o_orderkey % 97 = 0 THEN 'D' ELS
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """
 
-# Product changes from a twentieth of the lines; every third of them is extracted a second time two days later.
+# Product changes from all lines; a sixtieth of the orders' lines is extracted a second time two days later.
 SQL["feed_product"] = """
 SELECT CAST(p.p_partkey AS STRING) AS sku_code, 'I' AS __op, '1994-12-31 00:00:00' AS __op_ts,
        p.p_partkey - 100000000 AS __seq, p.p_name AS product_name, p.p_type AS category, p.p_brand AS brand,
@@ -133,7 +133,6 @@ SELECT CAST(p.p_partkey AS STRING), CASE WHEN l.l_orderkey % 860 = 0 THEN 'D' EL
        p.p_partkey % 2, 'ACTIVE', CAST(l.l_shipdate AS DATE) + 2 * d.copy
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 JOIN (SELECT 0 AS copy UNION ALL SELECT 1) d ON d.copy = 0 OR l.l_orderkey % 60 = 0
-WHERE l.l_orderkey % 20 = 0
 """
 
 # Order changes: insert, one or two updates, and a deletion that copies the insert with its time.
