@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step works on; a longer single text is one step of its own.
@@ -77,6 +77,20 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """The rows as one struct column `row`: no column of theirs can clash with one that an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def unpacked_rows(frame: DataFrame, docs: DataFrame, new_text: Column) -> DataFrame:
+    """The columns of `docs` from `row`, with `text`, and n_chars if there is one, replaced where new_text isn't null."""
+    row = F.col("row")
+    out = {c: row[c] for c in docs.columns} | {"text": F.coalesce(new_text, row["text"])}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(new_text.isNotNull(), F.length(new_text).cast(docs.schema["n_chars"].dataType)).otherwise(row["n_chars"])
+    return frame.select(*[v.alias(k) for k, v in out.items()])
+
+
 def arrow_map(frame: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """mapInArrow for a function batch -> iterable of dicts of columns; `schema` names the columns in order."""
     ship(frame.sparkSession)

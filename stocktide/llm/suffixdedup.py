@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.common import arrow_map, cut, mix, powers, prefix_hash, ship, slices, to_batch, utf8
+from stocktide.llm.common import arrow_map, cut, mix, packed_rows, powers, prefix_hash, ship, slices, to_batch, unpacked_rows, utf8
 from stocktide.llm.common import _arrow_schema as arrow_schema
 
 #: Bytes of the gram whose smallest hash is a string's anchor. A string of n bytes has n - GRAM + 1 of them.
@@ -407,12 +407,8 @@ def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     A character of which a cut leaves only some bytes goes. A null text, or one that loses nothing, stays as it is.
     """
     _, kept = _by_text(docs, length, with_text=True)
-    text = F.coalesce(F.col("text"), F.lit(""))
     changed = kept.where("n_removed > 0").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("kept_text").alias("_kept"))
-    keyed = docs.withColumns({"_a": F.xxhash64(text), "_b": F.xxhash64(F.lit("second key"), text)})
+    text = F.coalesce(F.col("row")["text"], F.lit(""))
+    keyed = packed_rows(docs).withColumns({"_a": F.xxhash64(text), "_b": F.xxhash64(F.lit("second key"), text)})
     joined = keyed.join(changed, (F.col("_a") == F.col("_k1")) & (F.col("_b") == F.col("_k2")), "left")
-    new = F.when(F.col("_k1").isNotNull(), F.col("_kept")).otherwise(F.col("text"))
-    out = {c: F.col(c) for c in docs.columns} | {"text": new}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("_k1").isNotNull(), F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return joined.select(*[v.alias(k) for k, v in out.items()])
+    return unpacked_rows(joined, docs, F.col("_kept"))

@@ -16,8 +16,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.common import cut
+from stocktide.llm.common import cut, packed_rows, unpacked_rows
 
+#: Titles before a name.
+TITLE = r"(?:Mrs?|Ms|Miss|Mme|Mlle|Monsieur|Madame|Herrn?|Frau|Señora?|Señorita|Sra?|Don|Doña|г-н|г-жа)"
 #: Patterns of the entity types, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}][\p{L}\p{N}\-]*\.)+\p{L}{2,}",
@@ -28,7 +30,7 @@ PATTERNS = {
     "card": r"(?<![\d.\-])(?:[3-6]\d{3}(?:[ \-]?\d{4}){3}|3[47]\d{2}[ \-]?\d{6}[ \-]?\d{5})(?![\d\-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?)\d{3,4}[ .\-]\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)|(?<![\d+.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])",
-    "name": r"(?<!\p{L})(?:Mrs?|Ms|Miss|Mme|Mlle|Monsieur|Madame|Herrn?|Frau|Señora?|Señorita|Sra?|Don|Doña|г-н|г-жа)\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
+    "name": rf"(?<!\p{{L}}){TITLE}\.? \p{{Lu}}\p{{L}}+(?: (?!{TITLE}(?!\p{{L}}))\p{{Lu}}\p{{L}}+)?",
 }
 #: Titles after which a name is female; after the others it is male or open.
 FEMALE = ("Mrs", "Ms", "Miss", "Mme", "Mlle", "Madame", "Frau", "Señora", "Señorita", "Sra", "Doña", "г-жа")
@@ -194,12 +196,11 @@ def with_surrogates(docs: DataFrame, key: str = "stocktide") -> DataFrame:
     table = surrogate_table(entities(found), key)
     replaced = found.join(table, ["kind", "base"]).select(F.col("a").alias("_a"), F.col("b").alias("_b"), "entity", _written(F.col("kind"), F.col("entity"), F.col("base"), F.col("core")).alias("written"))
     of_text = cut(replaced.groupBy("_a", "_b").agg(F.map_from_entries(F.collect_list(F.struct("entity", "written"))).alias("_map")))
-    keyed = docs.withColumns({"_x": F.xxhash64("text"), "_y": F.xxhash64(F.lit("second key"), "text")})
+    # The row travels as one column, so that no name of it clashes.
+    text = F.col("row")["text"]
+    keyed = packed_rows(docs).withColumns({"_x": F.xxhash64(text), "_y": F.xxhash64(F.lit("second key"), text)})
     joined = keyed.join(of_text, (F.col("_x") == F.col("_a")) & (F.col("_y") == F.col("_b")), "left")
-    between = F.split("text", ANY, -1)
-    new = F.array_join(F.zip_with(between, F.transform(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), lambda e: F.coalesce(F.col("_map")[e], e)), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    text = F.when(F.col("_map").isNotNull(), new).otherwise(F.col("text"))
-    out = {c: F.col(c) for c in docs.columns} | {"text": text}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("_map").isNotNull(), F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return joined.select(*[v.alias(k) for k, v in out.items()])
+    between, inside = F.split(text, ANY, -1), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda e: F.coalesce(F.col("_map")[e], e))
+    new = F.array_join(F.zip_with(between, inside, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    joined = joined.withColumn("_new", F.when(F.col("_map").isNotNull(), new))
+    return unpacked_rows(joined, docs, F.col("_new"))
