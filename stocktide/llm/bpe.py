@@ -192,8 +192,10 @@ class Pieces:
     special tokens is encoded as one piece.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int], encode_spaced: Callable[[list[str]], list[bytes]] | None = None):
+        """`encode_spaced` encodes pieces that start with their only space and have no white space around it."""
         self.encode, self.special = encode, special
+        self.encode_spaced = encode_spaced or encode
         self.split = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.known: dict[str, bytes | None] = {}
 
@@ -206,17 +208,18 @@ class Pieces:
             self.known = {}
         known, parts = self.known, self._segments(texts)
         cut = [[s.split(" ") for s in segments] for segments in parts]
-        new = {p for segments in cut for pieces in segments for p in pieces if p not in known}
+        seen: set[str] = set().union(*(pieces for segments in cut for pieces in segments))
+        new = [p for p in seen if p not in known]
         inner = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
         known.update(dict.fromkeys(new))
-        known.update(zip(inner, self.encode([" " + p for p in inner]), strict=True))
+        known.update(zip(inner, self.encode_spaced([" " + p for p in inner]), strict=True))
         heads = {pieces[0] for segments in cut for pieces in segments if known[pieces[0]] is not None}
         head = dict(zip(heads, self.encode(list(heads)), strict=True))
         out = []
         for text, segments, pieces in zip(texts, parts, cut, strict=True):
             found = []
             for segment, own in zip(segments, pieces, strict=True):
-                got = [known[p] for p in own]
+                got = list(map(known.__getitem__, own))
                 if None in got:
                     found.append(self.encode([segment])[0] if segment else b"")
                 else:

@@ -20,9 +20,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.bpe import Vocabulary, batches_of, broadcast_vocabulary, loaded, loaded_pieces, public_vocabulary
+from stocktide.llm.bpe import batches_of, broadcast_vocabulary, loaded, public_vocabulary
 from stocktide.llm.common import _arrow_schema as arrow_schema
 from stocktide.llm.common import arrow_map, cut, ship, to_batch
+from stocktide.llm.tokenfile import Library
 
 #: Permitted sequence lengths, and documents of one group on average.
 LENGTHS = (512, 1024, 2048, 4096, 8192)
@@ -40,7 +41,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     shared = broadcast_vocabulary(docs.sparkSession, vocabulary or public_vocabulary())
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        pieces = loaded_pieces(loaded(shared.value, Vocabulary))
+        pieces = loaded(shared.value, Library).pieces
         for first, texts in batches_of(batch.column(1)):
             yield {"doc_id": batch.column(0).slice(first, len(texts)), "n_tokens": [len(g) // 4 + 1 for g in pieces.encode_texts(texts)]}
 

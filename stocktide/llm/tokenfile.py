@@ -26,6 +26,8 @@ from stocktide.llm.common import arrow_map, cut, scratch, ship, to_batch
 
 #: Longest code in bits; ids of one stretch between checkpoints; ids of one block (a longer document is one block).
 LONGEST, STRETCH, BLOCK = 16, 256, 1 << 18
+#: The space in the vocabulary's spelling of bytes; pieces encoded at once.
+SPACE, TOGETHER = "\u0120", 256
 BLOCKS = "part int, block int, before long, doc_ids array<long>, counts array<long>, checkpoints array<long>, payload binary"
 
 
@@ -39,11 +41,28 @@ class Library:
         self.tokenizer = Tokenizer.from_str(raw.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.pieces = Pieces(self.encode, {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()})
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that start with a space
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
+        self.pieces = Pieces(self.encode, {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}, self.encode_spaced)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_spaced(self, pieces: list[str]) -> list[bytes]:
+        """Pieces that start with their only space: many are encoded as one text, which their spaces divide again."""
+        out: list[bytes] = []
+        for first in range(0, len(pieces), TOGETHER):
+            part = pieces[first : first + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            begin = np.flatnonzero(self.opens[ids])
+            if len(begin) != len(part):  # a vocabulary without tokens of its own for the space
+                out += self.encode(part)
+                continue
+            raw, ends = ids.tobytes(), (4 * np.append(begin, len(ids))).tolist()
+            out += [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return out
+
 
 def library_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
     """(doc_id, ids binary: little-endian unsigned 32-bit) of every whole text with the end id appended."""
