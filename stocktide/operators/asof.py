@@ -1,10 +1,8 @@
 """Point-in-time join: the attributes that were valid for the key when the fact happened.
 
-Two plans give the same rows. ``asof_join`` never pairs a fact with more than one version: facts and versions
-of one (key, day) are merged in time order and the last version seen is carried forward; the version in force
-at the start of a day is found among one row per (key, day) and merged in as the day's first row. The facts are
-exchanged once and a hot key is spread over its days. ``range_join`` ships
-the versions to every task and is for tables that ``versions_fit`` has measured.
+A fact is never paired with more than one version: facts and versions of one (key, day) are merged in time order and
+the last version seen is carried forward; the version in force at the start of a day is found among one row per
+(key, day) and merged in as the day's first row. The facts are exchanged once and a hot key is spread over its days.
 """
 
 from __future__ import annotations
@@ -14,41 +12,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# What may be broadcast: total versions, and versions per key as each fact is compared with all of its key.
-MAX_VERSIONS = 500_000
-MAX_PER_KEY = 200
 NO_TIME = "0001-01-01"
 
 
-def versions_fit(versions: DataFrame, key: str, max_rows: int = MAX_VERSIONS, max_per_key: int = MAX_PER_KEY) -> bool:
-    """Measure a stored dimension; one row comes back to the driver."""
-    per_key = versions.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    size = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("top")).first()
-    return size["rows"] <= max_rows and size["top"] <= max_per_key
-
-
-def range_join(
-    facts: DataFrame,
-    versions: DataFrame,
-    *,
-    fact_key: str,
-    fact_ts: str,
-    version_key: str,
-    attrs: Mapping[str, str],
-    valid_from: str = "valid_from",
-    valid_to: str = "valid_to",
-) -> DataFrame:
-    """Broadcast form, for versions that ``versions_fit`` accepted."""
-    small = versions.select(
-        F.col(version_key).alias("_k"),
-        F.col(valid_from).alias("_from"),
-        F.col(valid_to).alias("_to"),
-        *[F.col(source).alias(out) for out, source in attrs.items()],
-    )
-    hit = (F.col(fact_key) == F.col("_k")) & (F.col(fact_ts) >= F.col("_from")) & (F.col(fact_ts) < F.col("_to"))
-    return facts.join(F.broadcast(small), hit, "left").drop("_k", "_from", "_to")
-
-
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -58,21 +24,26 @@ def asof_join(
     version_key: str,
     attrs: Mapping[str, str],
     valid_from: str = "valid_from",
+    valid_to: str | None = "valid_to",
     tie: str = "version_no",
     days_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of each fact to the last version with ``valid_from <= fact_ts``; highest ``tie`` at equal times.
 
+    That version matches only before its ``valid_to`` (NULL: open); where it is closed the fact matches nothing. Of
+    overlapping versions the one that began last decides. Without ``valid_to`` versions never close.
+
     ``days_from`` is a cheaper frame that holds at least the keys and times of ``facts``.
     """
     usable = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull())
     header, version, fact = 0, 1, 2
+    end = F.col(valid_to) if valid_to else F.lit(None).cast(versions.schema[valid_from].dataType)
     marked_versions = usable.select(
         _chunk(F.col(version_key), F.col(valid_from)).alias("_chunk"),
         F.lit(version).alias("_kind"),
         F.col(valid_from).alias("_at"),
         F.col(tie).cast("long").alias("_tie"),
-        F.struct(*[F.col(source).alias(out) for out, source in attrs.items()]).alias("_version"),
+        F.struct(*[F.col(source).alias(out) for out, source in attrs.items()], end.alias("_to")).alias("_version"),
     )
     # Facts without a key or a time match nothing; a hash of the row keeps them from gathering in one group.
     unmatched = F.col(fact_key).isNull() | F.col(fact_ts).isNull()
@@ -106,13 +77,13 @@ def asof_join(
         .orderBy(F.col("_kind") != header, F.asc_nulls_first("_at"), "_kind", "_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = F.col("_found")
+    found, holds = F.col("_found"), F.col("_found._to").isNull() | (F.col("_at") < F.col("_found._to"))
     return (
         marked_facts.unionByName(marked_versions, allowMissingColumns=True)
         .unionByName(headers, allowMissingColumns=True)
         .withColumn("_found", F.last("_version", ignorenulls=True).over(in_time))
         .where(F.col("_kind") == fact)
-        .select(*facts.columns, *[found.getField(out).alias(out) for out in attrs])
+        .select(*facts.columns, *[F.when(holds, found.getField(out)).alias(out) for out in attrs])
     )
 
 

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 
 def calendar_spine(series: DataFrame, calendar: DataFrame, day: str = "calendar_date") -> DataFrame:
-    """Every series on every calendar day. The calendar travels as one array, bounded by the days it lists."""
+    """Every series on every calendar day. The calendar travels as one array, bounded by the days it lists.
+
+    A calendar that names the series lists each one's own days, and is the spine itself: a series that was never
+    observed is there too.
+    """
+    if set(series.columns) <= set(calendar.columns):
+        return calendar.select(*series.columns, day).distinct()
     days = calendar.agg(F.sort_array(F.collect_set(day)).alias("days")).scalar()
     return series.withColumn("_days", days).select(*series.columns, F.explode("_days").alias(day))
 

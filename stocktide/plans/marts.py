@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -131,14 +130,12 @@ def rpt_sales_flat(
     products: DataFrame,
     calendar: DataFrame,
     warehouses: DataFrame,
-    join: Callable[..., DataFrame] | None = None,
 ) -> DataFrame:
     """The facts with the dimension versions valid at the time of sale; only attributes fit for reporting.
 
-    ``join`` is the point-in-time plan: carried forward by default, the broadcast form when the stored
-    dimensions have been measured. Same row count as ``sales``.
+    Same row count as ``sales``.
     """
-    join = join or partial(asof_join, days_from=sales)
+    join = partial(asof_join, days_from=sales)
     with_outlet = join(
         sales, outlets, fact_key="outlet_code", fact_ts="event_ts_ist", version_key="outlet_code",
         attrs={

@@ -10,7 +10,6 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktide.operators.asof import range_join, versions_fit
 from stocktide.plans import dq, finance, marts, staging
 from stocktide.sources import feeds as scans
 from stocktide.sources import sample, schemas
@@ -45,7 +44,7 @@ class Frames(Mapping):
 @dataclass(frozen=True)
 class Feeds:
     """Raw feeds by feed name, and the reference frames: uom, warehouses, carriers, legacy, manifest, calendar and
-    feed_calendar, the days on which the feeds are expected."""
+    feed_calendar, the days on which sources are expected, and feed_days, those of the feeds (by feed, if they differ)."""
 
     raw: Mapping[str, DataFrame]
     reference: Mapping[str, DataFrame]
@@ -70,7 +69,7 @@ class Feeds:
         reference = {
             "uom": read("uom_conversion"), "warehouses": read("warehouse_master"), "carriers": read("carrier_master"),
             "legacy": read("legacy_finance_weekly_report"), "manifest": partial(scans.scan_manifest, spark, root),
-            "calendar": calendar, "feed_calendar": calendar,
+            "calendar": calendar, "feed_calendar": calendar, "feed_days": calendar,
         }
         return Feeds(Frames(raw), Frames(reference))
 
@@ -97,10 +96,14 @@ class Feeds:
             events = spark.read.parquet(f"{sf_dir}/events.parquet")
             return marts.calendar_between(events.agg(F.min("ts").alias("first_day"), F.max("ts").alias("last_day")))
 
+        def expected() -> DataFrame:
+            days = F.explode(F.sequence("first_day", "last_day")).alias("calendar_date")
+            return sample.feed(spark, sf_dir, "ref_feed_spans").select("feed", days)
+
         reference = {n: get(a) for n, a in references.items()}
         return Feeds(
             Frames({n: get(a) for n, a in adapters.items()}),
-            Frames({**reference, "calendar": traded, "feed_calendar": observed}),
+            Frames({**reference, "calendar": traded, "feed_calendar": observed, "feed_days": expected}),
         )
 
 
@@ -201,7 +204,7 @@ class Models:
     @cached_property
     def dq_feed_completeness(self) -> DataFrame:
         daily = dq.daily_counts(self.feeds.raw)
-        return self._model("dq_feed_completeness", dq.dq_feed_completeness, daily, self.feeds.feed_calendar)
+        return self._model("dq_feed_completeness", dq.dq_feed_completeness, daily, self.feeds.feed_days)
 
     @cached_property
     def dq_gateway_health(self) -> DataFrame:
@@ -218,12 +221,9 @@ class Models:
 
     @cached_property
     def rpt_sales_flat(self) -> DataFrame:
-        """A view: never stored. Stored dimensions are measured first and broadcast only if they fit."""
-        join = None
-        if self.store and versions_fit(self.dim_outlet, "outlet_code") and versions_fit(self.dim_product, "sku_code"):
-            join = range_join
+        """A view: never stored."""
         return marts.rpt_sales_flat(
-            self.fct_sales, self.dim_outlet, self.dim_product, self.dim_calendar, self.dim_warehouse, join
+            self.fct_sales, self.dim_outlet, self.dim_product, self.dim_calendar, self.dim_warehouse
         )
 
 

@@ -209,6 +209,16 @@ SELECT 'wms_scan_events', 'dt=' || CAST(dt AS STRING), CAST(2 AS BIGINT), count(
 FROM feed_wms GROUP BY dt
 """
 
+# The first and last day on which each feed is expected, from the tables it is derived from.
+SQL["ref_feed_spans"] = """
+SELECT 'pos_transactions' AS feed, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) + 3 AS last_day FROM orders
+UNION ALL SELECT 'erp_cdc/sales_order_header', min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)) + 30 FROM orders
+UNION ALL SELECT 'erp_cdc/outlet_master', DATE '1994-12-31', max(CAST(o_orderdate AS DATE)) + 4 FROM orders
+UNION ALL SELECT 'erp_cdc/product_master', DATE '1994-12-31', max(CAST(l_shipdate AS DATE)) + 2 FROM lineitem
+UNION ALL SELECT 'reefer_telemetry', min(CAST(ts AS DATE)), max(CAST(ts AS DATE)) FROM events
+UNION ALL SELECT 'wms_scan_events', min(CAST(ts AS DATE)), max(CAST(ts AS DATE)) FROM events
+"""
+
 # Questions: the user turns of the conversations, and one composed question per order with a period phrase.
 SQL["questions"] = """
 SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'

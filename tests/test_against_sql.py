@@ -35,3 +35,12 @@ def test_no_python_workers_in_any_plan(spark):
     for name in ("rpt_sales_flat", "route_pick", "dq_feed_completeness"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_completeness_counts_every_row_of_every_feed(spark):
+    from stocktide.plans.warehouse import Feeds, Models
+
+    m = Models(Feeds.from_tables(spark, SF))
+    seen = {r["feed"]: r["n"] for r in m.dq_feed_completeness.groupBy("feed").agg({"rows_present": "sum"}).toDF("feed", "n").collect()}
+    assert seen == {name: frame.count() for name, frame in m.feeds.raw.items()}
+    assert all(seen.values())

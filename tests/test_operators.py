@@ -88,7 +88,7 @@ def asof_by_hand(facts, versions):
     return out
 
 
-def test_asof_join_matches_brute_force_and_the_range_form(spark):
+def test_asof_join_matches_brute_force_with_and_without_ends(spark):
     rng = random.Random(11)
     versions, number = [], {}
     for _ in range(300):
@@ -103,7 +103,7 @@ def test_asof_join_matches_brute_force_and_the_range_form(spark):
     f = spark.createDataFrame(facts, "id int, key string, at timestamp_ntz")
     v = spark.createDataFrame([tuple(x) for x in versions], "k string, valid_from timestamp_ntz, version_no int, label string")
     args = dict(fact_key="key", fact_ts="at", version_key="k", attrs={"label": "label"})
-    got = asof.asof_join(f, v, **args).collect()
+    got = asof.asof_join(f, v, valid_to=None, **args).collect()
     expected = asof_by_hand(facts, versions)
     assert len(got) == len(facts)
     assert {r["id"]: r["label"] for r in got} == expected
@@ -111,8 +111,18 @@ def test_asof_join_matches_brute_force_and_the_range_form(spark):
     from pyspark.sql import Window
     nxt = F.lead("valid_from").over(Window.partitionBy("k").orderBy("version_no"))
     dim = v.withColumn("valid_to", F.coalesce(nxt, F.lit("9999-12-31").cast("timestamp_ntz")))
-    assert {r["id"]: r["label"] for r in asof.range_join(f, dim, **args).collect()} == expected
-    assert asof.versions_fit(v, "k") and not asof.versions_fit(v, "k", max_per_key=5)
+    assert {r["id"]: r["label"] for r in asof.asof_join(f, dim, **args).collect()} == expected
+
+
+def test_asof_join_reads_the_end_of_a_version(spark):
+    """A closed version matches nothing after it; of two that overlap the later one decides and nothing fans out."""
+    dim = spark.createDataFrame(
+        [("a", ts(1), ts(3), 1, "a1"), ("a", ts(5), None, 2, "a2"), ("b", ts(1), ts(9), 1, "b1"), ("b", ts(2), ts(4), 2, "b2")],
+        "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, version_no int, label string")
+    facts = [(1, "a", ts(2)), (2, "a", ts(3)), (3, "a", ts(4)), (4, "a", ts(7)), (5, "b", ts(3)), (6, "b", ts(6)), (7, "b", ts(1, 5))]
+    f = spark.createDataFrame(facts, "id int, key string, at timestamp_ntz")
+    got = asof.asof_join(f, dim, fact_key="key", fact_ts="at", version_key="k", attrs={"label": "label"}).collect()
+    assert sorted((r["id"], r["label"]) for r in got) == [(1, "a1"), (2, None), (3, None), (4, "a2"), (5, "b2"), (6, None), (7, "b1")]
 
 
 def test_keep_first_is_total_and_limits_before_the_exchange(spark):
