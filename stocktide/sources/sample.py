@@ -51,12 +51,12 @@ JOIN part p ON l.l_partkey = p.p_partkey
 """
 
 # Refrigerated transport readings: one vendor sends Fahrenheit, one firmware runs seven hours ahead, every 31st
-# event is delivered twice, gateway 7 is silent for two days.
+# event is delivered twice, gateway 7 is silent for two days. Every 29th device moves between two vehicles.
 SQL["feed_telemetry"] = """
 SELECT CAST(e.user_id AS STRING) AS device_id,
        CASE WHEN e.user_id % 3 = 0 THEN 'COLDEYE' ELSE 'THERMLOG' END AS telemetry_vendor,
        CASE WHEN e.user_id % 11 = 0 THEN '2.1.4' ELSE '2.0.9' END AS firmware_version,
-       'V' || CAST(e.user_id AS STRING) AS vehicle_registration,
+       'V' || CAST(CASE WHEN e.user_id % 29 = 0 THEN e.user_id + e.event_id % 2 * 1000000 ELSE e.user_id END AS STRING) AS vehicle_registration,
        'R' || CAST(e.event_id % 260 AS STRING) AS route_code,
        CAST(e.event_id % 8 AS STRING) AS warehouse_code,
        'G' || CAST(e.user_id % 10 AS STRING) AS gateway_id,
