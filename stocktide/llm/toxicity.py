@@ -7,7 +7,9 @@ covering documents that no earlier one explains; tokens with such a form in a to
 exact forward-backward expectations. A document's tokens form one chain, whatever its length; the marginals give the
 offending spans and, summed and calibrated on the training documents, the score.
 
-The fit uses a bounded sample of labelled rows (SAMPLE per class, chosen by a hash of doc_id); scoring runs over all rows.
+The fit uses a sample of labelled documents (SAMPLE per class, chosen by a hash of doc_id), with all of their text however
+long it is: word forms are counted and chains cut where the text lies, and only chosen forms and CHAINS chains of each kind
+meet in one task. Scoring runs over all rows.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.common import LOWER, arrow_map, mix, powers, prefix_hash, ship, slices, utf8, word_bounds
+from stocktide.llm.common import LOWER, arrow_map, cut, lists, mix, powers, prefix_hash, ship, slices, utf8, word_bounds
 
-#: Labelled documents of each class, and bytes of their text, that the model is fitted on at most.
-SAMPLE, SAMPLE_BYTES = 1500, 10_000_000
+#: Labelled documents of each class that the model is fitted on at most.
+SAMPLE = 1500
 #: Hashed features; tokens of one training chain; training chains of each kind at most.
 FEATURES, CHAIN, CHAINS = 1 << 18, 40, 8_000
 #: Bytes of word beginnings and endings that are features, and of beginnings that can label a token.
@@ -108,25 +110,37 @@ def _forms(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[np.
         yield np.where(end - begin >= n, h, np.uint64(0))
 
 
-def toxic_forms(forms: list[np.ndarray], row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+def _distinct(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, first place of each hash) of the distinct pairs, sorted; a hash of 0 is none."""
+    order = np.lexsort((row, h))
+    h, row = h[order], row[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])[: len(h)] & (h != 0)
+    h, row = h[new], row[new]
+    return h, row, np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
+
+
+def _tokens_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(bytes, doc, toxic, begin, end, row, features) of each slice of rows (doc, toxic, text)."""
+    data, off = utf8(batch.column(2))
+    doc, toxic = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    for i, j in slices(off, 2 << 20):
+        part = data[off[i] : off[j]]
+        yield part, doc[i:j], toxic[i:j].astype(bool), *token_features(part, off[i : j + 1] - off[i])
+
+
+def _counted(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Toxic and other documents that have each form, per slice."""
+    for data, _, toxic, begin, end, row, _ in _tokens_of(batch):
+        for k, h in enumerate(_forms(data, begin, end)):
+            h, r, first = _distinct(h, row)
+            if len(first):
+                hits = np.add.reduceat(toxic[r].astype(np.int64), first)
+                yield {"form": h[first].view(np.int64), "kind": np.full(len(first), k, np.int32), "hits": hits, "others": np.diff(np.append(first, len(h))) - hits}
+
+
+def cover(documents_of: dict[int, set[int]], others: dict[int, int], length: dict[int, int], least: float, share: float) -> np.ndarray:
     """Greedy cover of the toxic documents by forms that at most one in twenty times occur in others."""
-    share, least = toxic.sum() / max(1, (~toxic).sum()), max(2, 0.002 * toxic.sum())
-    documents_of: dict[int, set[int]] = {}
-    others, length = {}, {}
-    for k, h in enumerate(forms):
-        order = np.lexsort((row, h))
-        h, r = h[order], row[order]
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])]) & (h != 0)
-        h, r = h[new], r[new]
-        names, first = np.unique(h, return_index=True)
-        hits = np.add.reduceat(toxic[r].astype(np.int64), first) if len(first) else first
-        rest = np.diff(np.append(first, len(h))) - hits
-        stop = np.append(first[1:], len(h))
-        for i in np.flatnonzero((hits >= least) & (rest * share <= 0.05 * hits)):
-            part = r[first[i] : stop[i]]
-            documents_of[int(names[i])] = set(part[toxic[part]].tolist())
-            others[int(names[i])], length[int(names[i])] = int(rest[i]), k
-    found, open_docs, pool = set(), set(np.flatnonzero(toxic).tolist()), dict(documents_of)
+    found, open_docs, pool = set(), set().union(*documents_of.values()), dict(documents_of)
     while open_docs and pool:
         new = {f: len(d & open_docs) for f, d in pool.items()}
         pool = {f: d for f, d in pool.items() if new[f] >= least}
@@ -142,43 +156,52 @@ def toxic_forms(forms: list[np.ndarray], row: np.ndarray, toxic: np.ndarray) ->
     return np.array(sorted(found), np.uint64)
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Field:
-    """The field for labelled documents. Without both labels the score is the labels' mean for every text."""
-    toxic = np.asarray(toxic, bool)
-    if not toxic.any() or toxic.all():
-        mean = float(toxic.mean()) if len(toxic) else 0.0
-        return Field(np.zeros(FEATURES + 1, np.float32), np.zeros(4), (float(np.log((mean + 1e-6) / (1 - mean + 1e-6))), 0.0))
-    raw = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    parts = [(i, *token_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) for i, j in slices(offsets)]
-    row = np.concatenate([i + p for i, _, _, p, _ in parts])
-    features = np.concatenate([f for *_, f in parts])
-    begin = np.concatenate([b + offsets[i] for i, b, *_ in parts])
-    end = np.concatenate([e + offsets[i] for i, _, e, *_ in parts])
-    bounds = np.searchsorted(row, np.arange(len(texts) + 1))
-    forms = list(_forms(data, begin, end))
-    found = toxic_forms(forms, row, toxic)
-    label = np.any([np.isin(h, found) for h in forms], axis=0) & toxic[row]
-    del forms, begin, end, parts
-    # Chains of CHAIN tokens: all with a toxic token, and as many others at most.
-    start = np.concatenate([np.arange(a, b, CHAIN) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-    stop = np.minimum(start + CHAIN, bounds[row[start] + 1]) if len(start) else start
-    count = np.concatenate([[0], np.cumsum(label)])
-    has = count[stop] > count[start]
-    rng = np.random.default_rng(7)
-    chosen = np.sort(np.concatenate([rng.permutation(np.flatnonzero(k))[:CHAINS] for k in (has, ~has)]))
-    pick = np.concatenate([np.arange(a, b) for a, b in zip(start[chosen], stop[chosen], strict=True)])
-    size = stop[chosen] - start[chosen]
-    chains = np.concatenate([[0], np.cumsum(size)])
-    x, y = features[pick], label[pick].astype(float)
-    inner = np.ones(len(pick), bool)
+def _chains(batch: pa.RecordBatch, found: np.ndarray) -> Iterator[pa.Table]:
+    """Chains of CHAIN tokens of each slice: whether one is toxic, a hash to choose by, the bytes and the tokens' labels."""
+    for data, doc, toxic, begin, end, row, _ in _tokens_of(batch):
+        if not len(begin):
+            continue
+        label = np.zeros(len(begin), bool)
+        for h in _forms(data, begin, end):
+            label |= np.isin(h, found)
+        label &= toxic[row]
+        bounds = np.searchsorted(row, np.arange(len(doc) + 1))
+        start = np.concatenate([np.arange(a, b, CHAIN) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+        stop = np.minimum(start + CHAIN, bounds[row[start] + 1])
+        count = np.concatenate([[0], np.cumsum(label)])
+        has = count[stop] > count[start]
+        key = mix(doc[row[start]].view(np.uint64) ^ mix((start - bounds[row[start]] + 1).astype(np.uint64)))
+        chosen = np.concatenate([k[np.argsort(key[k], kind="stable")][:CHAINS] for k in (np.flatnonzero(has), np.flatnonzero(~has))])
+        raw, marks = data.tobytes(), label.astype(np.uint8).tobytes()
+        yield pa.table(
+            {
+                "has": pa.array(has[chosen]),
+                "key": pa.array((key[chosen] >> np.uint64(1)).astype(np.int64)),
+                "body": pa.array([raw[begin[a] : end[b - 1]] for a, b in zip(start[chosen], stop[chosen], strict=True)], pa.binary()),
+                "label": pa.array([marks[a:b] for a, b in zip(start[chosen], stop[chosen], strict=True)], pa.binary()),
+            }
+        )
+
+
+def _least_keys(table: pa.Table) -> pa.Table:
+    """The CHAINS chains of each kind that come first."""
+    has, key = (table.column(i).to_numpy() for i in (0, 1))
+    return table.take(np.concatenate([k[np.argsort(key[k], kind="stable")][:CHAINS] for k in (np.flatnonzero(has), np.flatnonzero(~has))]))
+
+
+def fit(bodies: list[bytes], labels: list[bytes], rounds: int = 60) -> Field:
+    """The field, not yet calibrated, for chains of labelled tokens."""
+    offsets = np.concatenate([[0], np.cumsum([len(b) for b in bodies])]).astype(np.int64)
+    _, _, row, x = token_features(np.frombuffer(b"".join(bodies), np.uint8), offsets)
+    y = np.frombuffer(b"".join(labels), np.uint8).astype(float)
+    chains = np.searchsorted(row, np.arange(len(bodies) + 1))
+    inner = np.ones(len(x), bool)
     inner[chains[1:] - 1] = False
     left = np.flatnonzero(inner)
     seen = np.bincount((2 * y[left] + y[left + 1]).astype(int), minlength=4)
-    field = Field(np.zeros(FEATURES + 1), np.zeros(4), (0.0, 0.0))
+    field = Field(np.zeros(FEATURES + 1), np.zeros(4), (0.0, 1.0))
     theta, first, second = np.zeros(FEATURES + 5), np.zeros(FEATURES + 5), np.zeros(FEATURES + 5)
-    kinds, n = x.shape[1], max(1, len(chosen))
+    kinds, n = x.shape[1], max(1, len(bodies))
     for step in range(1, rounds + 1):
         field.weights, field.steps = theta[: FEATURES + 1], theta[FEATURES + 1 :]
         p, expected = field.marginals(field.odds(x), chains, pairs=True)
@@ -186,11 +209,13 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Field:
         grad = np.concatenate([[gap.sum()], np.bincount(x.ravel(), np.repeat(gap, kinds), FEATURES), expected - seen]) / n + 1e-5 * theta
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         theta = theta - 0.25 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    field.weights, field.steps = theta[: FEATURES + 1], theta[FEATURES + 1 :]
-    p = field.marginals(field.odds(features), bounds)
-    mass = np.log1p(np.bincount(row, np.where(p >= 0.1, p, 0), len(texts)))
+    return Field(theta[: FEATURES + 1].astype(np.float32), theta[FEATURES + 1 :], (0.0, 1.0))
+
+
+def calibrated(mass: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+    """Logistic calibration by Newton steps with a little shrinkage."""
     a, b = 0.0, 1.0
-    for _ in range(200):  # logistic calibration by Newton steps with a little shrinkage
+    for _ in range(200):
         q = 1 / (1 + np.exp(-np.clip(a + b * mass, -30, 30)))
         w = q * (1 - q) + 1e-6
         g = np.array([(q - toxic).sum() + 1e-3 * a, ((q - toxic) * mass).sum() + 1e-1 * b])
@@ -199,7 +224,12 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Field:
         a, b = a - np.clip(move[0], -2, 2), b - np.clip(move[1], -2, 2)
         if abs(move).max() < 1e-6:
             break
-    return Field(field.weights.astype(np.float32), field.steps, (float(a), float(b)))
+    return float(a), float(b)
+
+
+def constant(mean: float) -> Field:
+    """The field that gives every text the score `mean`."""
+    return Field(np.zeros(FEATURES + 1, np.float32), np.zeros(4), (float(np.log((mean + 1e-6) / (1 - mean + 1e-6))), 0.0))
 
 
 def held_out() -> F.Column:
@@ -212,18 +242,74 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).where("_label in (0, 1)").groupBy("doc_id").agg(F.max("_label").alias("_label")).where(~held_out())
     first = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample).select("doc_id", "_label")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-    turn = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "text")  # over 2 * sample rows at most
-    bounded = texts.withColumn("_size", F.sum(F.octet_length("text").cast("long")).over(turn)).where(F.col("_size") <= SAMPLE_BYTES).select("doc_id", "text", "_label")
+    # One row per different text of a document; it is read in slices wherever it lies, so no text is too long to learn from.
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(cut(chosen)), "doc_id").distinct()  # 2 * sample rows
+    texts = cut(texts.select(F.xxhash64("doc_id", "text").alias("doc"), (F.col("_label") == 1).alias("toxic"), "text"))
+    count = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    n_toxic, n_clean = count.get(True, 0), count.get(False, 0)
+    if not n_toxic or not n_clean:
+        return constant(n_toxic / max(1, n_toxic + n_clean))
+    share, least = n_toxic / n_clean, max(2, 0.002 * n_toxic)
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast
+
+    forms = arrow_map(texts, _counted, "form long, kind int, hits long, others long").groupBy("form").agg(F.max("kind").alias("kind"), F.sum("hits").alias("hits"), F.sum("others").alias("others"))
+    likely = forms.where((F.col("hits") >= least) & (F.col("others") * F.lit(share) <= 0.05 * F.col("hits"))).toArrow()
+    names = likely["form"].to_numpy().view(np.uint64)
+    wanted = shared((np.sort(names), dict(zip(names.tolist(), likely["others"].to_pylist(), strict=True)), dict(zip(names.tolist(), likely["kind"].to_pylist(), strict=True))))
+
+    def holders(batch: pa.RecordBatch) -> Iterator[dict]:
+        for data, doc, _, begin, end, row, _ in _tokens_of(batch):
+            for h in _forms(data, begin, end):
+                hit = np.isin(h, wanted.value[0])
+                h, r, first = _distinct(h[hit], row[hit])
+                if len(first):
+                    yield {"form": h[first].view(np.int64), "docs": lists(doc[r], np.append(first, len(h)))}
+
+    def covered(table: pa.Table) -> pa.Table:
+        documents_of: dict[int, set[int]] = {}
+        for f, d in zip(table["form"].to_numpy().view(np.uint64).tolist(), table["docs"].to_pylist(), strict=True):
+            documents_of.setdefault(f, set()).update(d)
+        return pa.table({"form": pa.array(cover(documents_of, *wanted.value[1:], least, share).view(np.int64))})
+
+    held = arrow_map(texts.where("toxic"), holders, "form long, docs array<long>")
+    found = shared(np.sort(held.groupBy(F.lit(1).alias("one")).applyInArrow(covered, "form long").toArrow()["form"].to_numpy().view(np.uint64)))
+
+    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: pa.Table | None = None
+        for batch in batches:
+            for more in _chains(batch, found.value):
+                best = _least_keys(more if best is None else pa.concat_tables([best, more]))
+        if best is not None:
+            yield from best.to_batches()
 
-    def fitted(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(i).to_pylist() for i in range(3)), strict=True))
-        return pa.table({"model": pa.array([pickle.dumps(fit([r[1] for r in rows], np.array([r[2] == 1 for r in rows], bool)))], pa.binary())})
+    first = Window.partitionBy("has").orderBy("key", "body")
+    picked = texts.mapInArrow(chains, "has boolean, key long, body binary, label binary").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= CHAINS)
 
-    # One task fits on the bounded sample; the driver gets the weights only.
-    ship(docs.sparkSession)
-    models = bounded.groupBy(F.lit(1).alias("one")).applyInArrow(fitted, "model binary").collect()
-    return pickle.loads(models[0]["model"]) if models else fit([], np.zeros(0, bool))
+    def fitted(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table[c].to_pylist() for c in ("key", "body", "label")), strict=True))
+        return pa.table({"model": pa.array([pickle.dumps(fit([r[1] for r in rows], [r[2] for r in rows]))], pa.binary())})
+
+    # One task fits on the chosen chains; the driver gets the weights only.
+    models = picked.select("key", "body", "label").groupBy(F.lit(1).alias("one")).applyInArrow(fitted, "model binary").collect()
+    if not models:
+        return constant(n_toxic / (n_toxic + n_clean))
+    field = pickle.loads(models[0]["model"])
+    fixed = shared(field)
+
+    def masses(batch: pa.RecordBatch) -> Iterator[dict]:
+        for _, doc, toxic, _, _, row, features in _tokens_of(batch):
+            p = fixed.value.marginals(fixed.value.odds(features), np.searchsorted(row, np.arange(len(doc) + 1)))
+            yield {"mass": np.log1p(np.bincount(row, np.where(p >= 0.1, p, 0), len(doc))), "toxic": toxic}
+
+    def scaled(table: pa.Table) -> pa.Table:
+        mass, toxic = table["mass"].to_numpy(), table["toxic"].to_numpy()
+        order = np.lexsort((toxic, mass))
+        a, b = calibrated(mass[order], toxic[order])
+        return pa.table({"a": [a], "b": [b]})
+
+    scale = arrow_map(texts, masses, "mass double, toxic boolean").groupBy(F.lit(1).alias("one")).applyInArrow(scaled, "a double, b double").collect()[0]
+    return Field(field.weights, field.steps, (scale["a"], scale["b"]))
 
 
 def score(docs: DataFrame, field: Field) -> DataFrame:

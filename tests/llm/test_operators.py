@@ -245,6 +245,20 @@ def test_toxicity_on_held_out_rows(spark, odd, none):
     assert {r["predicted"] for r in toxicity.score(odd, empty).collect()} == {0}
 
 
+def test_toxicity_learns_beside_a_long_text(spark):
+    """A labelled text of 11 MB, the first by the hash of its doc_id, and repeated rows leave the labels' use as it is."""
+    from stocktide.llm import toxicity
+
+    sf = "/root/testdata/sf0.01"
+    frame, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    for toxic in (0, 1):
+        first = frame.join(labels, "doc_id").where(~toxicity.held_out() & (F.col("toxic") == toxic)).orderBy(F.xxhash64("doc_id")).first()["doc_id"]
+        padded = frame.withColumn("text", F.when(F.col("doc_id") == first, F.concat("text", F.expr("repeat(concat(' ', repeat('x', 4000)), 2800)"))).otherwise(F.col("text")))
+        field = toxicity.train(padded.unionByName(padded), labels)
+        out = toxicity.score(frame, field).join(labels, "doc_id").where("held_out").toPandas()
+        assert ((out.predicted == 1) == (out.toxic == 1)).mean() > 0.95 and out.predicted.sum() > 0 and not ((out.predicted == 1) & (out.toxic == 0)).sum() > 1
+
+
 def test_marginals_against_all_paths():
     from itertools import product
 
