@@ -92,8 +92,8 @@ def _pick(values: tuple[str, ...], v: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in values]), (v % len(values) + 1).cast("int"))
 
 
-def _core(kind: Column, base: Column, female: Column, digest: Column) -> Column:
-    """Surrogate of a normal form."""
+def _core(kind: Column, base: Column, female: Column, digest: Column, attempt: int) -> Column:
+    """Surrogate of a normal form. Surnames get a syllable more with every attempt, so that they never run out."""
 
     def byte(i: int) -> Column:
         return _nibble(digest, F.lit(i))
@@ -118,7 +118,7 @@ def _core(kind: Column, base: Column, female: Column, digest: Column) -> Column:
 
     def named(script: str) -> Column:
         given = F.when(female, _pick(GIVEN[script, "f"], byte(0))).otherwise(_pick(GIVEN[script, "m"], byte(0)))
-        surname = F.initcap(F.concat(*[_pick(SYLLABLES[script], byte(i)) for i in (1, 2, 3)]))
+        surname = F.initcap(F.concat(*[_pick(SYLLABLES[script], byte(i)) for i in range(1, 4 + attempt)]))
         return F.when(base.contains(" "), F.concat_ws(" ", given, surname)).otherwise(surname)
 
     name = F.when(cyrillic, named("cyrillic")).otherwise(named("latin"))
@@ -159,7 +159,7 @@ def surrogate_table(known: DataFrame, key: str) -> DataFrame:
 
     def draw(rows: DataFrame, attempt: int) -> DataFrame:
         digest = _digest(key, F.col("kind"), F.col("base"), F.lit(attempt))
-        return rows.withColumn("core", _core(F.col("kind"), F.col("base"), F.col("female"), digest))
+        return rows.withColumn("core", _core(F.col("kind"), F.col("base"), F.col("female"), digest, attempt))
 
     def clashes(rows: DataFrame, settled: DataFrame | None) -> DataFrame:
         """Entities to draw again: all but the first of those that share a surrogate, or whose surrogate is taken."""

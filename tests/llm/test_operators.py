@@ -306,6 +306,15 @@ def test_surrogates_stay_distinct(spark):
     assert len(table) == 5000 and not table.duplicated(["kind", "core"]).any() and not set(table.core) & set(table.base)
 
 
+def test_surrogate_names_do_not_run_out(spark):
+    from stocktide.llm.surrogates import surrogate_table
+
+    names = [f"N{chr(97 + i // 676 % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 17576)}" for i in range(20_000)]
+    known = spark.createDataFrame([("name", n, False) for n in names], "kind string, base string, female boolean")
+    table = surrogate_table(known, "k").toPandas()
+    assert set(table.base) == set(names) and len(table) == 20_000 and table.core.is_unique and not set(table.core) & set(names)
+
+
 # ---- 8 main text
 
 
