@@ -121,6 +121,25 @@ def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType | None = Non
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, type=kind))
 
 
+#: A row that more than 1 / HEAVY of all rows refer to is looked up by broadcast: there are fewer than HEAVY of them.
+HEAVY = 1000
+
+
+def looked_up(frame: DataFrame, table: DataFrame, keys: list[str], uses: str, total: int) -> DataFrame:
+    """Left join of `frame` (`total` rows at most) with `table`, whose rows are unique by `keys` and say in `uses` how many
+    rows of `frame` refer to them.
+
+    Rows of the table with many uses, a bounded number, are broadcast; the others meet few rows each in an exchange, so
+    that no key brings more than a thousandth of the frame to one task. Rows with null keys stay where they are.
+    """
+    large = F.col(uses) * HEAVY > total
+    heavy, light = F.broadcast(table.where(large).drop(uses)), table.where(~large).drop(uses)
+    some = frame.where(" and ".join(f"{k} is not null" for k in keys))
+    none = frame.where(" or ".join(f"{k} is null" for k in keys)).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in table.drop(*keys, uses).schema])
+    rest = some.join(heavy, keys, "left_anti").join(light, keys, "left")
+    return some.join(heavy, keys).unionByName(rest).unionByName(none)
+
+
 # ---- bytes of texts ------------------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktide.llm import bpe, crosspolytope, imatch, mainblocks, packing, setjoin, suffixdedup, surrogates, tokenfile, toxicity
+from stocktide.llm import bpe, crosspolytope, exactdedup, imatch, mainblocks, packing, prefixtrie, setjoin, suffixdedup, surrogates, tokenfile, toxicity
 from stocktide.llm.common import documents
 
 
@@ -53,13 +53,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.jaccard_components(documents(spark, sf_dir), k=3, percent=90)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.exact_duplicates(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_suffix_dedup, op3_cross_polytope, op4_bpe, op5_best_fit, op6_toxicity, op7_surrogates, op8_main_text, op9_token_file, op10_jaccard_join, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_suffix_dedup, op3_cross_polytope, op4_bpe, op5_best_fit, op6_toxicity, op7_surrogates, op8_main_text, op9_token_file, op10_jaccard_join, op12_prefix_trie, op13_exact_dedup, pipeline)}
 
 _COMPONENTS = """
 reach(a, b) AS (SELECT id, id FROM node UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
@@ -83,4 +91,8 @@ node AS (SELECT doc_id AS id FROM documents),
 edge AS (SELECT x.id AS a, y.id AS b FROM s x JOIN s y ON x.s = y.s AND x.id <> y.id JOIN n nx ON nx.id = x.id JOIN n ny ON ny.id = y.id
   GROUP BY x.id, y.id, nx.n, ny.n HAVING 100 * count(*) >= 90 * (nx.n + ny.n - count(*))),{_COMPONENTS}
 SELECT node.id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM node JOIN comp USING (id) LEFT JOIN n USING (id)""",
+    # Whole texts as window keys.
+    "op13_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
 }

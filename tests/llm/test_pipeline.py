@@ -6,7 +6,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from test_operators import brute_components, repeats  # noqa: E402
+from test_corpus_operators import brute_components, repeats  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
