@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktide.llm import bpe, crosspolytope, exactdedup, imatch, mainblocks, packing, prefixtrie, setjoin, suffixdedup, surrogates, tokenfile, toxicity
+from stocktide.llm import bpe, crossalign, crosspolytope, exactdedup, imatch, mainblocks, packing, prefixtrie, setjoin, suffixdedup, surrogates, tokenfile, toxicity
 from stocktide.llm.common import documents
 
 
@@ -53,6 +53,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.jaccard_components(documents(spark, sf_dir), k=3, percent=90)
 
 
+def op11_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crossalign.aligned_links(documents(spark, sf_dir))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -67,7 +71,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_suffix_dedup, op3_cross_polytope, op4_bpe, op5_best_fit, op6_toxicity, op7_surrogates, op8_main_text, op9_token_file, op10_jaccard_join, op12_prefix_trie, op13_exact_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_suffix_dedup, op3_cross_polytope, op4_bpe, op5_best_fit, op6_toxicity, op7_surrogates, op8_main_text, op9_token_file, op10_jaccard_join, op11_cross_align, op12_prefix_trie, op13_exact_dedup, pipeline)}
 
 _COMPONENTS = """
 reach(a, b) AS (SELECT id, id FROM node UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
