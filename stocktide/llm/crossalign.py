@@ -21,7 +21,7 @@ import os
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,9 @@ from stocktide.llm.common import _arrow_schema as arrow_schema
 from stocktide.llm.common import arrow_map, cut, ship, to_batch
 
 #: Bytes of aligned stretches that one worker remembers, with their overhead; longer stretches are not remembered.
-CACHE_BYTES, REMEMBERED = 96 << 20, 1024
+CACHE_BYTES, REMEMBERED = 128 << 20, 1024
+#: Longest stretch in tokens that is divided together with others.
+SHORT = 64
 #: A pair with more than 1 / FREQUENT of all links is frequent; counted pairs that one task holds before it passes them on.
 FREQUENT, HELD = 1 << 20, 1 << 22
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -78,6 +80,49 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def divide(a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`align` for many short intervals at once, all on one level together: ends of all groups, in order.
+
+    a and b ascend over all intervals; interval i holds a[a0[i]:a1[i]] and b[b0[i]:b1[i]] with the same last end.
+    """
+    ends = []
+    while len(a0):
+        more = (a1 - a0 > 1) & (b1 - b0 > 1)
+        ends.append((a1[~more], b1[~more]))
+        a0, a1, b0, b1 = a0[more], a1[more], b0[more], b1[more]
+        at, to = np.full(len(a0), -1), np.zeros(len(a0), np.int64)
+        side = [(a0 + a1 - 2) // 2, (a0 + a1 - 2) // 2 + 1]
+        ahead = np.arange(len(a0))
+        while len(ahead):
+            for step in (0, 1):
+                i = ahead[(at[ahead] < 0) & ((side[0][ahead] >= a0[ahead]) if step == 0 else (side[1][ahead] <= a1[ahead] - 2))]
+                x = side[step][i]
+                j = np.clip(np.searchsorted(b, a[x]), b0[i], b1[i] - 1)
+                found = (j < b1[i] - 1) & (b[j] == a[x])
+                at[i[found]], to[i[found]] = x[found] + 1, j[found] + 1
+                over = j <= b0[i] if step == 0 else j >= b1[i] - 1  # nothing of b ends further out
+                side[step][i] = np.where(over, a0[i] - 1 if step == 0 else a1[i], x - 1 if step == 0 else x + 1)
+            ahead = ahead[(at[ahead] < 0) & ((side[0][ahead] >= a0[ahead]) | (side[1][ahead] <= a1[ahead] - 2))]
+        whole = at < 0
+        ends.append((a1[whole], b1[whole]))
+        a0, a1, b0, b1, at, to = (v[~whole] for v in (a0, a1, b0, b1, at, to))
+        a0, a1, b0, b1 = np.concatenate([a0, at]), np.concatenate([at, a1]), np.concatenate([b0, to]), np.concatenate([to, b1])
+    return tuple(np.sort(np.concatenate([e[k] for e in ends])) if ends else np.zeros(0, np.int64) for k in (0, 1))
+
+
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self):
+        self.data, self.size = np.zeros(1 << 12, np.int64), 0
+
+    def add(self, values: np.ndarray) -> None:
+        while self.size + len(values) > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        self.data[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
 class Pair:
     """Two tokenizers, the bytes and decimal forms of their ids, and what they make of stretches of text."""
 
@@ -99,67 +144,119 @@ class Pair:
             self.a_bytes[i] = bytes(to_byte[c] for c in token) if all(c in to_byte for c in token) else token.encode()
         pieces = [self.right.id_to_piece(i) for i in range(self.right.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.right.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-        self.a_text, self.b_text = list(map(str, range(len(self.a_bytes)))), list(map(str, range(len(pieces))))
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.opens = np.array([x.startswith(b" ") for x in self.a_bytes])
+        # Decimal ids with what may follow them, in this order: left within a group, left at its end, right likewise.
+        left, right = (list(map(str, range(len(x)))) for x in (self.a_bytes, self.b_bytes))
+        self.marks = [t + c for ids, signs in ((left, ",|"), (right, ",;")) for c in signs for t in ids]
+        self.mark_size = np.array(list(map(len, self.marks)), np.int64)
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.n_b = max(1, len(pieces))
+        self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int | None] = {}
+        self.known: dict[str, int] = {}  # -1: white space beside the cut
         self.groups: list[bytes] = []
-        self.rows: list[tuple[int, int, int, bool]] = []  # tokens of either side, groups, whether both give the bytes back
-        self.links: list[tuple[int, ...]] = []
+        self.numbers = [Growing() for _ in range(4)]  # tokens of either side, groups, whether both give the bytes back
+        self.links, self.links_end = Growing(), Growing()
+        self.links_end.add(np.zeros(1, np.int64))
         self.held = 0
 
-    def measured(self, texts: list[str]) -> Iterator[tuple[bytes, tuple[int, int, int, bool], tuple[int, ...]]]:
-        """(groups as text, counts, links) of texts that follow a cut; either tokenizer sees them behind a space."""
-        left = self.left.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    def _left_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each) of texts behind a space. Many without white space are encoded as one, which their spaces divide."""
+        ids, counts = [], []
+        for first in range(0, len(texts), 256):
+            part = texts[first : first + 256]
+            if not any(not t or " " in t or t != t.strip() for t in part):
+                got = np.array(self.left.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+                begin = np.flatnonzero(self.opens[got])
+                if len(begin) == len(part):
+                    ids.append(got)
+                    counts.append(np.diff(np.append(begin, len(got))))
+                    continue
+            for one in self.left.encode_batch_fast([" " + t for t in part], add_special_tokens=False):
+                ids.append(np.array(one.ids, np.int64))
+                counts.append([len(ids[-1])])
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def measure(self, texts: list[str]) -> int:
+        """Add what both tokenizers make of texts that stand between cuts; the place of the first one."""
+        place = len(self.groups)
+        a, a_n = self._left_ids(texts)
         right = self.right.encode(texts, num_threads=1)
-        a_size, b_size, a_text, b_text, n_b = self.a_size, self.b_size, self.a_text, self.b_text, self.n_b
-        for text, one, b in zip(texts, left, right, strict=True):
-            a = one.ids
-            raw = b" " + text.encode()
-            if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-                yield b"", (0, 0, 0, False), ()
-                continue
-            if len(a) == 1 or len(b) == 1:
-                ends = [(len(a), len(b))]
+        b, b_n = np.fromiter(chain.from_iterable(right), np.int64), np.array(list(map(len, right)), np.int64)
+        raw = [b" " + t.encode() for t in texts]
+        a1, b1 = np.cumsum(a_n), np.cumsum(b_n)
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        end = np.cumsum(list(map(len, raw)))
+        same = len(a) and len(b) and (b_n > 0).all() and (a_end[a1 - 1] == end).all() and (b_end[b1 - 1] == end).all()
+        if not (same and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == b"".join(map(self.b_bytes.__getitem__, b.tolist())) == b"".join(raw)):
+            if len(texts) > 1:
+                half = len(texts) // 2
+                self.measure(texts[:half])
+                self.measure(texts[half:])
             else:
-                ends = align(list(accumulate([a_size[i] for i in a])), list(accumulate([b_size[i] for i in b])))
-            parts, links, i, j = [], [], 0, 0
-            for x, y in ends:
-                parts.append(",".join([a_text[k] for k in a[i:x]]) + "|" + ",".join([b_text[k] for k in b[j:y]]))
-                links.append(a[x - 1] * n_b + b[y - 1])
-                i, j = x, y
-            yield ";".join(parts).encode(), (len(a), len(b), len(ends), True), tuple(links)
-
-    def _stretches(self, text: str) -> list[str]:
-        if not self.cuts:
-            return [text]
-        pieces = text.split(" ")
-        known = self.known
-        for p in pieces:
-            if (known.get(p, -1) is None) or (p not in known and (not p or p[0].isspace() or p[-1].isspace())):
-                return _SAFE.split(text)
-        return pieces
+                self.groups.append(b"")
+                for n in self.numbers:
+                    n.add(np.zeros(1, np.int64))
+                self.links_end.add(self.links_end.data[self.links_end.size - 1 : self.links_end.size])
+                self.held += 200
+            return place
+        a0, b0 = a1 - a_n, b1 - b_n
+        long = np.maximum(a_n, b_n) > SHORT
+        x, y = divide(a_end, b_end, a0[~long], a1[~long], b0[~long], b1[~long])
+        for i in np.flatnonzero(long):
+            own = np.array(align(a_end[a0[i] : a1[i]].tolist(), b_end[b0[i] : b1[i]].tolist()), np.int64)
+            x, y = np.append(x, own[:, 0] + a0[i]), np.append(y, own[:, 1] + b0[i])
+        x, y = np.sort(x), np.sort(y)
+        n_groups = np.diff(np.searchsorted(x, np.append(0, a1), "right"))
+        # Tokens in the order of the text form: a group's left ones, then its right ones.
+        order = np.zeros(len(a) + len(b), np.int64)
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[x - 1], last_b[y - 1] = True, True
+        order[np.arange(len(a)) + np.append(0, y)[np.cumsum(last_a) - last_a]] = a + self.n_a * last_a
+        order[np.arange(len(b)) + x[np.cumsum(last_b) - last_b]] = b + 2 * self.n_a + self.n_b * last_b
+        written = "".join(map(self.marks.__getitem__, order.tolist())).encode()
+        stop = np.append(0, np.cumsum(self.mark_size[order])[a1 + b1 - 1]).tolist()
+        self.groups += [written[i : j - 1] for i, j in zip(stop[:-1], stop[1:], strict=True)]
+        for n, values in zip(self.numbers, (a_n, b_n, n_groups, np.ones(len(texts), np.int64)), strict=True):
+            n.add(values)
+        self.links_end.add(self.links.size + np.cumsum(n_groups))
+        self.links.add(a[x - 1] * self.n_b + b[y - 1])
+        self.held += 250 * len(texts) + len(written) + int(end[-1]) + 8 * len(x)
+        return place
+
+    def _learn(self, stretches: list[str]) -> None:
+        for first in range(0, len(stretches), 4096):
+            part = stretches[first : first + 4096]
+            place = self.measure(part)
+            self.known.update(zip(part, range(place, place + len(part)), strict=True))
 
     def stretches(self, texts: list[str]) -> list[list[int]]:
-        """Places in `groups`, `rows` and `links` of the stretches of each text."""
+        """Places of the stretches between cuts of each text."""
         if self.held > CACHE_BYTES:
             self.forget()
-        cut_up = [self._stretches(t) for t in texts]
-        new = [s for s in dict.fromkeys(s for own in cut_up for s in own) if self.known.get(s) is None]
-        at = {}
-        for first in range(0, len(new), 4096):
-            part = new[first : first + 4096]
-            for s, (groups, row, links) in zip(part, self.measured(part), strict=True):
-                (self.known if len(s) <= REMEMBERED else at)[s] = len(self.groups)
-                self.groups.append(groups)
-                self.rows.append(row)
-                self.links.append(links)
-                self.held += 320 + 2 * len(s) + len(groups) + 36 * len(links)
-        return [[at[s] if s in at else self.known[s] for s in own] for own in cut_up]
+        known = self.known
+        cut_up = [t.split(" ") for t in texts] if self.cuts else [[t] for t in texts]
+        new = [p for p in set().union(*cut_up) if p not in known]
+        inner = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()] if self.cuts else new
+        known.update(dict.fromkeys(new, -1))
+        self._learn(inner)
+        out = [list(map(known.__getitem__, own)) for own in cut_up]
+        odd = [i for i, own in enumerate(out) if -1 in own]
+        if odd:
+            cut_up = {i: _SAFE.split(texts[i]) for i in odd}
+            longer = [s for s in dict.fromkeys(s for own in cut_up.values() for s in own) if known.get(s, -1) < 0]
+            outer = {s for s in longer if s in known}  # stay marked as having white space beside the cut
+            self._learn(longer)
+            for i in odd:
+                out[i] = [known[s] for s in cut_up[i]]
+            known.update(dict.fromkeys(outer, -1))
+            new += longer
+        for s in new:
+            if len(s) > REMEMBERED:
+                del known[s]
+        return out
 
 
 def _broadcast(frame: DataFrame, left: str | None, right: str | None):
@@ -180,31 +277,31 @@ def alignments(docs: DataFrame, left: str | None = None, right: str | None = Non
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         pair: Pair = loaded(shared.value, Pair)
         for first, texts in batches_of(batch.column(1)):
-            counts, texts_of, keys, times = [], [], [], []
-            for text, own in zip(texts, pair.stretches(texts), strict=True):
-                rows = [pair.rows[i] for i in own]
-                parts, links = [pair.groups[i] for i in own], [pair.links[i] for i in own]
-                if text and not all(r[3] for r in rows):  # bytes may still agree in the whole
-                    part, row, link = next(pair.measured([text]))
-                    rows, parts, links = [row], [part], [link]
-                if not text or not all(r[3] for r in rows):
-                    rows, parts, links = [], [], []
-                n = np.array([r[:3] for r in rows], np.int64).reshape(-1, 3).sum(axis=0)
-                counts.append(n)
-                texts_of.append(b";".join(parts))
-                own_keys, own_times = np.unique(np.fromiter((k for link in links for k in link), np.int64, int(n[2])), return_counts=True)
-                keys.append(own_keys)
-                times.append(own_times)
-            n = np.array(counts).reshape(-1, 3)
-            bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            places = [own if text else [] for text, own in zip(texts, pair.stretches(texts), strict=True)]
+            fine = pair.numbers[3].data
+            for i, own in enumerate(places):
+                if own and not fine[own].all():  # bytes may still agree in the whole
+                    place = pair.measure([texts[i]])
+                    fine = pair.numbers[3].data
+                    places[i] = [place] if fine[place] else []
+            texts_of = [b";".join(map(pair.groups.__getitem__, own)) for own in places]
+            flat = np.fromiter(chain.from_iterable(places), np.int64)
+            row = np.repeat(np.arange(len(texts)), list(map(len, places)))
+            numbers = [np.bincount(row, n.data[flat], len(texts)).astype(np.int64) for n in pair.numbers[:3]]
+            begin, size = pair.links_end.data[flat], pair.links_end.data[flat + 1] - pair.links_end.data[flat]
+            at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            keys, row = pair.links.data[at], np.repeat(row, size)
+            order = np.argsort(keys)
+            order = order[np.argsort(row[order], kind="stable")]
+            keys, row = keys[order], row[order]
+            heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]))[: len(keys)])
+            bounds = np.searchsorted(row[heads], np.arange(len(texts) + 1)).astype(np.int32)
             out = {
                 "doc_id": batch.column(0).slice(first, len(texts)),
-                "n_a": n[:, 0],
-                "n_b": n[:, 1],
-                "n_groups": n[:, 2],
+                **dict(zip(("n_a", "n_b", "n_groups"), numbers, strict=True)),
                 "groups_sha256": [hashlib.sha256(t).hexdigest() if t else "" for t in texts_of],
-                "keys": pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys))),
-                "times": pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(times).astype(np.int64))),
+                "keys": pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys[heads])),
+                "times": pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.diff(np.append(heads, len(keys))))),
             }
             yield out | {"groups": [t.decode() for t in texts_of]} if groups else out
 
