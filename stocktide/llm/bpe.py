@@ -2,7 +2,7 @@
 
 The vocabulary file is a parameter. The driver reads it once and broadcasts its content (its size is the vocabulary's,
 whatever the input). Tokens never cross certain spaces, so texts are cut there and each distinct piece is encoded once
-per task; the cache of pieces has a fixed size and only saves time.
+per task; the cache of pieces is bounded in bytes and only saves time.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm.common import arrow_map
+from stocktide.llm.common import arrow_map, slices, utf8
 
 #: Fixed values of the vocabulary's pre-tokenizer: white space, and the words it makes.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 _WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
-#: Pieces that one task remembers before it starts anew.
-CACHE = 400_000
+#: Bytes of pieces and their ids, with overhead, that one task remembers before it starts anew; longer pieces aren't remembered.
+CACHE_BYTES, REMEMBERED, OVERHEAD = 64 << 20, 1024, 220
 
 _LOADED: dict[bytes, object] = {}
 
@@ -90,6 +90,7 @@ class Vocabulary:
         self.sizes = [len(t) for t in texts]
         self.split = regex.compile(_WORDS).findall
         self.words: dict[str, bytes] = {}
+        self.held = 0
         self.pack = [struct.Struct(f"<{n}I").pack for n in range(24)]
 
     def compatible(self, left: int, right: int) -> bool:
@@ -130,11 +131,11 @@ class Vocabulary:
             start = end + 1 - sizes[token]
             longest[start] = token + 1  # a later end is a longer match
         out: list[int] = []
-        at, dead = 0, None  # dead: places from which the rest can't be encoded
+        at, dead = 0, None  # dead: places from which the rest can't be encoded, made when the first is found
         token = longest[0] - 1
         while at < n:
             end = at + sizes[token]
-            if dead is None or end not in dead:
+            if dead is None or not dead[end]:
                 if not out:
                     ok = True
                 elif (ok := fits.get((out[-1], token))) is None:
@@ -146,7 +147,9 @@ class Vocabulary:
                     continue
             token = self.shorter.get(token, -1)
             while token < 0:  # go back one token and try a shorter one there
-                dead = {at} if dead is None else dead | {at}
+                if dead is None:
+                    dead = bytearray(n + 1)
+                dead[at] = 1
                 token = out.pop()
                 at -= sizes[token]
                 token = self.shorter.get(token, -1)
@@ -161,12 +164,15 @@ class Vocabulary:
         got = self.words.get(word)
         if got is None:
             ids = self.encode_word(word if word.isascii() else word.encode("utf-8", "surrogatepass").decode("latin-1"))
-            got = self.words[word] = self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else np.array(ids, "<u4").tobytes()
+            got = self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else np.array(ids, "<u4").tobytes()
+            if len(word) <= REMEMBERED:
+                self.words[word] = got
+                self.held += OVERHEAD + len(word) + len(got)
         return got
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE:
-            self.words = {}
+        if self.held > CACHE_BYTES:
+            self.words, self.held = {}, 0
         return [self.encode_piece(p) for p in pieces]
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -197,15 +203,19 @@ class Pieces:
         self.encode, self.special = encode, special
         self.encode_spaced = encode_spaced or encode
         self.split = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes | None] = {}
+        self.held = 0
 
     def _segments(self, texts: list[str]) -> list[list[str]]:
         return [[t] if self.split is None or not any(s in t for s in self.special) else self.split.split(t) for t in texts]
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHE:
-            self.known = {}
+        if self.held > CACHE_BYTES:
+            self.forget()
         known, parts = self.known, self._segments(texts)
         cut = [[s.split(" ") for s in segments] for segments in parts]
         seen: set[str] = set().union(*(pieces for segments in cut for pieces in segments))
@@ -230,20 +240,18 @@ class Pieces:
             else:
                 marks = [self.special[m] for m in self.split.findall(text)]
                 out.append(found[0] + b"".join(np.array([m], "<u4").tobytes() + f for m, f in zip(marks, found[1:], strict=True)))
+        for p in new:
+            if len(p) > REMEMBERED:
+                del known[p]
+            else:
+                self.held += OVERHEAD + len(p) + len(known[p] or b"")
         return out
 
 
 def batches_of(texts: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of about `limit` characters; a null text is empty."""
-    part, first, size = [], 0, 0
-    for i, t in enumerate(texts.to_pylist()):
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= limit:
-            yield first, part
-            part, first, size = [], i + 1, 0
-    if part:
-        yield first, part
+    """(first row, texts) of about `limit` bytes; a null text is empty."""
+    for i, j in slices(utf8(texts)[1], limit):
+        yield i, [t or "" for t in texts.slice(i, j - i).to_pylist()]
 
 
 def bpe_ids(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -12,22 +12,24 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.bpe import Pieces, batches_of, broadcast_vocabulary, loaded, public_vocabulary
 from stocktide.llm.common import _arrow_schema as arrow_schema
-from stocktide.llm.common import arrow_map, cut, scratch, ship, to_batch
+from stocktide.llm.common import arrow_map, cut, lists, mix, scratch, ship, slices, to_batch, utf8
 
 #: Longest code in bits; ids of one stretch between checkpoints; ids of one block (a longer document is one block).
 LONGEST, STRETCH, BLOCK = 16, 256, 1 << 18
 #: The space in the vocabulary's spelling of bytes; pieces encoded at once.
 SPACE, TOGETHER = "\u0120", 256
+#: Where rows without doc_id stand.
+NO_ID = -(2**63)
 BLOCKS = "part int, block int, before long, doc_ids array<long>, counts array<long>, checkpoints array<long>, payload binary"
 
 
@@ -65,16 +67,29 @@ class Library:
 
 
 def library_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
-    """(doc_id, ids binary: little-endian unsigned 32-bit) of every whole text with the end id appended."""
+    """(doc_id, ids binary: little-endian unsigned 32-bit, counts) of every whole text with the end id appended.
+
+    The last row of each task has no ids: `counts` holds how often its rows have each id, as 64-bit integers.
+    """
     shared = broadcast_vocabulary(docs.sparkSession, vocabulary or public_vocabulary())
     end = np.array([end_id], "<u4").tobytes()
+    schema = "doc_id long, ids binary, counts binary"
+    ship(docs.sparkSession)
+    arrow = arrow_schema(docs.sparkSession, schema)
 
-    def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        library = loaded(shared.value, Library)
-        for first, texts in batches_of(batch.column(1)):
-            yield {"doc_id": batch.column(0).slice(first, len(texts)), "ids": [x + end for x in library.pieces.encode_texts(texts)]}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library, total = loaded(shared.value, Library), np.zeros(0, np.int64)
+        for batch in batches:
+            for first, texts in batches_of(batch.column(1)):
+                ids = [x + end for x in library.pieces.encode_texts(texts)]
+                n = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
+                total = np.pad(total, (0, max(0, len(n) - len(total))))
+                total[: len(n)] += n
+                yield to_batch({"doc_id": batch.column(0).slice(first, len(texts)), "ids": ids, "counts": pa.nulls(len(texts), pa.binary())}, arrow)
+        library.pieces.forget()  # the worker lives on
+        yield to_batch({"doc_id": pa.nulls(1, pa.int64()), "ids": pa.nulls(1, pa.binary()), "counts": [total.tobytes()]}, arrow)
 
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 # ---- the code -----------------------------------------------------------------------------------------------------------
@@ -169,83 +184,111 @@ def unpack_bits(payload: bytes, starts: np.ndarray, counts: np.ndarray, table: t
 # ---- writing and reading ------------------------------------------------------------------------------------------------
 
 
-def id_counts(encoded: DataFrame) -> DataFrame:
-    """(id, n) over all documents; a task sends a row per id of the vocabulary at most."""
-    ship(encoded.sparkSession)
+def id_counts(encoded: DataFrame) -> np.ndarray:
+    """How often each id occurs: the sum of the tasks' counts, each as long as the vocabulary at most."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for raw in batch.column(0):
-                n = np.bincount(np.frombuffer(raw.as_py(), "<u4"))
-                if len(n) > len(total):
-                    total = np.concatenate([total, np.zeros(len(n) - len(total), np.int64)])
-                total[: len(n)] += n
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": pa.array(used), "n": pa.array(total[used])})
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        for raw in batch.column(0):
+            n = np.frombuffer(raw.as_py(), np.int64)
+            used = np.flatnonzero(n)
+            yield {"id": used, "n": n[used]}
+
+    counted = arrow_map(encoded.where("counts is not null").select("counts"), run, "id long, n long")
+    rows = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()  # a row per id of the vocabulary at most
+    counts = np.zeros(max([r["id"] for r in rows], default=0) + 1, np.int64)
+    for r in rows:
+        counts[r["id"]] = r["n"]
+    return counts
 
-    return encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+def id_bounds(docs: DataFrame, n: int) -> np.ndarray:
+    """n - 1 ascending doc_ids that divide the rows about evenly; a doc_id of many rows appears as often as it fills parts."""
+    ids = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))
+    cuts = ids.select(F.percentile_approx("id", [i / n for i in range(1, n)], 100 * n).alias("cuts")).first()["cuts"] if n > 1 else None
+    return np.sort(np.array(cuts or [], np.int64))
+
+
+def part_of(ids: np.ndarray, bounds: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """Part of each row, ascending with its id. Rows of one id that fills several parts are dealt over these."""
+    low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+    return low + (salt % (high - low + 1).astype(np.uint64)).astype(np.int64)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0) -> None:
     """Write the token file of `docs` below `path`: `blocks` in ascending doc_id order and the code's `lengths`.
 
     A null text is empty and has the end id only. Rows without doc_id come first; repeated rows stay, in any order
-    among equal ids (ids decide, then the code bits). An empty table gives a file without blocks.
+    among equal ids. Rows without doc_id or of one doc_id may be any share of all rows: they are dealt over as many
+    parts as they fill. An empty table gives a file without blocks.
     """
     spark = docs.sparkSession
     encoded = cut(library_ids(docs, vocabulary, end_id))
-    counted = id_counts(encoded).collect()  # a row per id of the vocabulary at most
-    counts = np.zeros(max([r["id"] for r in counted], default=0) + 1, np.int64)
-    for r in counted:
-        counts[r["id"]] = r["n"]
-    lengths = code_lengths(counts)
+    lengths = code_lengths(id_counts(encoded))
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id long, bits int").coalesce(1).write.parquet(f"{path}/lengths")
     code = spark.sparkContext.broadcast((canonical(lengths), lengths))
+    encoded = encoded.where("ids is not null").select("doc_id", "ids")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = id_bounds(encoded, parts)
 
     def coded(batch: pa.RecordBatch) -> Iterator[dict]:
         codes, sizes = code.value
-        raw = batch.column(1).to_pylist()
-        for i in range(0, len(raw), 512):
-            part = raw[i : i + 512]
-            bounds = np.concatenate([[0], np.cumsum([len(r) // 4 for r in part])])
-            payload, begin, at = pack_bits(np.frombuffer(b"".join(part), "<u4"), bounds, codes, sizes)
-            marks = [at[a:b:STRETCH] - begin[k] * 8 for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
+        raw, offsets = utf8(batch.column(1))
+        ids = pc.fill_null(batch.column(0), NO_ID).to_numpy()
+        for i, j in slices(offsets):
+            own, at_row = raw[offsets[i] : offsets[j]], (offsets[i : j + 1] - offsets[i]) // 4
+            payload, begin, at = pack_bits(own.view("<u4"), at_row, codes, sizes)
+            marks = [at[a:b:STRETCH] - begin[k] * 8 for k, (a, b) in enumerate(zip(at_row[:-1], at_row[1:], strict=True))]
+            bounds_of_marks = np.concatenate([[0], np.cumsum(list(map(len, marks)))])
             yield {
-                "doc_id": batch.column(0).slice(i, len(part)),
-                "n": np.diff(bounds),
-                "marks": pa.array(marks, pa.list_(pa.int64())),
+                "part": part_of(ids[i:j], bounds, mix(begin[1:].astype(np.uint64) + np.arange(i, j).astype(np.uint64))),
+                "doc_id": batch.column(0).slice(i, j - i),
+                "n": np.diff(at_row),
+                "marks": lists(np.concatenate(marks), bounds_of_marks, pa.int64()),
                 "bits": [payload[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)],
             }
 
-    dealt = arrow_map(encoded, coded, "doc_id long, n long, marks array<long>, bits binary").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "bits")
+    dealt = arrow_map(encoded, coded, "part int, doc_id long, n long, marks array<long>, bits binary").repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id")
     arrow = arrow_schema(spark, BLOCKS)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, before, held = TaskContext.get().partitionId(), 0, 0, []
+        number, before, held, size, part = 0, 0, [], 0, None
 
         def block() -> pa.RecordBatch:
-            begin = np.concatenate([[0], np.cumsum([len(h[3]) for h in held])])
-            marks = [np.asarray(h[2], np.int64) + 8 * b for h, b in zip(held, begin, strict=False)]
-            columns = {"part": [part], "block": [number], "before": [before], "doc_ids": [[h[0] for h in held]], "counts": [[h[1] for h in held]], "checkpoints": [np.concatenate(marks)], "payload": [b"".join(h[3] for h in held)]}
+            rows = pa.Table.from_batches(held).combine_chunks()
+            payload, begin = utf8(rows.column("bits"))
+            marks = rows.column("marks").combine_chunks()
+            each = np.diff(marks.offsets.to_numpy())
+            placed = marks.flatten().to_numpy() + 8 * np.repeat(begin[:-1], each)
+            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            columns = {"part": [part], "block": [number], "before": [before], "doc_ids": one(rows.column("doc_id").combine_chunks()), "counts": one(rows.column("n").combine_chunks()), "checkpoints": one(pa.array(placed)), "payload": [payload.tobytes()]}
             return to_batch(columns, arrow)
 
-        size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                held.append(row)
-                size += row[1]
+            first = 0
+            parts_here, n = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            while first < batch.num_rows:
+                if part is not None and parts_here[first] != part:  # another part begins
+                    if held:
+                        yield block()
+                    number, before, held, size = 0, 0, [], 0
+                part = int(parts_here[first])
+                end = int(np.searchsorted(parts_here, part, "right"))
+                full = int(np.searchsorted(np.cumsum(n[first:end]) + size, BLOCK)) + first + 1
+                end = min(end, full)
+                held.append(batch.slice(first, end - first))
+                size += int(n[first:end].sum())
+                first = end
                 if size >= BLOCK:
                     yield block()
-                    number, before, size, held = number + 1, before + size, 0, []
+                    number, before, held, size = number + 1, before + size, [], 0
         if held:
             yield block()
 
     dealt.mapInArrow(blocks, BLOCKS).write.parquet(f"{path}/blocks")
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids binary) of every document of a token file; start counts the ids of all documents before it."""
+def _decoded(spark: SparkSession, path: str, made: Callable[[bytes], object], column: str) -> DataFrame:
+    """(doc_id, start, n_tokens, and a column that `made` derives from the ids) of every document of a token file."""
     lengths_of = spark.read.parquet(f"{path}/lengths").collect()  # a row per id of the vocabulary at most
     lengths = np.zeros(max([r["id"] for r in lengths_of], default=0) + 1, np.int64)
     for r in lengths_of:
@@ -253,12 +296,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(lengths)
     stored = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     own = stored.select("part", F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
-    ahead = own.select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).alias("ahead"))  # a row per part
-    placed = stored.join(ahead, "part").withColumn("before", F.col("before") + F.coalesce("ahead", F.lit(0)))
+    ahead = own.select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).alias("ahead"))
+    # A row per part: as many as shuffle partitions when the file was written.
+    placed = stored.join(F.broadcast(ahead), "part").withColumn("before", F.col("before") + F.coalesce("ahead", F.lit(0)))
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         table = decode_table(shared.value)
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):  # one block at a time
+            row = batch.slice(i, 1).to_pylist()[0]
             n = np.array(row["counts"], np.int64)
             pieces = (n + STRETCH - 1) // STRETCH
             last = np.cumsum(pieces) - 1
@@ -266,18 +311,18 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             size[last[n > 0]] = (n - (pieces - 1) * STRETCH)[n > 0]
             ids = unpack_bits(row["payload"], np.array(row["checkpoints"], np.int64), size, table).astype("<u4")
             ends = np.cumsum(n)
-            yield {"doc_id": row["doc_ids"], "start": row["before"] + ends - n, "ids": [ids[b - a : b].tobytes() for a, b in zip(n, ends, strict=True)]}
+            yield {"doc_id": row["doc_ids"], "start": row["before"] + ends - n, "n_tokens": n, column.split()[0]: [made(ids[b - a : b].tobytes()) for a, b in zip(n, ends, strict=True)]}
 
-    return arrow_map(placed.select("before", "doc_ids", "counts", "checkpoints", "payload"), run, "doc_id long, start long, ids binary")
+    return arrow_map(placed.select("before", "doc_ids", "counts", "checkpoints", "payload"), run, f"doc_id long, start long, n_tokens long, {column}")
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids binary) of every document of a token file; start counts the ids of all before it."""
+    return _decoded(spark, path, bytes, "ids binary")
 
 
 def token_digests(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
     """Per row: doc_id, start, n_tokens and CRC-32 of its ids, from a token file written to the shared folder and read back."""
     path = scratch(docs.sparkSession, "tokens")
     write_tokens(docs, path, vocabulary, end_id)
-
-    def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        raw = batch.column(2).to_pylist()
-        yield {"doc_id": batch.column(0), "start": batch.column(1), "n_tokens": [len(r) // 4 for r in raw], "ids_crc32": [zlib.crc32(r) for r in raw]}
-
-    return arrow_map(read_tokens(docs.sparkSession, path), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _decoded(docs.sparkSession, path, zlib.crc32, "ids_crc32 long")

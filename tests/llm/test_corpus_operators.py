@@ -161,7 +161,70 @@ def test_token_file(docs, odd, none):
         ids = np.array([*library.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
         assert got[r["doc_id"]] == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
-    assert token_digests(odd).count() == odd.count() and token_digests(none).count() == 0
+    assert token_digests(none).count() == 0
+
+    def crc(text):
+        return zlib.crc32(np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes())
+
+    given = odd.select("doc_id", "text").collect()
+    found = token_digests(odd).collect()
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in found) == Counter((r["doc_id"], crc(r["text"])) for r in given)
+    order = sorted(found, key=lambda r: r["start"])
+    assert [r["start"] for r in order] == [0, *np.cumsum([r["n_tokens"] for r in order])[:-1]]
+    assert [r["doc_id"] or -1 for r in order] == sorted(r["doc_id"] or -1 for r in given)
+
+
+def test_hot_ids_are_dealt_over_parts(spark):
+    """Most rows have no id or one id: several parts share them, and the order of ids still holds."""
+    from stocktide.llm.tokenfile import id_bounds, part_of, read_tokens, token_digests, write_tokens
+
+    rows = [(None, f"none {i}") for i in range(400)] + [(7, f"seven {i}") for i in range(500)] + [(i, f"own {i}") for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bounds = id_bounds(frame, 10)
+    parts = part_of(np.full(1000, 7), bounds, np.arange(1000).astype(np.uint64))
+    assert len(bounds) == 9 and 4 <= len(set(parts)) and len(set(part_of(np.full(1000, -(2**63)), bounds, np.arange(1000).astype(np.uint64)))) >= 4
+    found = sorted(token_digests(frame).collect(), key=lambda r: r["start"])
+    assert len(found) == 1000 and [-1 if r["doc_id"] is None else r["doc_id"] for r in found] == sorted(-1 if i is None else i for i, _ in rows)
+    assert found[-1]["start"] + found[-1]["n_tokens"] == sum(r["n_tokens"] for r in found)
+    import tempfile
+
+    path = tempfile.mkdtemp() + "/tokens"
+    write_tokens(frame, path)
+    assert {len(r["ids"]) // 4 == r["n_tokens"] for r in read_tokens(spark, path).collect()} == {True}
+
+
+def test_encoding_takes_linear_time():
+    """One word of half a million letters that lead into dead ends again and again."""
+    import time
+
+    from tokenizers import Tokenizer
+
+    from stocktide.llm.bpe import Vocabulary, public_vocabulary
+
+    with open(public_vocabulary(), "rb") as f:
+        v = Vocabulary(f.read())
+    draw = np.random.default_rng(2)
+    word = "".join(draw.choice(list("abcdefgh"), 500_000))
+    before = time.process_time()
+    ids = v.encode_word(word)
+    assert time.process_time() - before < 3
+    # The library itself is slow on one word of this length; a part of it is compared.
+    assert v.encode_word(word[:20_000]) == Tokenizer.from_file(public_vocabulary()).encode(word[:20_000], add_special_tokens=False).ids
+    assert v.decode(np.array(ids)).decode() == word
+
+
+def test_caches_are_bounded_in_bytes(monkeypatch):
+    from stocktide.llm import bpe
+    from stocktide.llm.tokenfile import Library
+
+    with open(bpe.public_vocabulary(), "rb") as f:
+        library = Library(f.read())
+    library.pieces.encode_texts(["x" * 5000 + " y"])
+    assert "x" * 5000 not in library.pieces.known and "y" in library.pieces.known
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 1000)
+    for i in range(20):
+        library.pieces.encode_texts([f"word{i} another{i}"])
+    assert len(library.pieces.known) < 10
 
 
 def test_code_is_canonical_limited_and_decodes():
