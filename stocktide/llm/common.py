@@ -140,6 +140,19 @@ def looked_up(frame: DataFrame, table: DataFrame, keys: list[str], uses: str, to
     return some.join(heavy, keys).unionByName(rest).unionByName(none)
 
 
+class Growing:
+    """An array that grows at its end: `data` up to `size`."""
+
+    def __init__(self, kind: str = "i8"):
+        self.data, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        while self.size + len(values) > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        self.data[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
 # ---- bytes of texts ------------------------------------------------------------------------------------------------
 
 

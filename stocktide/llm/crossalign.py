@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.bpe import batches_of, byte_characters, loaded, public_vocabulary
 from stocktide.llm.common import _arrow_schema as arrow_schema
-from stocktide.llm.common import arrow_map, cut, ship, to_batch
+from stocktide.llm.common import Growing, arrow_map, cut, ship, to_batch
 
 #: Bytes of aligned stretches that one worker remembers, with their overhead; longer stretches are not remembered.
 CACHE_BYTES, REMEMBERED = 128 << 20, 1024
@@ -110,19 +110,6 @@ def divide(a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.
     return tuple(np.sort(np.concatenate([e[k] for e in ends])) if ends else np.zeros(0, np.int64) for k in (0, 1))
 
 
-class Growing:
-    """An array that grows at its end."""
-
-    def __init__(self):
-        self.data, self.size = np.zeros(1 << 12, np.int64), 0
-
-    def add(self, values: np.ndarray) -> None:
-        while self.size + len(values) > len(self.data):
-            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
-        self.data[self.size : self.size + len(values)] = values
-        self.size += len(values)
-
-
 class Pair:
     """Two tokenizers, the bytes and decimal forms of their ids, and what they make of stretches of text."""
 

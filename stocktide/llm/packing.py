@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.bpe import batches_of, broadcast_vocabulary, loaded, public_vocabulary
+from stocktide.llm.bpe import broadcast_vocabulary, loaded, public_vocabulary
 from stocktide.llm.common import _arrow_schema as arrow_schema
-from stocktide.llm.common import arrow_map, cut, ship, to_batch
-from stocktide.llm.tokenfile import Library
+from stocktide.llm.common import arrow_map, cut, ship, slices, to_batch, utf8
+from stocktide.llm.tokenfile import TEXT_BYTES, Library
 
 #: Permitted sequence lengths, and documents of one group on average.
 LENGTHS = (512, 1024, 2048, 4096, 8192)
@@ -41,9 +41,10 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     shared = broadcast_vocabulary(docs.sparkSession, vocabulary or public_vocabulary())
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        pieces = loaded(shared.value, Library).pieces
-        for first, texts in batches_of(batch.column(1)):
-            yield {"doc_id": batch.column(0).slice(first, len(texts)), "n_tokens": [len(g) // 4 + 1 for g in pieces.encode_texts(texts)]}
+        library = loaded(shared.value, Library)
+        for i, j in slices(utf8(batch.column(1))[1], TEXT_BYTES):
+            _, bounds = library.encode_column(batch.column(1).slice(i, j - i))
+            yield {"doc_id": batch.column(0).slice(i, j - i), "n_tokens": np.diff(bounds) + 1}
 
     return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long")
 

@@ -20,21 +20,36 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.bpe import Pieces, batches_of, broadcast_vocabulary, loaded, public_vocabulary
+from stocktide.llm.bpe import OVERHEAD, REMEMBERED, broadcast_vocabulary, loaded, public_vocabulary
 from stocktide.llm.common import _arrow_schema as arrow_schema
-from stocktide.llm.common import arrow_map, cut, lists, mix, scratch, ship, slices, to_batch, utf8
+from stocktide.llm.common import Growing, arrow_map, cut, lists, mix, scratch, ship, slices, to_batch, utf8
 
 #: Longest code in bits; ids of one stretch between checkpoints; ids of one block (a longer document is one block).
 LONGEST, STRETCH, BLOCK = 16, 256, 1 << 18
 #: The space in the vocabulary's spelling of bytes; pieces encoded at once.
 SPACE, TOGETHER = "\u0120", 256
+#: Bytes of text that are encoded at once; bytes of pieces and their ids, with overhead, that one task remembers.
+TEXT_BYTES, CACHE_BYTES = 1 << 22, 96 << 20
 #: Where rows without doc_id stand.
 NO_ID = -(2**63)
 BLOCKS = "part int, block int, before long, doc_ids array<long>, counts array<long>, checkpoints array<long>, payload binary"
 
 
+def _strings(pieces: pa.Array) -> list[str]:
+    """Strings without spaces, as one text that is divided again: many times faster than one by one."""
+    if not len(pieces):
+        return []
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), " ")
+    return whole[0].as_py().split(" ")
+
+
 class Library:
-    """The tokenizers library with one vocabulary."""
+    """The tokenizers library with one vocabulary.
+
+    Columns of texts are cut at lone spaces, which the vocabulary's own cutting never crosses. Distinct pieces are found
+    by Arrow, exactly; those that aren't remembered go to the library, and ids of texts are gathered from the ids of
+    their pieces. The memory is bounded in bytes, starts anew when full, and only saves time.
+    """
 
     def __init__(self, raw: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,25 +61,88 @@ class Library:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that start with a space
         self.opens[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
-        self.pieces = Pieces(self.encode, {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}, self.encode_spaced)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_spaced(self, pieces: list[str]) -> list[bytes]:
-        """Pieces that start with their only space: many are encoded as one text, which their spaces divide again."""
-        out: list[bytes] = []
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
+        # Places of pieces behind a space, and of those that open a text; -1: white space beside the cut.
+        self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.ids, self.ends, self.held = Growing("<u4"), Growing(), 0
+        self.ends.add([0])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each)."""
+        got = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, "<u4"), *got]), np.array(list(map(len, got)), np.int64)
+
+    def encode_spaced(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces without spaces, each behind a space: many are encoded as one text, which the spaces divide."""
+        out = []
         for first in range(0, len(pieces), TOGETHER):
             part = pieces[first : first + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             begin = np.flatnonzero(self.opens[ids])
-            if len(begin) != len(part):  # a vocabulary without tokens of its own for the space
-                out += self.encode(part)
-                continue
-            raw, ends = ids.tobytes(), (4 * np.append(begin, len(ids))).tolist()
-            out += [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            if len(begin) == len(part):
+                out.append((ids, np.diff(np.append(begin, len(ids)))))
+            else:  # a vocabulary without tokens of its own for the space
+                out.append(self.encode([" " + t for t in part]))
+        return tuple(np.concatenate([o[k] for o in out]) for k in (0, 1)) if out else self.encode([])
+
+    def _add(self, ids: np.ndarray, counts: np.ndarray) -> range:
+        first = self.ends.size - 1
+        self.ends.add(self.ids.size + np.cumsum(counts))
+        self.ids.add(ids)
+        return range(first, first + len(counts))
+
+    def _places(self, pieces: list[str], head: bool) -> np.ndarray:
+        """Places of distinct pieces; new ones are encoded."""
+        known = self.known[head]
+        new = [p for p in pieces if p not in known]
+        inner = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+        known.update(dict.fromkeys(new, -1))
+        ids, counts = self.encode(inner) if head else self.encode_spaced(inner)
+        known.update(zip(inner, self._add(ids, counts), strict=True))
+        self.held += OVERHEAD * len(new) + sum(map(len, new)) + 4 * len(ids)
+        out = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        for p in new:
+            if len(p) > REMEMBERED:
+                del known[p]
         return out
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, bounds of each); a null text is empty."""
+        if self.held > CACHE_BYTES:
+            self.forget()
+        n = len(texts)
+        texts = pc.fill_null(texts, "")
+        cut_up = pc.split_pattern(texts, " ")
+        bounds = cut_up.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        pieces = cut_up.flatten()
+        coded = pieces.dictionary_encode()
+        places = self._places(_strings(coded.dictionary), False)[coded.indices.to_numpy()]
+        heads = pieces.take(pa.array(bounds[:-1])).dictionary_encode()
+        places[bounds[:-1]] = self._places(_strings(heads.dictionary), True)[heads.indices.to_numpy()]
+        row = np.repeat(np.arange(n), np.diff(bounds))
+        odd = np.zeros(n, bool)
+        odd[row[places < 0]] = True
+        for token in self.special:
+            odd |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        ids_size, ends_size = self.ids.size, self.ends.size
+        if odd.any():  # white space beside a cut, or special tokens: such texts are encoded whole
+            own = np.flatnonzero(odd)
+            whole = self._add(*self.encode(texts.take(pa.array(own)).to_pylist()))
+            keep = ~odd[row]
+            places, row = np.append(places[keep], list(whole)), np.append(row[keep], own)
+            order = np.argsort(row, kind="stable")
+            places, row = places[order], row[order]
+        begin = self.ends.data[places]
+        size = self.ends.data[places + 1] - begin
+        ends = np.cumsum(size)
+        ids = self.ids.data[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
+        self.ids.size, self.ends.size = ids_size, ends_size  # whole texts aren't remembered
+        return ids, np.append(0, np.cumsum(np.bincount(row, size, n))).astype(np.int64)
+
 
 def library_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
     """(doc_id, ids binary: little-endian unsigned 32-bit, counts) of every whole text with the end id appended.
@@ -72,7 +150,6 @@ def library_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0)
     The last row of each task has no ids: `counts` holds how often its rows have each id, as 64-bit integers.
     """
     shared = broadcast_vocabulary(docs.sparkSession, vocabulary or public_vocabulary())
-    end = np.array([end_id], "<u4").tobytes()
     schema = "doc_id long, ids binary, counts binary"
     ship(docs.sparkSession)
     arrow = arrow_schema(docs.sparkSession, schema)
@@ -80,13 +157,16 @@ def library_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library, total = loaded(shared.value, Library), np.zeros(0, np.int64)
         for batch in batches:
-            for first, texts in batches_of(batch.column(1)):
-                ids = [x + end for x in library.pieces.encode_texts(texts)]
-                n = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
+            for i, j in slices(utf8(batch.column(1))[1], TEXT_BYTES):
+                ids, bounds = library.encode_column(batch.column(1).slice(i, j - i))
+                ids = np.insert(ids, bounds[1:], end_id)
+                bounds = (bounds + np.arange(len(bounds))) * 4
+                n = np.bincount(ids)
                 total = np.pad(total, (0, max(0, len(n) - len(total))))
                 total[: len(n)] += n
-                yield to_batch({"doc_id": batch.column(0).slice(first, len(texts)), "ids": ids, "counts": pa.nulls(len(texts), pa.binary())}, arrow)
-        library.pieces.forget()  # the worker lives on
+                raw = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])
+                yield to_batch({"doc_id": batch.column(0).slice(i, j - i), "ids": raw, "counts": pa.nulls(j - i, pa.binary())}, arrow)
+        library.forget()  # the worker lives on
         yield to_batch({"doc_id": pa.nulls(1, pa.int64()), "ids": pa.nulls(1, pa.binary()), "counts": [total.tobytes()]}, arrow)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -213,18 +213,30 @@ def test_encoding_takes_linear_time():
     assert v.decode(np.array(ids)).decode() == word
 
 
-def test_caches_are_bounded_in_bytes(monkeypatch):
-    from stocktide.llm import bpe
-    from stocktide.llm.tokenfile import Library
+def test_columns_of_odd_texts(monkeypatch):
+    """Texts with odd white space, special tokens, long pieces and nulls, with a cache that starts anew all the time."""
+    import random
 
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from stocktide.llm import bpe, tokenfile
+
+    draw = random.Random(8)
+    texts = ["".join(draw.choice("ab  \n\t.,1é\u3000'sSx") for _ in range(draw.randrange(50))) for _ in range(400)]
+    texts += [None, "", " ", "a", " a", "a ", "x" * 5000 + " y", "a <|endoftext|> b c", "<|endoftext|>", "a<|endoftext|>b"]
     with open(bpe.public_vocabulary(), "rb") as f:
-        library = Library(f.read())
-    library.pieces.encode_texts(["x" * 5000 + " y"])
-    assert "x" * 5000 not in library.pieces.known and "y" in library.pieces.known
-    monkeypatch.setattr(bpe, "CACHE_BYTES", 1000)
-    for i in range(20):
-        library.pieces.encode_texts([f"word{i} another{i}"])
-    assert len(library.pieces.known) < 10
+        library = tokenfile.Library(f.read())
+    plain = Tokenizer.from_file(bpe.public_vocabulary())
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for most, size in ((1 << 20, len(texts)), (500, 7)):
+        monkeypatch.setattr(tokenfile, "CACHE_BYTES", most)
+        for i in range(0, len(texts), size):
+            column = pa.array(["not", "these", *texts[i : i + size]]).slice(2)
+            ids, bounds = library.encode_column(column)
+            assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want[i : i + size]
+        assert most > 500 or len(library.known[0]) < 100
+    assert "x" * 5000 not in library.known[1] and library.encode_column(pa.array([], pa.string()))[1].tolist() == [0]
 
 
 def test_code_is_canonical_limited_and_decodes():
