@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import math
 import os
 import tempfile
 import uuid
@@ -140,6 +141,33 @@ def looked_up(frame: DataFrame, table: DataFrame, keys: list[str], uses: str, to
     return some.join(heavy, keys).unionByName(rest).unionByName(none)
 
 
+# ---- bitmaps of keys ------------------------------------------------------------------------------------------------
+
+
+def _slot(key: Column, bits: int) -> Column:
+    return F.pmod(key, F.lit(1 << bits)) + 1
+
+
+def bitmap_bits(n: int) -> int:
+    """Size of a bitmap of n keys, as a power of two: about 16 bits a key, 2**27 bits (16 MB) at most."""
+    return min(27, max(15, math.ceil(math.log2(16 * max(1, n)))))
+
+
+def bitmap_of(keys: DataFrame, bits: int) -> DataFrame:
+    """(_part, _bits) of a long column `key`: 2**bits bits in parts of 4 KB, those without a bit left out."""
+    slot = _slot(F.col("key"), bits)
+    return keys.groupBy(F.bitmap_bucket_number(slot).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+
+
+def with_bit(frame: DataFrame, key: Column, bitmap: DataFrame, bits: int, name: str) -> DataFrame:
+    """`frame` with a boolean: whether the bit of `key` is set. A false bit is certain, a true one may be another key's."""
+    slot = _slot(key, bits)
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = frame.withColumn("_part", F.bitmap_bucket_number(slot)).join(F.broadcast(bitmap), "_part", "left")  # 2**bits bits at most
+    return found.withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_part", "_bits")
+
+
 class Growing:
     """An array that grows at its end: `data` up to `size`."""
 

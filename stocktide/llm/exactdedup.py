@@ -13,15 +13,13 @@ that fills a third of the table leaves each task as one row. Equal SHA-256 of eq
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.common import cut, looked_up, packed_rows
+from stocktide.llm.common import bitmap_bits, bitmap_of, cut, looked_up, packed_rows, with_bit
 
-#: Characters of the prefix; bits of the bitmap of lengths; greatest bits of the bitmap of groups that are still open.
-PREFIX, LENGTH_BITS, OPEN_BITS = 64, 20, 27
+#: Characters of the prefix; bits of the bitmap of lengths.
+PREFIX, LENGTH_BITS = 64, 20
 
 
 def _text() -> Column:
@@ -36,25 +34,6 @@ def _prefix_hash() -> Column:
     return F.xxhash64(F.substring(_text(), 1, PREFIX))
 
 
-def _slot(key: Column, bits: int) -> Column:
-    return F.pmod(key, F.lit(1 << bits)) + 1
-
-
-def bitmap_of(keys: DataFrame, bits: int) -> DataFrame:
-    """(_part, _bits) of a long column `key`: 2**bits bits in parts of 4 KB, those without a bit left out."""
-    slot = _slot(F.col("key"), bits)
-    return keys.groupBy(F.bitmap_bucket_number(slot).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
-
-
-def with_bit(frame: DataFrame, key: Column, bitmap: DataFrame, bits: int, name: str) -> DataFrame:
-    """`frame` with a boolean: whether the bit of `key` is set. A false bit is certain, a true one may be another key's."""
-    slot = _slot(key, bits)
-    at = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = frame.withColumn("_part", F.bitmap_bucket_number(slot)).join(F.broadcast(bitmap), "_part", "left")  # 2**bits bits at most
-    return found.withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_part", "_bits")
-
-
 class Refinement:
     """What the first two levels leave open over one table of documents."""
 
@@ -64,7 +43,7 @@ class Refinement:
         same_length = with_bit(short, F.xxhash64("n"), bitmap_of(lengths, LENGTH_BITS), LENGTH_BITS, "open").where("open")
         groups = cut(same_length.groupBy("n", "p").count().where("count > 1").select(F.xxhash64("n", "p").alias("key")))
         self.rows = short.count()
-        self.bits = min(OPEN_BITS, max(15, math.ceil(math.log2(16 * max(1, groups.count())))))
+        self.bits = bitmap_bits(groups.count())
         self.bitmap = cut(bitmap_of(groups, self.bits))
 
     def hashed(self, frame: DataFrame) -> DataFrame:

@@ -460,6 +460,37 @@ def test_jaccard_components(spark, docs, k, percent):
     assert got == want
 
 
+def test_sketches_never_rule_out_a_link():
+    """Bits in which sketches differ are at most the shingles in which sets differ, for sets of any two sizes."""
+    from stocktide.llm.common import utf8
+    from stocktide.llm.setjoin import parity_sketches, sketch_distance
+
+    rng = np.random.default_rng(11)
+    for n in (1, 5, 100, 900, 40_000):
+        a = np.unique(rng.integers(0, 1 << 63, n)).astype(np.uint64)
+        for share in (0.0, 0.1, 0.6, 1.0):
+            b = np.unique(np.concatenate([a[rng.random(len(a)) >= share], rng.integers(0, 1 << 63, int(share * n * rng.choice([0.2, 1, 5]))).astype(np.uint64)]))
+            data, at = utf8(parity_sketches(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), np.array([len(a), len(b)])))
+            left, right = (data[at[i] : at[i + 1]][None, :] for i in (0, 1))
+            different = len(np.setxor1d(a, b))
+            assert sketch_distance(left, right)[0] == sketch_distance(right, left)[0] <= different
+            assert different == 0 or share < 0.6 or n < 100 or sketch_distance(left, right)[0] > 0.2 * n * share
+
+
+def test_texts_that_share_an_id(spark):
+    """One id with two texts: both are judged, neither is lost for the other's sake."""
+    from stocktide.llm.setjoin import jaccard_components, one_of_each
+
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in draw.integers(0, 10_000, 60)) for _ in range(4)]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (9, texts[1] + " end"), (3, texts[2]), (5, texts[2] + " tail"), (None, texts[0]), (None, ""), (8, texts[3]), (8, ""), (2, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_components(frame).collect())
+    assert got == Counter([(5, 56, 5), (5, 56, 5), (5, 56, 5), (9, 57, 5), (3, 56, 3), (5, 57, 3), (None, 56, None), (None, 0, None), (8, 56, 8), (8, 0, 8), (2, 0, 2)])
+    stay = Counter((r["doc_id"], r["text"]) for r in one_of_each(frame).collect())
+    assert stay == Counter([(5, texts[0]), (5, texts[1]), (3, texts[2]), (None, texts[0]), (None, ""), (8, texts[3]), (8, ""), (2, None)])
+
+
 def test_one_of_each_on_odd_rows(odd, none):
     from stocktide.llm.setjoin import jaccard_components, one_of_each
 

@@ -167,7 +167,7 @@ def test_exact_duplicates_of_odd_rows(spark):
 
 
 def test_bits_are_the_keys(spark):
-    from stocktide.llm.exactdedup import bitmap_of, with_bit
+    from stocktide.llm.common import bitmap_of, with_bit
 
     keys = spark.range(-40_000, 40_000, 13).select(F.col("id").alias("key"))
     marked = with_bit(spark.range(-60_000, 60_000).toDF("key"), F.col("key"), bitmap_of(keys, 20), 20, "there")
