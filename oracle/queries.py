@@ -105,8 +105,8 @@ SELECT feed, partition, row_count AS expected_rows, actual_rows FROM ref_manifes
 Q["calendar_spine"] = "SELECT device_id, calendar_date FROM (SELECT DISTINCT device_id FROM fct_cold_chain_readings) x, feed_calendar"
 Q["spine_zero_fill"] = """
 SELECT s.device_id, s.calendar_date, count(r.dt) AS readings, count(r.dt) = 0 AS day_absent
-FROM (SELECT device_id, calendar_date FROM (SELECT DISTINCT device_id FROM fct_cold_chain_readings) x, feed_calendar) s
-LEFT JOIN fct_cold_chain_readings r ON r.device_id = s.device_id AND r.dt = s.calendar_date GROUP BY ALL
+FROM (SELECT device_id, calendar_date FROM (SELECT DISTINCT device_id FROM readings_watched) x, feed_calendar) s
+LEFT JOIN readings_watched r ON r.device_id = s.device_id AND r.dt = s.calendar_date GROUP BY ALL
 """
 
 # --- aggregations, sorts, set operations
@@ -153,7 +153,7 @@ Q["top_n"] = f"""
 SELECT outlet_code, count(*) AS orders, sum(order_value_gross_corrected)::DOUBLE AS order_value FROM fct_orders
 GROUP BY outlet_code ORDER BY sum(order_value_gross_corrected) DESC, outlet_code LIMIT {TOP_N}
 """
-Q["union_all_feeds"] = "SELECT feed, d, n FROM feed_days"
+Q["union_all_feeds"] = "SELECT feed, d, n FROM all_feed_days"
 
 # --- models
 for _name in (*MODELS, "rpt_sales_flat"):

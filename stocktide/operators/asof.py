@@ -7,7 +7,7 @@ the last version seen is carried forward; the version in force at the start of a
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,13 +27,15 @@ def asof_join(
     valid_to: str | None = "valid_to",
     tie: str = "version_no",
     days_from: DataFrame | None = None,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Left join of each fact to the last version with ``valid_from <= fact_ts``; highest ``tie`` at equal times.
 
     That version matches only before its ``valid_to`` (NULL: open); where it is closed the fact matches nothing. Of
     overlapping versions the one that began last decides. Without ``valid_to`` versions never close.
 
-    ``days_from`` is a cheaper frame that holds at least the keys and times of ``facts``.
+    ``days_from`` is a cheaper frame that holds at least the keys and times of ``facts``. ``spread`` names the columns
+    that spread facts without a key or a time (all of them, if none is named); named, the other columns can be pruned.
     """
     usable = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull())
     header, version, fact = 0, 1, 2
@@ -47,7 +49,7 @@ def asof_join(
     )
     # Facts without a key or a time match nothing; a hash of the row keeps them from gathering in one group.
     unmatched = F.col(fact_key).isNull() | F.col(fact_ts).isNull()
-    salt = F.when(unmatched, F.pmod(F.xxhash64(*facts.columns), F.lit(4096))).otherwise(F.lit(0))
+    salt = F.when(unmatched, F.pmod(F.xxhash64(*(spread or facts.columns)), F.lit(4096))).otherwise(F.lit(0))
     marked_facts = facts.select(
         "*",
         _chunk(F.when(~unmatched, F.col(fact_key)), F.col(fact_ts), salt).alias("_chunk"),

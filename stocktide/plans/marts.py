@@ -135,7 +135,7 @@ def rpt_sales_flat(
 
     Same row count as ``sales``.
     """
-    join = partial(asof_join, days_from=sales)
+    join = partial(asof_join, days_from=sales, spread=("txn_id", "txn_line_no"))
     with_outlet = join(
         sales, outlets, fact_key="outlet_code", fact_ts="event_ts_ist", version_key="outlet_code",
         attrs={

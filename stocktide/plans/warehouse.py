@@ -43,11 +43,16 @@ class Frames(Mapping):
 
 @dataclass(frozen=True)
 class Feeds:
-    """Raw feeds by feed name, and the reference frames: uom, warehouses, carriers, legacy, manifest, calendar and
+    """Raw feeds by feed name, the same as completeness finds them where that differs, and the reference frames: uom, warehouses, carriers, legacy, manifest, calendar and
     feed_calendar, the days on which sources are expected, and feed_days, those of the feeds (by feed, if they differ)."""
 
     raw: Mapping[str, DataFrame]
     reference: Mapping[str, DataFrame]
+    watched_raw: Mapping[str, DataFrame] | None = None
+
+    @property
+    def watched(self) -> Mapping[str, DataFrame]:
+        return self.raw if self.watched_raw is None else self.watched_raw
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self.reference:
@@ -75,7 +80,7 @@ class Feeds:
 
     @staticmethod
     def from_tables(spark: SparkSession, sf_dir: str) -> Feeds:
-        """The same shapes derived from the given tables."""
+        """The same shapes derived from the given tables; completeness watches scans and readings with planted gaps."""
         adapters = {
             "pos_transactions": "feed_pos", "reefer_telemetry": "feed_telemetry", "wms_scan_events": "feed_wms",
             "erp_cdc/outlet_master": "feed_outlet", "erp_cdc/product_master": "feed_product",
@@ -101,9 +106,11 @@ class Feeds:
             return sample.feed(spark, sf_dir, "ref_feed_spans").select("feed", days)
 
         reference = {n: get(a) for n, a in references.items()}
+        gapped = {n: f"{adapters[n]}_gapped" for n in ("reefer_telemetry", "wms_scan_events")}
         return Feeds(
             Frames({n: get(a) for n, a in adapters.items()}),
             Frames({**reference, "calendar": traded, "feed_calendar": observed, "feed_days": expected}),
+            Frames({n: get(a) for n, a in {**adapters, **gapped}.items()}),
         )
 
 
@@ -195,7 +202,7 @@ class Models:
 
     @cached_property
     def dq_partition_reconciliation(self) -> DataFrame:
-        raw = self.feeds.raw
+        raw = self.feeds.watched
         return self._model(
             "dq_partition_reconciliation", dq.dq_partition_reconciliation, self.feeds.manifest,
             {n: raw[n] for n in schemas.MANIFEST_FEEDS}, {n: raw[n] for n in schemas.UNLISTED_FEEDS},
@@ -203,13 +210,20 @@ class Models:
 
     @cached_property
     def dq_feed_completeness(self) -> DataFrame:
-        daily = dq.daily_counts(self.feeds.raw)
+        daily = dq.daily_counts(self.feeds.watched)
         return self._model("dq_feed_completeness", dq.dq_feed_completeness, daily, self.feeds.feed_days)
 
+    @cached_property
+    def watched_readings(self) -> DataFrame:
+        """The readings that completeness watches: the fact, unless the feed is watched with gaps."""
+        if self.feeds.watched is self.feeds.raw:
+            return self.fct_cold_chain_readings
+        return marts.fct_cold_chain_readings(staging.stg_reefer_telemetry(self.feeds.watched["reefer_telemetry"]))
+
     @cached_property
     def dq_gateway_health(self) -> DataFrame:
         return self._model(
-            "dq_gateway_health", dq.dq_gateway_health, self.fct_cold_chain_readings, self.feeds.feed_calendar
+            "dq_gateway_health", dq.dq_gateway_health, self.watched_readings, self.feeds.feed_calendar
         )
 
     @cached_property

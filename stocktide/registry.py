@@ -271,7 +271,7 @@ def dominant_value(m: Models) -> DataFrame:
 @query
 def median_baseline(m: Models) -> DataFrame:
     filled = completeness.zero_filled(
-        dq.source_days(m.fct_cold_chain_readings), ["gateway_id"], m.feeds.feed_calendar, day="dt", count="readings"
+        dq.source_days(m.watched_readings), ["gateway_id"], m.feeds.feed_calendar, day="dt", count="readings"
     )
     return completeness.with_median(filled, ["gateway_id"], "readings", "gateway_median")
 
@@ -326,7 +326,7 @@ def week_bucket_join(m: Models) -> DataFrame:
 @query
 def full_outer_reconcile(m: Models) -> DataFrame:
     expected = m.feeds.manifest.select("feed", "partition", F.col("row_count").alias("expected_rows"))
-    actual = dq.partition_counts({n: m.feeds.raw[n] for n in schemas.MANIFEST_FEEDS})
+    actual = dq.partition_counts({n: m.feeds.watched[n] for n in schemas.MANIFEST_FEEDS})
     return reconcile.full_reconcile(expected, actual, ["feed", "partition"])
 
 
@@ -337,7 +337,7 @@ def calendar_spine(m: Models) -> DataFrame:
 
 @query
 def spine_zero_fill(m: Models) -> DataFrame:
-    daily = dq.source_days(m.fct_cold_chain_readings, ["device_id"])
+    daily = dq.source_days(m.watched_readings, ["device_id"])
     return completeness.zero_filled(daily, ["device_id"], m.feeds.feed_calendar, day="dt", count="readings")
 
 
@@ -550,7 +550,7 @@ def kpi_null_rate(m: Models) -> DataFrame:
 
 @query
 def kpi_gateway_holes(m: Models) -> DataFrame:
-    return dq.gateway_holes(m.fct_cold_chain_readings, m.feeds.feed_calendar).orderBy("gateway_id", "dt")
+    return dq.gateway_holes(m.watched_readings, m.feeds.feed_calendar).orderBy("gateway_id", "dt")
 
 
 @query

@@ -51,7 +51,7 @@ JOIN part p ON l.l_partkey = p.p_partkey
 """
 
 # Refrigerated transport readings: one vendor sends Fahrenheit, one firmware runs seven hours ahead, every 31st
-# event is delivered twice, gateway 7 is silent for two days. Every 29th device moves between two vehicles.
+# event is delivered twice. Every 29th device moves between two vehicles.
 SQL["feed_telemetry"] = """
 SELECT CAST(e.user_id AS STRING) AS device_id,
        CASE WHEN e.user_id % 3 = 0 THEN 'COLDEYE' ELSE 'THERMLOG' END AS telemetry_vendor,
@@ -73,10 +73,14 @@ SELECT CAST(e.user_id AS STRING) AS device_id,
        CAST(e.ts AS DATE) AS dt
 FROM events e
 JOIN (SELECT 1 AS copy UNION ALL SELECT 2) d ON d.copy = 1 OR e.event_id % 31 = 0
-WHERE NOT (e.user_id % 10 = 7 AND CAST(e.ts AS DATE) IN (DATE '2024-01-11', DATE '2024-01-12'))
 """
 
-# Warehouse scans. The 17th is absent, the 20th keeps a third and the 24th 60% of its scans.
+# The readings as completeness finds them: gateway 7 is silent for two days.
+SQL["feed_telemetry_gapped"] = """
+SELECT * FROM feed_telemetry WHERE NOT (gateway_id = 'G7' AND dt IN (DATE '2024-01-11', DATE '2024-01-12'))
+"""
+
+# Warehouse scans.
 SQL["feed_wms"] = """
 SELECT CAST(e.event_id AS STRING) AS scan_id,
        CAST(e.event_id % 8 AS STRING) AS warehouse_code,
@@ -93,9 +97,13 @@ SELECT CAST(e.event_id AS STRING) AS scan_id,
        CAST(e.ts AS STRING) AS event_ts,
        CAST(e.ts AS DATE) AS dt
 FROM events e
-WHERE CAST(e.ts AS DATE) <> DATE '2024-01-17'
-  AND NOT (CAST(e.ts AS DATE) = DATE '2024-01-20' AND e.event_id % 3 > 0)
-  AND NOT (CAST(e.ts AS DATE) = DATE '2024-01-24' AND e.event_id % 5 > 2)
+"""
+
+# The scans as completeness finds them: the 17th is absent, the 20th keeps a third and the 24th 60% of its scans.
+SQL["feed_wms_gapped"] = """
+SELECT * FROM feed_wms
+WHERE dt <> DATE '2024-01-17' AND NOT (dt = DATE '2024-01-20' AND CAST(scan_id AS BIGINT) % 3 > 0)
+  AND NOT (dt = DATE '2024-01-24' AND CAST(scan_id AS BIGINT) % 5 > 2)
 """
 
 # Outlet changes: the customer as first version, then one change per order; most attributes are noise.
@@ -201,12 +209,12 @@ UNION ALL
 SELECT 'reefer_telemetry', 'dt=' || CAST(dt AS STRING), CAST(8 AS BIGINT),
        count(*) + CASE WHEN extract(DAY FROM dt) % 7 = 0 THEN 5 WHEN extract(DAY FROM dt) % 11 = 0 THEN -3 ELSE 0 END,
        count(*) * 50
-FROM feed_telemetry WHERE dt <> DATE '2024-01-09' GROUP BY dt
+FROM feed_telemetry_gapped WHERE dt <> DATE '2024-01-09' GROUP BY dt
 UNION ALL
-SELECT 'reefer_telemetry', 'dt=2024-02-15', CAST(8 AS BIGINT), count(*) % 1000 + 1, CAST(900 AS BIGINT) FROM feed_telemetry
+SELECT 'reefer_telemetry', 'dt=2024-02-15', CAST(8 AS BIGINT), count(*) % 1000 + 1, CAST(900 AS BIGINT) FROM feed_telemetry_gapped
 UNION ALL
 SELECT 'wms_scan_events', 'dt=' || CAST(dt AS STRING), CAST(2 AS BIGINT), count(*), count(*) * 30
-FROM feed_wms GROUP BY dt
+FROM feed_wms_gapped GROUP BY dt
 """
 
 # The first and last day on which each feed is expected, from the tables it is derived from.
