@@ -14,6 +14,7 @@ from stocktide.operators import changes, completeness, dedup, quantiles, reconci
 from stocktide.operators.asof import asof_join
 from stocktide.operators.shares import share_of_groups
 from stocktide.plans import checks, dq, finance, kpi, limits, marts, routing, staging
+from stocktide.plans.marts import VERSION_KEYS
 from stocktide.plans.warehouse import Feeds, Models, build_tables
 from stocktide.session import scratch_path
 from stocktide.sources import feeds as scans
@@ -425,7 +426,7 @@ def union_all_feeds(m: Models) -> DataFrame:
 for _name in (*Models.NAMES, Models.VIEW):
 
     def _model(m: Models, name: str = _name) -> DataFrame:
-        return getattr(m, name)
+        return getattr(m, name).drop(*(VERSION_KEYS if name == "fct_sales" else ()))
 
     _model.__name__ = _name
     query(_model)
