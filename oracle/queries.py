@@ -68,6 +68,9 @@ Q["dedup_keep_first"] = "SELECT * FROM pos_once"
 Q["dedup_composite"] = "SELECT device_id, reading_ts::TIMESTAMP AS reading_ts, gps_lat, gps_lon, dt, temp_value, temp_unit FROM telemetry_once"
 Q["dedup_cdc_guard"] = "SELECT sku_code, seq, op_type, op_ts, extract_date, brand, mrp::DOUBLE AS mrp FROM stg_product_history"
 Q["cdc_version_no"] = "SELECT sku_code, seq, op_ts, version_no FROM stg_product_history"
+Q["cdc_upsert"] = Q["cdc_version_no"]
+Q["late_delivery"] = Q["dedup_keep_first"]
+Q["stream_dedup"] = Q["dedup_composite"]
 Q["scd2_windows"] = """
 SELECT outlet_code, version_no, seq, valid_from, valid_to::VARCHAR AS valid_to, is_last_version, is_deleted, is_current FROM outlet_windows
 """

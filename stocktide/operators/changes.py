@@ -33,19 +33,25 @@ def version_history(
     first stays. Whole rows go through the rank filter and the day window; counting needs keys and times only, and
     both shrink groups of copies before their exchange.
     """
+    counts = raw.groupBy(key, op_ts, seq).agg(F.count(F.lit(1)).alias("_rows"))
+    return numbered(keep_first(raw, [key, seq], [arrived, op_ts]), counts, key, op_ts=op_ts, seq=seq)
+
+
+def numbered(kept: DataFrame, counts: DataFrame, key: str, *, op_ts: str = "op_ts", seq: str = "seq") -> DataFrame:
+    """``kept``, one row per (key, seq), with ``version_no``: one more than the raw rows before it, of which ``counts``
+    has the number ``_rows`` for each (key, op_ts, seq)."""
     header, change, count = 0, 1, 2
-    kept = keep_first(raw, [key, seq], [arrived, op_ts]).select(
-        "*", F.lit(0).alias("_rows"), day_chunk(key, op_ts).alias("_chunk"), F.lit(change).alias("_kind")
+    columns = kept.columns
+    kept = kept.select(
+        "*", F.lit(0).cast("long").alias("_rows"), day_chunk(key, op_ts).alias("_chunk"), F.lit(change).alias("_kind")
     )
     # After each (time, seq) stands the number of raw rows that carry it.
-    counts = raw.groupBy(key, op_ts, seq).agg(F.count(F.lit(1)).alias("_rows")).select(
-        "*", day_chunk(key, op_ts).alias("_chunk"), F.lit(count).alias("_kind")
-    )
+    counts = counts.select("*", day_chunk(key, op_ts).alias("_chunk"), F.lit(count).alias("_kind"))
     # A header opens each day with the number of raw rows on the days before it.
     earlier_days = Window.partitionBy("_chunk.k").orderBy("_chunk.d").rowsBetween(Window.unboundedPreceding, -1)
     headers = (
-        raw.groupBy(day_chunk(key, op_ts).alias("_chunk"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        counts.groupBy("_chunk")
+        .agg(F.sum("_rows").alias("_n"))
         .select("_chunk", F.sum("_n").over(earlier_days).alias("_rows"), F.lit(header).alias("_kind"))
         .where("_rows IS NOT NULL")
     )
@@ -59,7 +65,7 @@ def version_history(
         .unionByName(headers, allowMissingColumns=True)
         .withColumn("version_no", F.coalesce(before, F.lit(0)) + 1)
         .where(F.col("_kind") == change)
-        .select(*raw.columns, "version_no")
+        .select(*columns, "version_no")
     )
 
 

@@ -7,13 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from stocktide.functions import cleaning as clean
 from stocktide.functions.numbers import as_double, count_where, round_to
 from stocktide.operators import changes, completeness, dedup, quantiles, reconcile
 from stocktide.operators.asof import asof_join
 from stocktide.operators.shares import share_of_groups
-from stocktide.plans import checks, dq, finance, kpi, limits, marts, routing, staging
+from stocktide.plans import checks, dq, finance, incremental, kpi, limits, marts, routing, staging
 from stocktide.plans.marts import VERSION_KEYS
 from stocktide.plans.warehouse import Feeds, Models, build_tables
 from stocktide.session import scratch_path
@@ -294,6 +295,40 @@ def share_of_total(m: Models) -> DataFrame:
     )
 
 
+# --- in steps ----------------------------------------------------------------------------------------------------
+
+
+@located_query
+def cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product changes applied in three batches that cut across keys and times: the versions of a full rebuild."""
+    log = staging.change_rows(sample.feed(spark, sf_dir, "feed_product"))
+    store = incremental.ChangeStore(spark, scratch_path(spark, "history"), log.schema, "sku_code", buckets=16)
+    for part in (2, 0, 1):
+        store.apply(log.where(F.pmod(F.xxhash64("seq", "extract_date"), F.lit(3)) == part), f"part {part}")
+    return store.history().select("sku_code", "seq", "op_ts", "version_no")
+
+
+@located_query
+def late_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that arrive three days late are merged into the months they touch: first deliveries of all lines."""
+    pos = sample.feed(spark, sf_dir, "feed_pos").withColumn("month", F.substring("event_ts", 1, 7))
+    late, keys = F.col("txn_line_no") == 7, ["txn_id", "txn_line_no"]
+    path = scratch_path(spark, "lines")
+    scans.overwrite_partitions(dedup.keep_first(pos.where(~late), keys, ["ingest_date"]), path, "month")
+    incremental.merge_late(path, pos.where(late), keys, ["ingest_date"], "month")
+    return spark.read.schema(pos.schema).parquet(path).drop("month")
+
+
+@located_query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as a stream of files, copies dropped by the engine's state; the watermark is wider than the feed's days."""
+    feed, root = sample.feed(spark, sf_dir, "feed_telemetry"), scratch_path(spark, "stream")
+    feed.write.parquet(f"{root}/in")
+    at = clean.wall_clock("reading_ts").cast(TimestampType())
+    kept = incremental.stream_first(spark, f"{root}/in", feed.schema, f"{root}/out", ["device_id", "reading_ts", "gps_lat", "gps_lon"], at, "400 days")
+    return kept.select("device_id", clean.wall_clock("reading_ts").alias("reading_ts"), "gps_lat", "gps_lon", "dt", "temp_value", "temp_unit")
+
+
 # --- joins -------------------------------------------------------------------------------------------------------
 
 

@@ -83,3 +83,17 @@ def write_table(df: DataFrame, path: str, cluster_by: Iterable[str] = ()) -> Dat
         df = df.hint("rebalance", *columns).sortWithinPartitions(*columns)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions that ``df`` has rows for; all others stay as they are, files and all."""
+    spread = df.hint("rebalance", F.col(partition))
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
+
+
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[object]) -> None:
+    """Remove whole partitions of a stored table."""
+    for value in values:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
