@@ -20,16 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.llm.common import arrow_map
 
-#: Pages of the training sample, bytes of html that they may have in all, and blocks of a page that training reads.
-PAGES, PAGES_BYTES, TRAIN_BLOCKS = 400, 8_000_000, 200
+#: Pages of the training sample, bytes of html that one of them may have, and blocks of a page that training reads.
+PAGES, PAGE_BYTES, TRAIN_BLOCKS = 400, 200_000, 200
 PATH_BUCKETS, WORD_BUCKETS, PATH_DIM, WORD_DIM, HIDDEN = 4096, 8192, 20, 12, 20
-#: Elements of a path that count: so many from the root and from the leaf.
-DEEP = 10
 
 # Fixed values of HTML: elements without content, inline elements, elements whose content isn't text of the page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,15 +37,80 @@ RAW = "script|style|noscript|template|svg|iframe"
 _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<!\w[^>]*>|<\?[^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>", re.S | re.I)
 _MARKS = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: What marks boilerplate for the labels of training pages: elements, and parts of class names.
-_OUTSIDE = set("nav header footer aside form menu button select textarea head title figure dialog".split())
+_OUTSIDE = set("nav header footer aside form menu button select textarea head title".split())
 _OUTSIDE_MARK = re.compile(r"(?:^|[-_])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu|header|footer|sidebar|side|widget|related|share|social|comments?|respond|reply|cookie\w*|consent|notice|alert|popup|modal|newsletter|subscribe|breadcrumbs?|meta|tags?)(?:$|[-_])", re.I)
 _INSIDE = ("article", "main", "articlebody", "role-main")
 
 
+def tags(page: str) -> Iterator[re.Match]:
+    """Tags, comments and raw elements in order, in one forward pass: behind the last '>' nothing but a comment can begin."""
+    last, at = page.rfind(">"), page.find("<")
+    while 0 <= at <= last:
+        m = _TAG.match(page, at)
+        if m:
+            yield m
+        at = page.find("<", m.end() if m else at + 1)
+    if at >= 0 and (at := page.find("<!--", at)) >= 0:
+        yield _TAG.match(page, at)
+
+
+class Open:
+    """The open elements: names and marks in order, how often each is open, and the innermost that isn't inline."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.described: list[str] = []
+        self.block: list[int] = []  # for each element, the place of the innermost block element up to it, or -1
+        self.times: dict[str, int] = {}
+        self.marks: dict[str, int] = {}
+        self.path: tuple[str, ...] | None = None
+
+    def push(self, name: str, described: str) -> None:
+        above = self.block[-1] if self.block else -1
+        self.block.append(above if name in INLINE else len(self.names))
+        self.names.append(name)
+        self.described.append(described)
+        self.times[name] = self.times.get(name, 0) + 1
+        self.marks[described] = self.marks.get(described, 0) + 1
+        self.path = None
+
+    def pop(self) -> str:
+        name, described = self.names.pop(), self.described.pop()
+        self.block.pop()
+        self.times[name] -= 1
+        self.marks[described] -= 1
+        if not self.marks[described]:
+            del self.marks[described]
+        self.path = None
+        return name
+
+    def end(self, name: str) -> None:
+        """Close the innermost element of this name and all inside it; an end tag of nothing open is nothing."""
+        if self.times.get(name):
+            while self.pop() != name:
+                pass
+
+    def begin_block(self, name: str) -> None:
+        """A block element ends an open paragraph; an item ends the item before it."""
+        at = self.block[-1] if self.block else -1
+        if at >= 0 and (self.names[at] == "p" or (self.names[at] == name and name in ("li", "dt", "dd", "option", "tr", "td", "th"))):
+            while len(self.names) > at:
+                self.pop()
+
+    def described_path(self) -> tuple[str, ...]:
+        """Every different open element once, then the innermost."""
+        if self.path is None:
+            self.path = (*self.marks, *self.described[-1:])
+        return self.path
+
+
 def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
-    """(path, text, characters inside links) of the leaf blocks of a page, in order, without empty ones."""
+    """(path, text, characters inside links) of the leaf blocks of a page, in order, without empty ones.
+
+    A path names every different open element once, however deep, and the innermost last.
+    """
     out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, str]] = []
+    stack = Open()
     text: list[str] = []
     linked = at = 0
     page = page or ""
@@ -57,18 +120,17 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
         if text:
             words = " ".join(html.unescape("".join(text)).split())
             if words:
-                path = [x for _, x in stack]
-                out.append((tuple(path if len(path) <= 2 * DEEP else path[:DEEP] + path[-DEEP:]), words, linked))
+                out.append((stack.described_path(), words, linked))
         text, linked = [], 0
 
     def say(piece: str) -> None:
         nonlocal linked
         if piece:
             text.append(piece)
-            if any(n == "a" for n, _ in stack[-3:]):
+            if "a" in stack.names[-3:]:
                 linked += len(piece)
 
-    for m in _TAG.finditer(page):
+    for m in tags(page):
         say(page[at : m.start()])
         at = m.end()
         name = (m["name"] or m["name2"] or "").lower()
@@ -81,23 +143,15 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
                 continue
             flush()
         if m["end"] or m["end2"]:
-            for k in range(len(stack) - 1, max(-1, len(stack) - 200), -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            stack.end(name)
             continue
         if name in VOID:
             continue
-        if not inline:  # a block element ends an open paragraph; an item ends the item before it
-            for k in range(len(stack) - 1, max(-1, len(stack) - 20), -1):
-                if stack[k][0] == "p" or (stack[k][0] == name and name in ("li", "dt", "dd", "option", "tr", "td", "th")):
-                    del stack[k:]
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+        if not inline:
+            stack.begin_block(name)
         if not (m["rest"] or m["rest2"] or "").endswith("/"):
             marks = " ".join("".join(x) for x in _MARKS.findall(m["rest"] or m["rest2"] or ""))
-            stack.append((name, f"{name} {marks}".strip().lower()[:200]))
+            stack.push(name, f"{name} {marks}".strip().lower())
     say(page[at:])
     flush()
     return out
@@ -252,6 +306,12 @@ def built_page(rng: np.random.Generator, good: list[str], bad: list[str]) -> tup
             page.append(((*root, element.replace("class=", "").replace("id=", "").replace("role=", ""), leaf), text, len(text) if leaf == "li" and rng.random() < 0.8 else 0))
             label.append(0.0)
 
+    def within(element: str, n: int) -> None:
+        first = len(page)
+        outside(element, n)
+        deep = ("div",) if rng.random() < 0.5 else ()
+        page[first:] = [((*inside, path[2], *deep, *path[3:]), text, linked) for path, text, linked in page[first:]]
+
     for e in rng.choice(_AROUND, rng.integers(1, 4), replace=False):
         outside(str(e), int(rng.integers(1, 8)))
     body = any_of(_BODY).replace("class=", "").replace("id=", "")
@@ -261,9 +321,9 @@ def built_page(rng: np.random.Generator, good: list[str], bad: list[str]) -> tup
         page.append(((*inside, leaf), any_of(good), 0))
         label.append(1.0)
         if rng.random() < 0.08:
-            n = len(page)
-            outside(any_of(("div ad", "aside", "form", "div related")), 1)
-            page[n] = ((*inside, *page[n][0][2:]), *page[n][1:])
+            within(any_of(("div ad", "aside", "form", "div related")), 1)
+    if rng.random() < 0.35:  # reader comments at the end of the article
+        within(any_of(("section comments", "div comments", "ol comments", "div comment", "section comment-list", "div replies", "section responses")), int(rng.integers(1, 5)))
     for e in rng.choice(_AROUND, rng.integers(1, 4), replace=False):
         outside(str(e), int(rng.integers(1, 8)))
     return page, np.array(label, np.float32)
@@ -304,9 +364,10 @@ def fit(pages: list[str], epochs: int = 6, seed: int = 11) -> Labeller:
 
 
 def train(pages: DataFrame, sample: int = PAGES) -> Labeller:
-    """Fit on `sample` pages at most, the first by a hash of url and page_id; these alone reach the driver (PAGES_BYTES at most)."""
-    keyed = pages.select("html", F.xxhash64("url", "page_id").alias("h"), F.octet_length("html").alias("n")).where("n > 0 and n < 200000")
-    rows = keyed.orderBy("h", "n", "html").limit(sample).withColumn("sum", F.sum("n").over(Window.orderBy("h", "n", "html"))).where(F.col("sum") <= PAGES_BYTES).collect()
+    """Fit on `sample` pages at most, the first by a hash of url and page_id, of PAGE_BYTES at most each; these alone reach
+    the driver."""
+    keyed = pages.select("html", F.xxhash64("url", "page_id").alias("h"), F.octet_length("html").alias("n")).where(f"n > 0 and n < {PAGE_BYTES}")
+    rows = keyed.orderBy("h", "n", "html").limit(sample).collect()
     return fit([r["html"] for r in sorted(rows, key=lambda r: (r["h"], r["n"], r["html"]))])
 
 

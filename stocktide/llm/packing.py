@@ -99,9 +99,9 @@ def pack(counts: DataFrame, lengths: Sequence[int] = LENGTHS) -> DataFrame:
     ship(spark)
     counts = cut(counts.select("doc_id", F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0)).cast("long").alias("n_tokens")))
     groups = max(1, -(-counts.count() // GROUP))
-    # Rows without doc_id are dealt in turn, so that they don't meet in one group; the table is stored, so a task that
-    # runs again deals them the same way.
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64("doc_id", "n_tokens"))
+    # Rows are dealt by their own number, so that repeated rows or rows without doc_id don't meet in one group; the table
+    # is stored, so a task that runs again deals them the same way.
+    key = F.xxhash64("doc_id", F.monotonically_increasing_id())
     dealt = counts.withColumn("pack_group", F.pmod(key, F.lit(groups)))
     arrow = arrow_schema(spark, SCHEMA)
 

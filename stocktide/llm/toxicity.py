@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.llm.common import LOWER, arrow_map, cut, lists, mix, powers, prefix_hash, ship, slices, utf8, word_bounds
@@ -237,11 +237,17 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
 
 
+def _first_of_each(rows: DataFrame, column: str, values: tuple, order: list[F.Column], n: int) -> DataFrame:
+    """The first n rows of each value: each task sends n rows at most, so no class comes together in one."""
+    parts = [rows.where(F.col(column) == v).orderBy(*order).limit(n) for v in values]
+    return parts[0].unionByName(parts[1])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Field:
     """Fit on labelled, not held-out rows: `sample` of each class at most, the first by a hash of doc_id."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).where("_label in (0, 1)").groupBy("doc_id").agg(F.max("_label").alias("_label")).where(~held_out())
-    first = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample).select("doc_id", "_label")
+    known = cut(known)
+    chosen = _first_of_each(known, "_label", (0, 1), [F.xxhash64("doc_id"), F.col("doc_id")], sample)
     # One row per different text of a document; it is read in slices wherever it lies, so no text is too long to learn from.
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(cut(chosen)), "doc_id").distinct()  # 2 * sample rows
     texts = cut(texts.select(F.xxhash64("doc_id", "text").alias("doc"), (F.col("_label") == 1).alias("toxic"), "text"))
@@ -283,8 +289,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
         if best is not None:
             yield from best.to_batches()
 
-    first = Window.partitionBy("has").orderBy("key", "body")
-    picked = texts.mapInArrow(chains, "has boolean, key long, body binary, label binary").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= CHAINS)
+    every = cut(texts.mapInArrow(chains, "has boolean, key long, body binary, label binary"))  # 2 * CHAINS rows a task at most
+    picked = _first_of_each(every, "has", (False, True), [F.col("key"), F.col("body")], CHAINS)
 
     def fitted(table: pa.Table) -> pa.Table:
         rows = sorted(zip(*(table[c].to_pylist() for c in ("key", "body", "label")), strict=True))

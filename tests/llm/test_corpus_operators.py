@@ -417,6 +417,40 @@ def test_main_text(spark):
     assert right > 0.97 * total
 
 
+def test_repeated_rows_are_packed_in_bounded_groups(spark, monkeypatch):
+    from stocktide.llm import packing
+
+    monkeypatch.setattr(packing, "GROUP", 100)
+    rows = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(300).alias("n_tokens"))
+    groups = [r["count"] for r in packing.pack(rows).groupBy("pack_group").count().collect()]
+    assert sum(groups) == 1000 and max(groups) < 200
+
+
+def test_deep_and_broken_pages(spark):
+    """Reader comments far inside the article go, a caption stays; no page takes more than linear time."""
+    import time
+
+    from stocktide.llm import mainblocks
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    model = mainblocks.train(pages)
+    article = [f"The {w} of the town was opened in spring. Many people came to see it." for w in ("bridge", "market", "harbour", "theatre", "station", "garden")]
+    body = "".join(f"<p>{t}</p>" for t in article[:3]) + "<figure><img src=a><figcaption>The harbour seen from the hill.</figcaption></figure>" + "".join(f"<p>{t}</p>" for t in article[3:])
+    comments = "<section class=comments>" + "<div>" * 24 + "<p>I think this article is great. Thank you for writing it.</p>" + "</div>" * 24 + "</section>"
+    page = f"<html><body><nav><a href=/>Home</a><a href=/n>News</a></nav><article><h1>Spring</h1>{body}{comments}</article><footer>Contact us</footer></body></html>"
+    text = mainblocks.main_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), model).first()["text"]
+    assert all(t in text for t in article) and "harbour seen" in text
+    assert "I think this article" not in text and "Home" not in text and "Contact us" not in text
+    for broken in ("<a b " * 1_000_000, "<b>" * 300_000 + "<div></div>" * 300_000, "<div>" * 500_000 + "</x>" * 500_000, "<p class='" + "x" * 5_000_000, "<i '" * 500_000 + ">" + "<!-- <p" * 500_000):
+        start = time.process_time()
+        mainblocks.blocks(broken)
+        assert time.process_time() - start < 5
+    assert [t for _, t, _ in mainblocks.blocks("a<!-- b > c --><p>d<br>e</q></p>f < g <h")] == ["a", "d e", "f < g <h"]
+    deep = mainblocks.blocks("<main id=m>" + "<div class=c>" * 50 + "<p>x")[0][0]
+    assert deep == ("main m", "div c", "p", "p")
+
+
+
 # ---- 10 Jaccard join
 
 
