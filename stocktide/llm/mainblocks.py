@@ -367,8 +367,12 @@ def train(pages: DataFrame, sample: int = PAGES) -> Labeller:
     """Fit on `sample` pages at most, the first by a hash of url and page_id, of PAGE_BYTES at most each; these alone reach
     the driver."""
     keyed = pages.select("html", F.xxhash64("url", "page_id").alias("h"), F.octet_length("html").alias("n")).where(f"n > 0 and n < {PAGE_BYTES}")
-    rows = keyed.orderBy("h", "n", "html").limit(sample).collect()
-    return fit([r["html"] for r in sorted(rows, key=lambda r: (r["h"], r["n"], r["html"]))])
+    first = [r["h"] for r in keyed.select("h").orderBy("h").limit(sample).collect()]
+    if not first:
+        return fit([])
+    # Whole pages leave the tasks only where they are wanted, and one of each url and page_id.
+    rows = keyed.where(F.col("h") <= first[-1]).groupBy("h").agg(F.min(F.struct("n", "html")).alias("page")).collect()
+    return fit([r["page"]["html"] for r in sorted(rows, key=lambda r: r["h"])])
 
 
 def main_text(pages: DataFrame, model: Labeller) -> DataFrame:
