@@ -42,5 +42,15 @@ def test_completeness_counts_every_row_of_every_feed(spark):
 
     m = Models(Feeds.from_tables(spark, SF))
     seen = {r["feed"]: r["n"] for r in m.dq_feed_completeness.groupBy("feed").agg({"rows_present": "sum"}).toDF("feed", "n").collect()}
-    assert seen == {name: frame.count() for name, frame in m.feeds.raw.items()}
+    assert seen == {name: frame.count() for name, frame in m.feeds.watched.items()}
     assert all(seen.values())
+
+
+def test_gaps_are_planted_only_where_completeness_looks(spark):
+    from stocktide.plans.warehouse import Feeds
+
+    feeds = Feeds.from_tables(spark, SF)
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert feeds.raw["wms_scan_events"].count() == events.count() > feeds.watched["wms_scan_events"].count()
+    assert feeds.raw["reefer_telemetry"].count() == events.count() + events.where("event_id % 31 = 0").count()
+    assert feeds.watched["reefer_telemetry"].count() < feeds.raw["reefer_telemetry"].count()
