@@ -1,8 +1,10 @@
 """Point-in-time join: the attributes that were valid for the key when the fact happened.
 
-A fact is never paired with more than one version: facts and versions of one (key, day) are merged in time order and
-the last version seen is carried forward; the version in force at the start of a day is found among one row per
-(key, day) and merged in as the day's first row. The facts are exchanged once and a hot key is spread over its days.
+A fact is never paired with more than one version: facts and versions of one chunk are merged in time order and the
+last version seen is carried forward. A chunk is a (key, day); the version in force when it starts is found among one
+row per chunk and merged in as its first row, so the facts are exchanged once. A (key, day) that holds more than its
+share of all facts is cut further, into ranges of time and, within them, into parts dealt by a hash of the fact; each
+range opens with the version in force at its start, and each part sees the versions of its range.
 """
 
 from __future__ import annotations
@@ -11,8 +13,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 NO_TIME = "0001-01-01"
+# A (key, day) is hot above this many facts and above its share of them all; so there are at most SHARE hot ones.
+HOT_ROWS, SHARE = 200_000, 4096
+RANGE_SECONDS = 900
+RANGES = 25 * 3600 // RANGE_SECONDS  # the longest day has 25 hours
 
 
 def asof_join(
@@ -28,6 +35,7 @@ def asof_join(
     tie: str = "version_no",
     days_from: DataFrame | None = None,
     spread: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join of each fact to the last version with ``valid_from <= fact_ts``; highest ``tie`` at equal times.
 
@@ -35,44 +43,67 @@ def asof_join(
     overlapping versions the one that began last decides. Without ``valid_to`` versions never close.
 
     ``days_from`` is a cheaper frame that holds at least the keys and times of ``facts``. ``spread`` names the columns
-    that spread facts without a key or a time (all of them, if none is named); named, the other columns can be pruned.
+    that spread facts without a key or a time and those of a hot (key, day) (all of them, if none is named); named, the
+    other columns can be pruned. Rows equal in these columns stay together. A (key, day) is hot with more than
+    ``hot_rows`` facts and more than one in ``SHARE`` of all facts.
     """
     usable = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull())
     header, version, fact = 0, 1, 2
+    fact_range, version_range = (_time_range(df, at) for df, at in ((facts, fact_ts), (versions, valid_from)))
+    # Facts without a key or a time match nothing.
+    unmatched = F.col(fact_key).isNull() | F.col(fact_ts).isNull()
+    source = facts if days_from is None else days_from
+    counted = source.where(~unmatched).groupBy(_day(F.col(fact_key), F.col(fact_ts)).alias("_day")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    fair = F.greatest(F.lit(float(hot_rows)), counted.agg(F.sum("_n")).scalar() / F.lit(float(SHARE)))
+    sized = counted.select("_day", F.when(F.col("_n") > fair, F.ceil(F.col("_n") / fair).cast("int")).alias("_parts"))
+    # At most SHARE rows, as each stands for more than a SHARE-th of all facts: safe to broadcast at any size.
+    hot = F.broadcast(sized.where("_parts IS NOT NULL"))
+
     end = F.col(valid_to) if valid_to else F.lit(None).cast(versions.schema[valid_from].dataType)
-    marked_versions = usable.select(
-        _chunk(F.col(version_key), F.col(valid_from)).alias("_chunk"),
-        F.lit(version).alias("_kind"),
-        F.col(valid_from).alias("_at"),
-        F.col(tie).cast("long").alias("_tie"),
-        F.struct(*[F.col(source).alias(out) for out, source in attrs.items()], end.alias("_to")).alias("_version"),
+    marked_versions = (
+        usable.withColumn("_day", _day(F.col(version_key), F.col(valid_from)))
+        .join(hot, "_day", "left")
+        .select(
+            "_day", "_parts",
+            _range_of(version_range).alias("_range"),
+            F.lit(version).alias("_kind"),
+            F.col(valid_from).alias("_at"),
+            F.col(tie).cast("long").alias("_tie"),
+            F.struct(*[F.col(source).alias(out) for out, source in attrs.items()], end.alias("_to")).alias("_version"),
+        )
     )
-    # Facts without a key or a time match nothing; a hash of the row keeps them from gathering in one group.
-    unmatched = F.col(fact_key).isNull() | F.col(fact_ts).isNull()
-    salt = F.when(unmatched, F.pmod(F.xxhash64(*(spread or facts.columns)), F.lit(4096))).otherwise(F.lit(0))
-    marked_facts = facts.select(
-        "*",
-        _chunk(F.when(~unmatched, F.col(fact_key)), F.col(fact_ts), salt).alias("_chunk"),
-        F.lit(fact).alias("_kind"),
-        F.col(fact_ts).alias("_at"),
+    dealt = F.xxhash64(*[F.col(c) for c in (spread or facts.columns)])
+    salt = F.when(unmatched, F.pmod(dealt, F.lit(4096))).otherwise(F.coalesce(F.pmod(dealt, "_parts"), F.lit(0)))
+    marked_facts = (
+        facts.withColumn("_day", _day(F.when(~unmatched, F.col(fact_key)), F.col(fact_ts)))
+        .join(hot, "_day", "left")
+        .select(
+            *facts.columns,
+            _chunk(_range_of(fact_range), salt).alias("_chunk"),
+            F.lit(fact).alias("_kind"),
+            F.col(fact_ts).alias("_at"),
+        )
     )
-    # One row per (key, day): days that have facts ask, days that have versions answer with their last one. The
-    # answer in force at the start of a day opens the day as a header.
-    source = facts if days_from is None else days_from
-    asked = source.where(~unmatched).select(_chunk(F.col(fact_key), F.col(fact_ts)).alias("_chunk")).distinct()
-    answers = marked_versions.groupBy("_chunk").agg(F.max(F.struct("_at", "_tie", "_version")).alias("_last"))
-    # Within one day the question stands before the answer, so it only sees earlier days.
-    earlier_days = (
-        Window.partitionBy("_chunk.k")
-        .orderBy("_chunk.d", F.col("_asked").isNull())
+    # One row per (key, day), or per range of a hot one: those that have facts ask, those that have versions answer
+    # with their last one. The answer in force at the start of a range opens it as a header.
+    asked = sized.select(
+        "_day", "_parts", F.lit(True).alias("_asked"),
+        F.explode(F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(RANGES - 1)))).alias("_range"),
+    )
+    answers = marked_versions.groupBy("_day", "_range").agg(F.max(F.struct("_at", "_tie", "_version")).alias("_last"))
+    # Within one range the question stands before the answer, so it only sees earlier ones.
+    earlier = (
+        Window.partitionBy("_day.k")
+        .orderBy("_day.d", "_range", F.col("_asked").isNull())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     headers = (
-        asked.select("_chunk", F.lit(True).alias("_asked"))
-        .unionByName(answers, allowMissingColumns=True)
-        .select("_chunk", "_asked", F.last("_last", ignorenulls=True).over(earlier_days).alias("_carried"))
+        asked.unionByName(answers, allowMissingColumns=True)
+        .select("_day", "_parts", "_range", "_asked", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
         .where("_asked AND _carried IS NOT NULL")
-        .select("_chunk", F.lit(header).alias("_kind"), F.col("_carried._version").alias("_version"))
+        .select("_day", "_parts", "_range", F.lit(header).alias("_kind"), F.col("_carried._version").alias("_version"))
     )
     in_time = (
         Window.partitionBy("_chunk")
@@ -81,15 +112,39 @@ def asof_join(
     )
     found, holds = F.col("_found"), F.col("_found._to").isNull() | (F.col("_at") < F.col("_found._to"))
     return (
-        marked_facts.unionByName(marked_versions, allowMissingColumns=True)
-        .unionByName(headers, allowMissingColumns=True)
+        marked_facts.unionByName(_to_each_part(marked_versions), allowMissingColumns=True)
+        .unionByName(_to_each_part(headers), allowMissingColumns=True)
         .withColumn("_found", F.last("_version", ignorenulls=True).over(in_time))
         .where(F.col("_kind") == fact)
         .select(*facts.columns, *[F.when(holds, found.getField(out)).alias(out) for out in attrs])
     )
 
 
-def _chunk(key: Column, ts: Column, salt: Column | None = None) -> Column:
-    salt = F.lit(0) if salt is None else salt
+def _day(key: Column, ts: Column) -> Column:
     day = F.coalesce(F.to_date(ts), F.lit(NO_TIME).cast("date"))
-    return F.struct(key.alias("k"), day.alias("d"), salt.cast("long").alias("s"))
+    return F.struct(key.alias("k"), day.alias("d"))
+
+
+def _time_range(df: DataFrame, ts: str) -> Column:
+    """Number of the range in its day; never falls as time goes on, also where a zone's clocks are put back."""
+    if isinstance(df.schema[ts].dataType, TimestampType):
+        seconds = F.unix_seconds(ts) - F.unix_seconds(F.to_date(ts).cast(TimestampType()))
+    else:
+        seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
+    return F.floor(seconds / RANGE_SECONDS).cast("int")
+
+
+def _range_of(time_range: Column) -> Column:
+    return F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(time_range)
+
+
+def _chunk(time_range: Column, part: Column) -> Column:
+    return F.struct(F.col("_day.k").alias("k"), F.col("_day.d").alias("d"), time_range.alias("r"), part.cast("long").alias("s"))
+
+
+def _to_each_part(df: DataFrame) -> DataFrame:
+    """A copy of the row for each part of its range."""
+    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)).alias("_part")
+    copies = df.select("*", each)
+    kept = [c for c in df.columns if c not in ("_day", "_parts", "_range")]
+    return copies.select(_chunk(F.col("_range"), F.col("_part")).alias("_chunk"), *kept)

@@ -125,6 +125,46 @@ def test_asof_join_reads_the_end_of_a_version(spark):
     assert sorted((r["id"], r["label"]) for r in got) == [(1, "a1"), (2, None), (3, None), (4, "a2"), (5, "b2"), (6, None), (7, "b1")]
 
 
+def test_asof_join_splits_a_hot_key_and_day(spark):
+    """Two thirds of all facts have one key and day, a half of them one time; ranges open with the version in force."""
+    rng = random.Random(5)
+    versions = [("hot", ts(0, 9), 1, "hot-1")]
+    versions += [("hot", ts(3, rng.randrange(24), rng.randrange(60)), n, f"hot-{n}") for n in range(2, 60)]
+    versions += [("hot", ts(3, 12), 60, "hot-60"), ("hot", ts(3, 12), 61, "hot-61"), ("k", ts(2), 1, "k-1")]
+    facts = [(i, "hot", ts(3, 12) if i % 2 else ts(3, rng.randrange(24), rng.randrange(60))) for i in range(2000)]
+    facts += [(2000 + i, rng.choice(["hot", "k", "none"]), ts(rng.randrange(6), rng.randrange(24))) for i in range(1000)]
+    facts += [(5000, None, ts(3)), (5001, "hot", None)]
+    f = spark.createDataFrame(facts, "id int, key string, at timestamp_ntz")
+    v = spark.createDataFrame(versions, "k string, valid_from timestamp_ntz, version_no int, label string")
+    args = dict(fact_key="key", fact_ts="at", version_key="k", attrs={"label": "label"}, valid_to=None)
+    with_sql = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in with_sql}
+    try:
+        for k, value in with_sql.items():
+            spark.conf.set(k, value)
+        split = asof.asof_join(f, v, hot_rows=100, **args).withColumn("task", F.spark_partition_id()).collect()
+        whole = asof.asof_join(f, v, hot_rows=10_000, **args).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+    expected = asof_by_hand(facts, versions)
+    for got in (split, whole):
+        assert len(got) == len(facts) and {r["id"]: r["label"] for r in got} == expected
+    noon = lambda rows: {r["task"] for r in rows if r["key"] == "hot" and r["at"] == ts(3, 12)}
+    assert len(noon(whole)) == 1 and len(noon(split)) > 8
+    # Times with a zone: the hour that clocks show twice keeps its order.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        zoned = lambda df, c: df.select(F.col("n"), F.timestamp_seconds(F.lit(1761433200) + F.col("n") * 600).alias(c), F.lit("a").alias("k"))
+        f = zoned(spark.range(150).withColumnRenamed("id", "n"), "at")
+        v = zoned(spark.range(0, 150, 7).withColumnRenamed("id", "n"), "valid_from").withColumn("version_no", F.lit(1))
+        got = asof.asof_join(f, v, fact_key="k", fact_ts="at", version_key="k", attrs={"m": "n"}, valid_to=None, hot_rows=5, spread=["n"]).collect()
+        assert {r["n"]: r["m"] for r in got} == {n: n // 7 * 7 for n in range(150)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_keep_first_is_total_and_limits_before_the_exchange(spark):
     rows = [("t", 1, dt.date(2025, 1, 2), "b"), ("t", 1, dt.date(2025, 1, 1), "z"), ("t", 1, dt.date(2025, 1, 1), "a"), ("u", 1, None, "q")]
     df = spark.createDataFrame(rows, "id string, line int, d date, v string")
