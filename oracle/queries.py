@@ -24,6 +24,7 @@ SELECT if(qty IS NULL, 'after', 'before') AS period, uom, count(*) AS lines, sum
 FROM feed_pos GROUP BY ALL
 """
 Q["scan_skip_corrupt"] = "SELECT dt, count(*) AS readings, 0::BIGINT AS without_file, count(*) - count(temp_value) AS null_values FROM feed_telemetry GROUP BY dt"
+Q["scan_found_corrupt"] = "SELECT dt, count(*) AS readings, count(*) - count(temp_value) AS null_values, 2::BIGINT AS cut_files FROM feed_telemetry GROUP BY dt"
 Q["scan_csv_reference"] = "SELECT * FROM ref_uom"
 Q["model_row_counts"] = " UNION ALL ".join(f"SELECT '{n}' AS model, count(*) AS row_count FROM {n}" for n in MODELS)
 Q["build_tables"] = Q["model_row_counts"] + " UNION ALL SELECT 'rpt_sales_flat', count(*) FROM rpt_sales_flat"
@@ -98,6 +99,17 @@ SELECT p.txn_id, p.txn_line_no, p.outlet_code, p.at AS event_ts_ist, o.version_n
 FROM (SELECT *, event_ts::TIMESTAMP + INTERVAL 330 MINUTE AS at FROM feed_pos) p
 LEFT JOIN dim_outlet o ON o.outlet_code = p.outlet_code AND p.at >= o.valid_from AND p.at < o.valid_to
 """
+Q["asof_hot_day"] = """
+SELECT l.txn_id, l.txn_line_no, l.key, l.at, v.version, v.warehouse_code
+FROM (SELECT txn_id, txn_line_no, if(txn_line_no < 4, 'HOT', outlet_code) AS key,
+             if(txn_line_no < 4, TIMESTAMP '1996-06-15' + to_seconds((sku_code::BIGINT * 7919 + txn_id::BIGINT * 31) % 86400), event_ts_ist) AS at
+      FROM stg_pos_transactions) l
+ASOF LEFT JOIN (SELECT k, f, max(v) AS version, arg_max(w, v) AS warehouse_code
+    FROM (SELECT if(version_no % 3 = 0, 'HOT', outlet_code) AS k,
+                 if(version_no % 3 = 0, TIMESTAMP '1996-06-15' + to_seconds((outlet_code::BIGINT * 101 + version_no * 13) % 86400), valid_from) AS f,
+                 outlet_code::BIGINT * 100000 + version_no AS v, warehouse_code AS w FROM dim_outlet) GROUP BY k, f) v
+  ON l.key = v.k AND l.at >= v.f
+"""
 Q["week_bucket_join"] = """
 SELECT week_start, count(*) AS lines, count(DISTINCT basket_id) AS baskets, sum(gross_sales_amount)::DOUBLE AS gross_sales
 FROM fct_sales JOIN weeks ON event_date_ist BETWEEN week_start AND week_start + 6 GROUP BY week_start
@@ -106,6 +118,34 @@ Q["full_outer_reconcile"] = """
 SELECT feed, partition, row_count AS expected_rows, actual_rows FROM ref_manifest FULL JOIN part_counts USING (feed, partition)
 """
 Q["calendar_spine"] = "SELECT device_id, calendar_date FROM (SELECT DISTINCT device_id FROM fct_cold_chain_readings) x, feed_calendar"
+REL["dock_filled"] = """
+SELECT s.warehouse_code, s.dock_door, s.calendar_date, ifnull(n, 0) AS readings,
+       median(ifnull(n, 0)) OVER (PARTITION BY s.warehouse_code, s.dock_door) AS mid
+FROM (SELECT warehouse_code, dock_door, calendar_date FROM (SELECT DISTINCT warehouse_code, dock_door FROM feed_wms_gapped) x, feed_calendar) s
+LEFT JOIN (SELECT warehouse_code, dock_door, dt, count(*) AS n FROM feed_wms_gapped GROUP BY ALL) d
+  ON d.warehouse_code = s.warehouse_code AND d.dock_door = s.dock_door AND d.dt = s.calendar_date
+"""
+Q["sparse_dock_health"] = """
+SELECT warehouse_code, dock_door, min(calendar_date) AS first_day, max(calendar_date) AS last_day, count(*)::INT AS days,
+       0::BIGINT AS readings, any_value(mid) AS median, 'OUTAGE' AS status
+FROM (SELECT *, calendar_date - row_number() OVER (PARTITION BY warehouse_code, dock_door ORDER BY calendar_date)::INT AS island
+      FROM dock_filled WHERE readings = 0) GROUP BY warehouse_code, dock_door, island
+UNION ALL
+SELECT warehouse_code, dock_door, calendar_date, calendar_date, 1, readings, mid, 'DEGRADED' FROM dock_filled WHERE readings > 0 AND readings < mid / 2
+"""
+Q["silent_tills"] = """
+SELECT outlet_code, min(calendar_date) AS absent_from, max(calendar_date) AS absent_to, count(*)::INT AS days
+FROM (SELECT outlet_code, calendar_date, calendar_date - row_number() OVER (PARTITION BY outlet_code ORDER BY calendar_date)::INT AS island
+      FROM (SELECT outlet_code, calendar_date FROM (SELECT DISTINCT outlet_code FROM stg_pos_transactions) x, dim_calendar) s
+      ANTI JOIN (SELECT DISTINCT outlet_code, event_date_ist FROM stg_pos_transactions) p
+        ON p.outlet_code = s.outlet_code AND p.event_date_ist = s.calendar_date) GROUP BY outlet_code, island
+"""
+Q["series_outliers"] = """
+SELECT gateway_id, calendar_date, readings, med AS median, mad, round(0.6745::DOUBLE * (readings - med) / nullif(mad, 0), 4) AS z_score
+FROM (SELECT *, median(abs(readings - med)) OVER (PARTITION BY gateway_id) AS mad
+      FROM (SELECT *, median(readings) OVER (PARTITION BY gateway_id) AS med FROM gateway_filled))
+WHERE abs(round(0.6745::DOUBLE * (readings - med) / nullif(mad, 0), 4)) > 3.5 OR (mad = 0 AND readings <> med)
+"""
 Q["spine_zero_fill"] = """
 SELECT s.device_id, s.calendar_date, count(r.dt) AS readings, count(r.dt) = 0 AS day_absent
 FROM (SELECT device_id, calendar_date FROM (SELECT DISTINCT device_id FROM readings_watched) x, feed_calendar) s
@@ -388,6 +428,21 @@ SELECT count(*) AS fact_rows, count(*) - count(v) AS facts_without_version,
 FROM (SELECT p.version_no AS v FROM fct_sales f LEFT JOIN dim_product p
       ON p.sku_code = f.sku_code AND f.event_ts_ist >= p.valid_from AND f.event_ts_ist < p.valid_to)
 """
+REL["faulty_products"] = """
+SELECT sku_code, version_no, valid_from, till AS valid_to FROM (
+  SELECT *, CASE WHEN valid_to >= TIMESTAMP '9999-01-01' THEN valid_to WHEN version_no % 7 = 0 THEN valid_to + INTERVAL 10 DAY
+                 WHEN version_no % 11 = 0 THEN valid_to - INTERVAL 10 DAY ELSE valid_to END AS till FROM dim_product) WHERE valid_from < till
+"""
+Q["check_stored_windows"] = """
+SELECT count(*) AS fact_rows, sum(greatest(n, 1))::BIGINT AS rows_of_left_range_join, count(*) FILTER (n = 0) AS facts_without_version,
+       count(*) FILTER (n > 1) AS facts_with_several,
+       (SELECT count(*) FROM (SELECT valid_from < max(valid_to) OVER w AS o FROM faulty_products WINDOW w AS (
+          PARTITION BY sku_code ORDER BY valid_from, valid_to ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE o) AS overlapping_windows,
+       (SELECT count(*) FROM (SELECT valid_from > max(valid_to) OVER w AS g FROM faulty_products WINDOW w AS (
+          PARTITION BY sku_code ORDER BY valid_from, valid_to ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE g) AS windows_after_gap
+FROM (SELECT f.txn_id, f.txn_line_no, count(p.version_no) AS n FROM fct_sales f LEFT JOIN faulty_products p
+      ON p.sku_code = f.sku_code AND f.event_ts_ist >= p.valid_from AND f.event_ts_ist < p.valid_to GROUP BY ALL)
+"""
 Q["check_channel_match"] = """
 SELECT count(*) AS lines, count(*) FILTER (channel_at_sale = channel) AS matching,
        round(100.0 * count(*) FILTER (channel_at_sale = channel) / count(*), 2) AS pct_matching
@@ -440,6 +495,15 @@ SELECT count(*) AS differing_rows FROM (
   (SELECT * FROM stg_pos_transactions EXCEPT ALL SELECT * FROM stg_pos_transactions)
   UNION ALL (SELECT * FROM stg_pos_transactions EXCEPT ALL SELECT * FROM stg_pos_transactions))
 """
+Q["diff_stored_builds"] = """
+SELECT month, txn_id, txn_line_no, discount::DOUBLE AS discount_amount, sum(side)::BIGINT AS surplus
+FROM (WITH a AS (SELECT *, strftime(event_date_ist, '%Y-%m') AS month FROM stg_pos_transactions)
+      SELECT month, txn_id, txn_line_no, discount_amount AS discount, 1 AS side FROM a
+      UNION ALL SELECT month, txn_id, txn_line_no, discount_amount + if(month = '1997-07' AND txn_line_no = 2, 1, 0), -1 FROM a
+      WHERE NOT (month = '1996-03' AND txn_line_no = 1)
+      UNION ALL SELECT month, txn_id, txn_line_no, discount_amount, -1 FROM a WHERE month = '1995-02' AND txn_line_no = 3)
+GROUP BY ALL HAVING sum(side) <> 0
+"""
 Q["channel_ratio"] = """
 SELECT channel, sum(legacy_published_gross::DECIMAL(18,2))::DOUBLE AS published_gross, sum(our_gross_correct::DECIMAL(18,2))::DOUBLE AS actual_gross,
        round(sum(legacy_published_gross::DECIMAL(18,2))::DOUBLE / sum(our_gross_correct::DECIMAL(18,2))::DOUBLE, 4) AS published_to_actual

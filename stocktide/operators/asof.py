@@ -120,6 +120,63 @@ def asof_join(
     )
 
 
+def window_defects(versions: DataFrame, *, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """Versions that begin before an earlier one has ended (``overlaps``) or after all earlier ones have (``gap``).
+
+    Reads the stored windows as they are. One row per version; the latest end of earlier days comes from one row per
+    (key, day), so no key is sorted whole in one task.
+    """
+    day = _day(F.col(key), F.col(valid_from))
+    ends = versions.groupBy(day.alias("_day")).agg(F.max(valid_to).alias("_end"))
+    by_day = Window.partitionBy("_day.k").orderBy("_day.d").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select("_day", F.max("_end").over(by_day).alias(valid_to), F.lit(0).alias("_kind")).where(F.col(valid_to).isNotNull())
+    rows = versions.withColumn("_day", day).withColumn("_kind", F.lit(1))
+    in_day = Window.partitionBy("_day").orderBy("_kind", valid_from, valid_to).rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.col("_latest")
+    return (
+        rows.unionByName(before, allowMissingColumns=True)
+        .withColumn("_latest", F.max(valid_to).over(in_day))
+        .where("_kind = 1")
+        .select(
+            *versions.columns,
+            F.coalesce(F.col(valid_from) < latest, F.lit(False)).alias("overlaps"),
+            F.coalesce(F.col(valid_from) > latest, F.lit(False)).alias("gap"),
+        )
+    )
+
+
+def moments_matched(
+    facts: DataFrame, versions: DataFrame, *, fact_key: str, fact_ts: str, version_key: str,
+    valid_from: str = "valid_from", valid_to: str = "valid_to",
+) -> DataFrame:
+    """For each (key, time) of the facts, how many facts it has and how many versions hold it: what a range join gives.
+
+    Nothing is paired: a version opens at its start and closes at its end, and the open ones are a running sum, carried
+    from day to day by one row per (key, day). Facts without a key or a time are held by none.
+    """
+    moments = facts.groupBy(F.col(fact_key).alias("key"), F.col(fact_ts).alias("at")).agg(F.count(F.lit(1)).alias("facts"))
+    usable = versions.where(F.col(version_key).isNotNull() & (F.col(valid_from) < F.col(valid_to)))
+    edges = F.array(F.struct(F.col(valid_from).alias("at"), F.lit(1).alias("step")), F.struct(F.col(valid_to).alias("at"), F.lit(-1).alias("step")))
+    steps = (
+        usable.select(F.col(version_key).alias("key"), F.explode(edges).alias("_e"))
+        .groupBy("key", F.col("_e.at").alias("at"))
+        .agg(F.sum("_e.step").alias("_step"))
+    )
+    known = moments.where("key IS NOT NULL AND at IS NOT NULL")
+    both = known.unionByName(steps, allowMissingColumns=True).groupBy("key", "at").agg(F.max("facts").alias("facts"), F.max("_step").alias("_step"))
+    both = both.withColumn("_day", _day(F.col("key"), F.col("at")))
+    by_day = Window.partitionBy("_day.k").orderBy("_day.d").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.groupBy("_day").agg(F.sum("_step").alias("_of_day")).select("_day", F.sum("_of_day").over(by_day).alias("_step"))
+    in_day = Window.partitionBy("_day").orderBy(F.asc_nulls_first("at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = (
+        both.unionByName(carried.where("_step <> 0"), allowMissingColumns=True)
+        .withColumn("versions", F.coalesce(F.sum("_step").over(in_day), F.lit(0)))
+        .where("facts IS NOT NULL")
+        .select("key", "at", "facts", "versions")
+    )
+    return held.unionByName(moments.where("key IS NULL OR at IS NULL").withColumn("versions", F.lit(0).cast("long")))
+
+
 def _day(key: Column, ts: Column) -> Column:
     day = F.coalesce(F.to_date(ts), F.lit(NO_TIME).cast("date"))
     return F.struct(key.alias("k"), day.alias("d"))

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.functions import cleaning as clean
-from stocktide.functions.numbers import count_where, percent, ratio, round_to
+from stocktide.functions.numbers import count_where, percent, ratio, round_to, sum_where
+from stocktide.operators.asof import moments_matched, window_defects
 from stocktide.operators.changes import validity_windows
 from stocktide.operators.quantiles import exact_percentiles
 
@@ -99,6 +100,20 @@ def scd2_integrity(dimension: DataFrame, key: str, joined: DataFrame, version: s
     ).select("*", count(overlaps).alias("overlapping_windows"), count(currents).alias("keys_with_wrong_current"))
 
 
+def stored_windows(dimension: DataFrame, key: str, facts: DataFrame, fact_ts: str) -> DataFrame:
+    """The stored windows against each other and against the facts: overlaps, gaps, rows that a range join would give."""
+    defects = window_defects(dimension, key=key)
+    moments = moments_matched(facts, dimension, fact_key=key, fact_ts=fact_ts, version_key=key)
+    n, held = F.col("facts"), F.col("versions")
+    counted = moments.agg(
+        F.sum(n).alias("fact_rows"), F.sum(n * F.greatest(held, F.lit(1))).alias("rows_of_left_range_join"),
+        F.coalesce(sum_where("facts", held == 0), F.lit(0)).alias("facts_without_version"),
+        F.coalesce(sum_where("facts", held > 1), F.lit(0)).alias("facts_with_several"),
+    )
+    count = lambda c: defects.agg(count_where(F.col(c)).alias("n")).scalar()
+    return counted.select("*", count("overlaps").alias("overlapping_windows"), count("gap").alias("windows_after_gap"))
+
+
 def channel_match(sales: DataFrame, outlets: DataFrame) -> DataFrame:
     """Lines whose channel is the one of the outlet's first version."""
     first = outlets.where("version_no = 1").select("outlet_code", F.col("channel").alias("_first"))

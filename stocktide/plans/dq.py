@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.functions.numbers import count_where, percent, round_to
-from stocktide.operators.completeness import status, with_median, with_trailing_mean, zero_filled
+from stocktide.functions.numbers import count_where, percent, ratio, round_to
+from stocktide.operators.completeness import silent_runs, sparse_median, status, with_median, with_trailing_mean, zero_filled
+from stocktide.operators.quantiles import exact_percentiles
 from stocktide.operators.reconcile import full_reconcile
 from stocktide.sources import schemas
 
@@ -17,6 +18,7 @@ from stocktide.sources import schemas
 MIN_DAILY_ROWS = 100
 COLLAPSE, LOW, TREND_LOW = 0.50, 0.75, 0.75
 GATEWAY_DEGRADED, GATEWAY_HOLE = 0.50, 0.40
+Z_LIMIT = 3.5
 
 
 def daily_counts(feeds: Mapping[str, DataFrame]) -> DataFrame:
@@ -138,6 +140,38 @@ def gateway_holes(readings: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
+def sparse_health(readings: DataFrame, bounds: DataFrame, sources: Sequence[str], day: str) -> DataFrame:
+    """Days of a source that are not well, as ``dq_gateway_health`` finds them, without a row for every silent day.
+
+    A silent run is one row with its ``days``; a degraded day is a run of one. For sources by the million: tills, docks.
+    """
+    daily = source_days(readings, sources, day)
+    runs = silent_runs(daily, sources, bounds, day=day).withColumn("readings", F.lit(0).cast("long"))
+    median = sparse_median(daily, sources, bounds, day=day, count="readings", out="median")
+    low = daily.join(median, list(sources)).where(F.col("readings") < GATEWAY_DEGRADED * F.col("median")).select(
+        *sources, F.col(day).alias("absent_from"), F.col(day).alias("absent_to"), F.lit(1).alias("days"), "readings",
+        "median", F.lit("DEGRADED").alias("status"),
+    )
+    silent = runs.join(median, list(sources)).withColumn("status", F.lit("OUTAGE"))
+    return silent.unionByName(low).withColumnsRenamed({"absent_from": "first_day", "absent_to": "last_day"})
+
+
+def outlying_days(filled: DataFrame, keys: Sequence[str], count: str, limit: float = Z_LIMIT) -> DataFrame:
+    """Days far from the middle of their series by the modified z-score, 0.6745 (x - median) / MAD.
+
+    Two rounds of exact percentiles: of the counts, and of their distances from the median, doubled to stay whole
+    numbers. A series whose days are mostly equal has a MAD of zero: every other day of it is named, without a score.
+    """
+    median = exact_percentiles(filled, keys, count, {"median": 0.5})
+    based = filled.join(median, list(keys)).withColumn("_twice", F.abs(F.col(count) * 2 - F.col("median") * 2).cast("long"))
+    mad = exact_percentiles(based, keys, "_twice", {"_mad": 0.5}).withColumn("mad", F.col("_mad") / 2).drop("_mad")
+    scored = based.join(mad, list(keys)).withColumn(
+        "z_score", round_to(ratio(F.lit(0.6745) * (F.col(count) - F.col("median")), "mad"), 4)
+    )
+    far = (F.abs("z_score") > limit) | ((F.col("mad") == 0) & (F.col("_twice") > 0))
+    return scored.where(far).drop("_twice")
+
+
 def null_rate(readings: DataFrame) -> DataFrame:
     missing = count_where(F.col("temp_reading_missing"))
     return readings.groupBy("telemetry_vendor", "firmware_version").agg(

@@ -110,6 +110,22 @@ def scan_skip_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@located_query
+def scan_found_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files that were cut short are found by a job over file names, then left out; their siblings stay."""
+    root, feed = scratch_path(spark, "delivered"), "reefer_telemetry"
+    scans.write_feed(sample.feed(spark, sf_dir, "feed_telemetry"), root, feed, "dt")
+    for day in ("2024-01-14", "2024-01-20"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/raw/{feed}/dt={day}/part-cut.parquet")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+        out.write(bytearray(b"PAR1 cut short"))
+        out.close()
+    found = [r["file"] for r in scans.rowless_files(spark, root, feed).select("file").collect()]  # what a delivery broke
+    cut = F.lit(len([f for f in found if f.endswith("part-cut.parquet")])).cast("long")
+    readings = scans.scan_feed(spark, root, feed, skip_files=found)
+    return readings.groupBy("dt").agg(rows().alias("readings"), count_where(F.col("temp_value").isNull()).alias("null_values")).withColumn("cut_files", cut)
+
+
 @located_query
 def scan_csv_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "delivered")
@@ -350,6 +366,32 @@ def asof_scd2_join(m: Models) -> DataFrame:
     )
 
 
+@query
+def asof_hot_day(m: Models) -> DataFrame:
+    """Three sevenths of the lines and a third of the versions moved to one key and one day, which is split.
+
+    Times of that day are made from the line, so that every range of it is open; some versions begin at one time.
+    """
+    day = F.lit("1996-06-15").cast("timestamp_ntz")
+    at = lambda seconds: (day + F.make_dt_interval(secs=seconds % 86400))
+    number = lambda c: F.col(c).cast("long")
+    hot = F.col("txn_line_no") <= 3
+    lines = m.stg_pos_transactions.select(
+        "txn_id", "txn_line_no", F.when(hot, "HOT").otherwise(F.col("outlet_code")).alias("key"),
+        F.when(hot, at(number("sku_code") * 7919 + number("txn_id") * 31)).otherwise(F.col("event_ts_ist")).alias("at"),
+    )
+    moved = F.col("version_no") % 3 == 0
+    versions = m.dim_outlet.select(
+        F.when(moved, "HOT").otherwise(F.col("outlet_code")).alias("k"),
+        F.when(moved, at(number("outlet_code") * 101 + F.col("version_no") * 13)).otherwise(F.col("valid_from")).alias("valid_from"),
+        (number("outlet_code") * 100_000 + F.col("version_no")).alias("version"), "warehouse_code",
+    )
+    return asof_join(
+        lines, versions, fact_key="key", fact_ts="at", version_key="k", valid_to=None, tie="version",
+        attrs={"version": "version", "warehouse_code": "warehouse_code"}, hot_rows=2_000,
+    )
+
+
 @query
 def week_bucket_join(m: Models) -> DataFrame:
     weeks = m.feeds.legacy.select(F.col("week_ending").alias("week_start")).distinct()
@@ -377,6 +419,33 @@ def spine_zero_fill(m: Models) -> DataFrame:
     return completeness.zero_filled(daily, ["device_id"], m.feeds.feed_calendar, day="dt", count="readings")
 
 
+def watched_days(m: Models) -> DataFrame:
+    return m.feeds.feed_calendar.agg(F.min("calendar_date").alias("first_day"), F.max("calendar_date").alias("last_day"))
+
+
+@query
+def sparse_dock_health(m: Models) -> DataFrame:
+    """Docks of warehouses with silent runs and degraded days, from observed days alone."""
+    return dq.sparse_health(m.feeds.watched["wms_scan_events"], watched_days(m), ["warehouse_code", "dock_door"], "dt")
+
+
+@query
+def silent_tills(m: Models) -> DataFrame:
+    """Silent runs of every outlet over the years of the calendar."""
+    calendar = m.dim_calendar.agg(F.min("calendar_date").alias("first_day"), F.max("calendar_date").alias("last_day"))
+    tills = m.stg_pos_transactions.select("outlet_code", "event_date_ist")
+    return completeness.silent_runs(tills, ["outlet_code"], calendar, day="event_date_ist")
+
+
+@query
+def series_outliers(m: Models) -> DataFrame:
+    """Days of a device or a gateway far from its middle, by median and MAD."""
+    filled = completeness.zero_filled(
+        dq.source_days(m.watched_readings, ["gateway_id"]), ["gateway_id"], m.feeds.feed_calendar, day="dt", count="readings"
+    )
+    return dq.outlying_days(filled, ["gateway_id"], "readings").drop("day_absent")
+
+
 @query
 def scalar_verdict(m: Models) -> DataFrame:
     return dq_verdict(m)
@@ -720,6 +789,17 @@ def check_scd2_integrity(m: Models) -> DataFrame:
     return checks.scd2_integrity(m.dim_product, "sku_code", joined, "product_version_no")
 
 
+@query
+def check_stored_windows(m: Models) -> DataFrame:
+    """Product windows with planted faults: every 7th version ends ten days late, every 11th ten days early."""
+    days, number = F.expr("INTERVAL '10' DAY"), F.col("version_no")
+    open_end, end = F.col("valid_to") >= F.lit("9999-01-01").cast("timestamp_ntz"), F.col("valid_to")
+    faulty = m.dim_product.withColumn(
+        "valid_to", F.when(open_end, end).when(number % 7 == 0, end + days).when(number % 11 == 0, end - days).otherwise(end)
+    )
+    return checks.stored_windows(faulty.where("valid_from < valid_to"), "sku_code", m.fct_sales, "event_ts_ist")
+
+
 @query
 def check_channel_match(m: Models) -> DataFrame:
     return checks.channel_match(m.fct_sales, m.dim_outlet)
@@ -769,6 +849,25 @@ def diff_builds(m: Models) -> DataFrame:
     return reconcile.two_way_diff(m.stg_pos_transactions, again).agg(rows().alias("differing_rows"))
 
 
+@located_query
+def diff_stored_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored builds of the staged lines by month; in the second, three months have lines lost, changed or doubled.
+
+    Rows are compared only in the months whose digests differ; ``surplus`` is how many more the first build has.
+    """
+    lines = Models(Feeds.from_tables(spark, sf_dir)).stg_pos_transactions.withColumn("month", F.date_format("event_date_ist", "yyyy-MM"))
+    root, month, line = scratch_path(spark, "builds"), F.col("month"), F.col("txn_line_no")
+    lines.write.partitionBy("month").parquet(f"{root}/first")
+    stored = spark.read.schema(lines.schema).parquet(f"{root}/first")
+    lost = (month == "1996-03") & (line == 1)
+    changed = F.when((month == "1997-07") & (line == 2), F.col("discount_amount") + F.lit(1).cast("decimal(18,2)")).otherwise(F.col("discount_amount"))
+    second = stored.where(~lost).withColumn("discount_amount", changed.cast("decimal(18,2)"))
+    doubled = stored.where((month == "1995-02") & (line == 3))
+    second.unionByName(doubled).write.partitionBy("month").parquet(f"{root}/second")
+    other = spark.read.schema(lines.schema).parquet(f"{root}/second")
+    return reconcile.stored_diff(stored, other, "month").select("month", "txn_id", "txn_line_no", as_double("discount_amount").alias("discount_amount"), "surplus")
+
+
 @query
 def channel_ratio(m: Models) -> DataFrame:
     return finance.channel_ratio(m.rpt_finance_reconciliation)

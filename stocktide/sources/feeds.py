@@ -7,6 +7,7 @@ columns of a drifting feed stand side by side, and an unreadable file is never o
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,20 @@ def scan_feed(
     return df.withColumn("temp_value", nan_to_null("temp_value")) if "temp_value" in df.columns else df
 
 
+def rowless_files(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """Files of a feed that give no row, ``file`` (the end of its path) and ``length``: those whose footer can't be read.
+
+    A job over file names: footers alone are opened, no column and no content is read. A sound file without rows is named
+    too; nothing is lost by skipping it. Damage behind a sound footer is not found. ``scan_feed`` takes the names as
+    ``skip_files``.
+    """
+    where = f"{root}/raw/{feed}"
+    name = F.regexp_extract(F.col("_metadata.file_path"), f"/raw/{re.escape(feed)}/(.*)$", 1).alias("file")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(where)
+    sound = spark.read.schema("_none int").option("ignoreCorruptFiles", True).parquet(where).select(name).distinct()
+    return files.select(name, "length").join(sound, "file", "left_anti")
+
+
 def scan_reference(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _csv(spark, f"{root}/reference/{name}.csv", schemas.REFERENCE_FILES[name])
 
