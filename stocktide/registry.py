@@ -789,7 +789,7 @@ def check_scd2_integrity(m: Models) -> DataFrame:
     return checks.scd2_integrity(m.dim_product, "sku_code", joined, "product_version_no")
 
 
-@query
+@stored_query
 def check_stored_windows(m: Models) -> DataFrame:
     """Product windows with planted faults: every 7th version ends ten days late, every 11th ten days early."""
     days, number = F.expr("INTERVAL '10' DAY"), F.col("version_no")

@@ -211,3 +211,63 @@ def test_two_way_diff_counts_multiplicity(spark):
 def test_majority_value_breaks_ties_low(spark):
     df = spark.createDataFrame([("o", "B"), ("o", "A"), ("p", "C"), ("p", "C"), ("p", "A")], "k string, w string")
     assert {r["k"]: r["top"] for r in dedup.most_common(df, "k", "w", "top").collect()} == {"o": "A", "p": "C"}
+
+
+def test_partition_digests_find_changes_that_keep_counts_and_parity(spark):
+    base = [("a", 1, "x"), ("a", 2, None), ("b", 1, "x"), ("b", 2, "y"), ("c", 1, "x"), ("c", 1, "x"), ("d", None, "q"), (None, 1, "z")]
+    other = [("a", 2, None), ("a", 1, "x"),  # another order
+             ("b", 2, "x"), ("b", 1, "y"),  # values swapped between rows
+             ("c", 2, "x"), ("c", 2, "x"),  # a pair for another pair: count and parity are the same
+             (None, 1, "z"), ("e", 1, "x")]  # d is gone, e is new
+    ddl = "part string, n int, v string"
+    left, right = spark.createDataFrame(base, ddl), spark.createDataFrame(other, ddl)
+    assert {r["part"] for r in reconcile.differing_partitions(left, right, "part").collect()} == {"b", "c", "d", "e"}
+    got = {(r["part"], r["n"], r["v"]): r["surplus"] for r in reconcile.stored_diff(left, right, "part").collect()}
+    assert got == {("b", 1, "x"): 1, ("b", 2, "y"): 1, ("b", 2, "x"): -1, ("b", 1, "y"): -1, ("c", 1, "x"): 2, ("c", 2, "x"): -2,
+                   ("d", None, "q"): 1, ("e", 1, "x"): -1}
+    # A null and a value that change places are seen.
+    swapped = reconcile.differing_partitions(
+        spark.createDataFrame([("a", None, "1")], "part string, u string, v string"),
+        spark.createDataFrame([("a", "1", None)], "part string, u string, v string"), "part")
+    assert swapped.count() == 1
+
+
+def test_windows_and_moments_match_brute_force(spark):
+    rng = random.Random(3)
+    versions = []
+    for n in range(120):
+        start = ts(rng.randrange(12), rng.choice([0, 0, 7, 15]))
+        versions.append((rng.choice(["hot", "hot", "a", "b"]), n, start, start + dt.timedelta(hours=rng.choice([0, 5, 24, 70]))))
+    facts = [(i, rng.choice(["hot", "a", "b", "none", None]), ts(rng.randrange(-1, 14), rng.randrange(24)) if i % 40 else None) for i in range(600)]
+    v = spark.createDataFrame(versions, "k string, version_no int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    f = spark.createDataFrame(facts, "id int, key string, at timestamp_ntz")
+    moments = asof.moments_matched(f, v, fact_key="key", fact_ts="at", version_key="k").collect()
+    assert sum(r["facts"] for r in moments) == len(facts)
+    for r in moments:
+        holds = 0 if r["key"] is None or r["at"] is None else sum(x[0] == r["key"] and x[2] <= r["at"] < x[3] for x in versions)
+        assert r["versions"] == holds, r
+    got = {r["version_no"]: (r["overlaps"], r["gap"]) for r in asof.window_defects(v, key="k").collect()}
+    for key in ("hot", "a", "b"):
+        mine = sorted((x for x in versions if x[0] == key), key=lambda x: (x[2], x[3]))
+        for i, x in enumerate(mine):
+            latest = max((y[3] for y in mine[:i]), default=None)
+            if not any(y[2:] == x[2:] and y[1] != x[1] for y in mine):  # equal windows may stand in either order
+                assert got[x[1]] == (latest is not None and x[2] < latest, latest is not None and x[2] > latest)
+
+
+def test_silent_runs_and_sparse_median_equal_the_dense_form(spark):
+    rng, first = random.Random(9), dt.date(2025, 1, 1)
+    daily = [(s, first + dt.timedelta(days=d), rng.randrange(1, 9)) for s in ("a", "b", "c") for d in range(-2, 23) if rng.random() < {"a": 0.9, "b": 0.6, "c": 0.2}[s]]
+    daily += [("once", first + dt.timedelta(days=19), 4)]
+    frame = spark.createDataFrame(daily, "s string, d date, n int")
+    bounds = spark.createDataFrame([(first, first + dt.timedelta(days=19))], "first_day date, last_day date")
+    runs = completeness.silent_runs(frame, ["s"], bounds, day="d").collect()
+    medians = {r["s"]: r["m"] for r in completeness.sparse_median(frame, ["s"], bounds, day="d", count="n", out="m").collect()}
+    days = [first + dt.timedelta(days=i) for i in range(20)]
+    for s in ("a", "b", "c", "once"):
+        seen = {d: n for k, d, n in daily if k == s and d in days}
+        silent = [r["absent_from"] + dt.timedelta(days=i) for r in runs if r["s"] == s for i in range(r["days"])]
+        assert sorted(silent) == [d for d in days if d not in seen]
+        assert medians[s] == statistics.median([seen.get(d, 0) for d in days])
+        ordered = sorted((r["absent_from"], r["absent_to"]) for r in runs if r["s"] == s)
+        assert all((b[0] - a[1]).days > 1 for a, b in zip(ordered, ordered[1:]))

@@ -94,3 +94,14 @@ def test_conflicting_duplicate_lines_resolve_the_same_way(spark):
     once = staging.stg_pos_transactions(raw)
     again = staging.stg_pos_transactions(raw.repartition(3, "sku_code"))
     assert once.exceptAll(again).count() == 0 and again.exceptAll(once).count() == 0
+
+
+def test_unreadable_files_are_found_by_a_job(spark, tmp_path):
+    rows = [(f"s{i}", dt.date(2025, 1, 1 + i % 3)) for i in range(9)]
+    spark.createDataFrame(rows, "scan_id string, dt date").repartition(2).write.partitionBy("dt").parquet(f"{tmp_path}/raw/wms_scan_events")
+    whole = next((tmp_path / "raw/wms_scan_events/dt=2025-01-02").glob("*.parquet"))
+    (whole.parent / "part-cut.parquet").write_bytes(whole.read_bytes()[:-20])
+    (whole.parent / "part-text.parquet").write_bytes(b"no table")
+    found = {r["file"] for r in feeds.rowless_files(spark, str(tmp_path), "wms_scan_events").collect()}
+    assert found == {"dt=2025-01-02/part-cut.parquet", "dt=2025-01-02/part-text.parquet"}
+    assert feeds.scan_feed(spark, str(tmp_path), "wms_scan_events", skip_files=sorted(found)).count() == 9
