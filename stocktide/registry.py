@@ -789,15 +789,17 @@ def check_scd2_integrity(m: Models) -> DataFrame:
     return checks.scd2_integrity(m.dim_product, "sku_code", joined, "product_version_no")
 
 
-@stored_query
-def check_stored_windows(m: Models) -> DataFrame:
-    """Product windows with planted faults: every 7th version ends ten days late, every 11th ten days early."""
+@located_query
+def check_stored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product windows, stored with planted faults: every 7th version ends ten days late, every 11th ten days early."""
+    m, root = Models(Feeds.from_tables(spark, sf_dir)), scratch_path(spark, "windows")
     days, number = F.expr("INTERVAL '10' DAY"), F.col("version_no")
     open_end, end = F.col("valid_to") >= F.lit("9999-01-01").cast("timestamp_ntz"), F.col("valid_to")
-    faulty = m.dim_product.withColumn(
+    faulty = m.dim_product.select("sku_code", "version_no", "valid_from", "valid_to").withColumn(
         "valid_to", F.when(open_end, end).when(number % 7 == 0, end + days).when(number % 11 == 0, end - days).otherwise(end)
     )
-    return checks.stored_windows(faulty.where("valid_from < valid_to"), "sku_code", m.fct_sales, "event_ts_ist")
+    windows = scans.write_table(faulty.where("valid_from < valid_to"), f"{root}/dim_product")
+    return checks.stored_windows(windows, "sku_code", m.stg_pos_transactions, "event_ts_ist")
 
 
 @query
