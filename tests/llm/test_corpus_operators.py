@@ -390,6 +390,37 @@ def test_surrogate_names_do_not_run_out(spark):
     assert set(table.base) == set(names) and len(table) == 20_000 and table.core.is_unique and not set(table.core) & set(names)
 
 
+def test_mentions_of_one_person_agree(spark):
+    from stocktide.llm.surrogates import with_surrogates
+
+    texts = {
+        1: "Mr. John Smith came. Mr. Smith spoke, Smith's hat fell; John Smith left. Dr. John Smith, Smithson and smith stay.",
+        2: "Mrs. Smith met Mr. Kim Lee and Mrs. Kim Park. Prof. O'Neil-Baker wrote to Kim.",
+        3: "John and Smith have no title here.",
+        4: "г-н Иванов и г-жа Анна Иванова. Анна ушла. Иванов остался.",
+        5: "Write to иван.Петров@Почта.рф or 1234567890123456 or 2221000000000009.",
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in with_surrogates(frame).collect()}
+    full = re.fullmatch(r"Mr\. (\w+) (\w+) came\. Mr\. (\w+) spoke, (\w+)'s hat fell; (\w+) (\w+) left\. Dr\. (\w+) (\w+), Smithson and smith stay\.", got[1]).groups()
+    assert len(set(full[::1][1:4]) | {full[5], full[7]}) == 1 and len({full[0], full[4], full[6]}) == 1 and not {"John", "Smith"} & set(full)
+    pair = re.fullmatch(r"Mrs\. (\w+) met Mr\. (\w+) (\w+) and Mrs\. (\w+) (\w+)\. Prof\. (\w+) wrote to (\w+)\.", got[2]).groups()
+    assert pair[0] == full[1] and pair[1] != pair[3] == pair[6] and len(set(pair)) == 6
+    assert got[3] == texts[3]
+    other = re.fullmatch(r"г-н (\w+) и г-жа (\w+) (\w+)\. (\w+) ушла\. (\w+) остался\.", got[4]).groups()
+    assert other[0] == other[4] != "Иванов" and other[1] == other[3] != "Анна" and other[2].endswith("а") and other[2] != "Иванова"
+    mail, plain, card = re.fullmatch(r"Write to (\S+) or (\d+) or (\d+)\.", got[5]).groups()
+    assert re.fullmatch(r"[а-я]{4}\.[а-я]{6}@\w+\.example\.com", mail) and not mail.startswith("иван") and plain == "1234567890123456" and card != "2221000000000009"
+
+
+def test_a_used_up_width_gives_longer_surrogates(spark):
+    from stocktide.llm.surrogates import surrogate_table
+
+    known = spark.createDataFrame([("ssn", str(i)) for i in range(10)] + [("phone", str(i)) for i in range(10)], "kind string, base string")
+    table = surrogate_table(known, "k").toPandas()
+    assert len(table) == 20 and not table.duplicated(["kind", "core"]).any() and set(table.core.str.len()) == {3}
+
+
 # ---- 8 main text
 
 
