@@ -263,7 +263,8 @@ def with_surrogates(docs: DataFrame, key: str = "stocktide") -> DataFrame:
     # The row travels as one column, so that no name of it clashes.
     text = F.col("row")["text"]
     keyed = packed_rows(docs).withColumns({"_x": F.xxhash64(text), "_y": F.xxhash64(F.lit("second key"), text)})
-    joined = keyed.join(of_text, (F.col("_x") == F.col("_a")) & (F.col("_y") == F.col("_b")), "left")
+    # The maps grow with the corpus, so they are never broadcast.
+    joined = keyed.join(of_text.hint("merge"), (F.col("_x") == F.col("_a")) & (F.col("_y") == F.col("_b")), "left")
 
     def rewritten(pattern: str) -> Column:
         between, inside = F.split(text, pattern, -1), F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda e: F.coalesce(F.col("_map")[e], e))
