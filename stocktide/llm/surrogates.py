@@ -187,13 +187,19 @@ def occurrences(docs: DataFrame) -> DataFrame:
     title = F.regexp_replace(F.regexp_extract("entity", r"^\S+", 0), r"\.$", "")
     words = F.split("entity", " ")
     gender = F.when(title.isin(*FEMALE), F.lit("f")).when(~title.isin(*OPEN), F.lit("m"))
-    names = found.where("kind = 'name'").select("a", "b", "entity", F.when(F.size(words) > 2, words[1]).alias("given"), F.element_at(words, -1).alias("surname"), gender.alias("gender"))
+    is_name = F.col("kind") == "name"
+    found = found.withColumns({"given": F.when(is_name & (F.size(words) > 2), words[1]), "surname": F.when(is_name, F.element_at(words, -1)), "gender": F.when(is_name, gender)})
+    # A window sees the mentions of one given name in one text, or what else the text holds.
     same = Window.partitionBy("a", "b", "given")
     agreed = F.when(F.min("gender").over(same) == F.max("gender").over(same), F.min("gender").over(same))
-    names = names.withColumn("gender", F.coalesce("gender", agreed, F.lit("o")))
-    parts = F.array(F.struct(F.lit("name").alias("kind"), F.col("surname").alias("base")), F.struct(F.concat(F.lit("given_"), F.col("gender")).alias("kind"), F.col("given").alias("base")))
-    names = names.select("a", "b", "entity", F.inline(parts)).where("base is not null")
-    return found.where("kind <> 'name'").select("a", "b", "entity", "kind", _base(F.col("kind"), F.col("entity")).alias("base")).unionByName(names)
+    found = found.withColumn("gender", F.coalesce("gender", agreed, F.lit("o")))
+
+    def part(kind: Column | str, base: Column | str) -> Column:
+        return F.struct((F.col(kind) if isinstance(kind, str) else kind).alias("kind"), (F.col(base) if isinstance(base, str) else base).alias("base"))
+
+    parts = F.when(is_name, F.array(part(F.lit("name"), "surname"), part(F.concat(F.lit("given_"), F.col("gender")), "given")))
+    parts = parts.otherwise(F.array(part("kind", _base(F.col("kind"), F.col("entity")))))
+    return found.select("a", "b", "entity", F.inline(parts)).where("base is not null")
 
 
 def entities(found: DataFrame) -> DataFrame:
