@@ -162,6 +162,15 @@ SELECT telemetry_vendor, count(*) AS readings, count(*) FILTER (is_excursion) AS
        count(*) FILTER (temp_reading_missing) AS missing FROM fct_cold_chain_readings GROUP BY ALL
 """
 Q["median_agg"] = "SELECT channel_at_sale, median((gross_sales_amount * 100)::BIGINT) / 100 AS median_line_value FROM fct_sales GROUP BY ALL"
+Q["percentiles_of_doubles"] = " UNION ALL ".join(
+    f"""SELECT telemetry_vendor, '{c}' AS measure, round(quantile_cont({c}, 0.01), 6) AS p01, round(quantile_cont({c}, 0.5), 6) AS p50,
+       round(quantile_cont({c}, 0.99), 6) AS p99 FROM fct_cold_chain_readings WHERE {c} IS NOT NULL GROUP BY ALL"""
+    for c in ("temp_value_celsius", "gps_lat", "humidity_pct")
+)
+Q["percentiles_of_moments"] = """
+SELECT channel_at_sale, min(epoch_us(event_ts_ist))::DOUBLE AS first_at, quantile_cont(epoch_us(event_ts_ist)::DOUBLE, 0.5) AS middle_at,
+       max(epoch_us(event_ts_ist))::DOUBLE AS last_at FROM fct_sales WHERE event_ts_ist IS NOT NULL GROUP BY ALL
+"""
 Q["corr_agg"] = """
 SELECT source_system, round(corr(order_value_gross::DOUBLE, order_value_gross_corrected::DOUBLE), 6) AS corr_raw_corrected,
        round(corr(order_value_gross_corrected::DOUBLE, discount_amount::DOUBLE), 6) AS corr_gross_discount FROM fct_orders GROUP BY ALL

@@ -477,6 +477,26 @@ def median_agg(m: Models) -> DataFrame:
     return middle.select("channel_at_sale", (F.col("m") / F.lit(100.0)).alias("median_line_value"))
 
 
+@stored_query
+def percentiles_of_doubles(m: Models) -> DataFrame:
+    """Exact percentiles of temperatures and positions as doubles, whatever their range."""
+    bounds = {"p01": 0.01, "p50": 0.5, "p99": 0.99}
+    readings = m.fct_cold_chain_readings
+    parts = []
+    for column in ("temp_value_celsius", "gps_lat", "humidity_pct"):
+        spread = quantiles.radix_percentiles(readings, ["telemetry_vendor"], column, bounds)
+        parts.append(spread.select("telemetry_vendor", F.lit(column).alias("measure"), *[round_to(b, 6).alias(b) for b in bounds]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@stored_query
+def percentiles_of_moments(m: Models) -> DataFrame:
+    """First, middle and last moment of sale per channel, in microseconds: whole numbers too wide for one level."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("event_ts_ist"))
+    moments = m.fct_sales.select("channel_at_sale", micros.alias("at"))
+    return quantiles.radix_percentiles(moments, ["channel_at_sale"], "at", {"first_at": 0.0, "middle_at": 0.5, "last_at": 1.0})
+
+
 @query
 def corr_agg(m: Models) -> DataFrame:
     orders = m.fct_orders

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 SQL = all_sql()
 CHECKED = (
     "scan_skip_corrupt", "dedup_keep_first", "dedup_cdc_guard", "cdc_version_no", "scd2_windows", "canonical_snapshot",
-    "asof_scd2_join", "asof_hot_day", "diff_stored_builds", "sparse_dock_health", "series_outliers", "week_bucket_join", "median_agg", "multi_distinct", "trailing_mean", "fct_sales",
+    "asof_scd2_join", "asof_hot_day", "diff_stored_builds", "sparse_dock_health", "series_outliers", "week_bucket_join", "median_agg", "percentiles_of_doubles", "percentiles_of_moments", "multi_distinct", "trailing_mean", "fct_sales",
     "fct_warehouse_cycle_time", "dq_partition_reconciliation", "dq_feed_completeness", "rpt_finance_reconciliation",
     "rpt_sales_flat", "kpi_gross_by_channel", "kpi_top_products", "kpi_order_value", "x01_spread",
     "order_noise_profile", "series_day_percentiles", "route_pick", "route_period",

@@ -1,8 +1,10 @@
 """Operators against brute force on small fixtures, hot keys included."""
 
 import datetime as dt
+import math
 import random
 import statistics
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +187,34 @@ def test_exact_percentiles_match_the_definition(spark, size):
     assert got["h"]["m"] == 1
 
 
+def test_ordered_keys_are_those_of_the_bits(spark):
+    rng = random.Random(5)
+    values = [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, float("inf"), float("-inf"), 1.0]
+    for e in range(-1074, 1024, 31):
+        power = math.ldexp(1.0, e)
+        values += [power, -power, math.nextafter(power, 0), math.nextafter(power, math.inf)]
+    values += [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(500)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", quantiles.ordered_key(F.col("v")).alias("key")).collect()
+    for r in rows:
+        bits = struct.unpack("Q", struct.pack("d", abs(r["v"])))[0]
+        assert r["key"] == ((2047 << 52) + 1 if math.isnan(r["v"]) else -bits if r["v"] < 0 else bits)
+
+
+@pytest.mark.parametrize("digit_bits", [5, 20])
+@pytest.mark.parametrize("kind", ["double", "long"])
+def test_radix_percentiles_match_the_definition(spark, kind, digit_bits):
+    rng = random.Random(digit_bits)
+    wide = (lambda: rng.gauss(0, 1) * 10.0 ** rng.randrange(-200, 200)) if kind == "double" else (lambda: rng.randrange(-(2**63), 2**63))
+    same, one = (2.5, 1.5) if kind == "double" else (7, 1)
+    values = [rng.choice([wide(), same]) for _ in range(301)]
+    df = spark.createDataFrame([("g", v) for v in values] + [("two", same), ("two", one), (None, one), ("none", None)], f"g string, v {kind}")
+    got = {r["g"]: r for r in quantiles.radix_percentiles(df, ["g"], "v", {"lo": 0.0, "q": 0.25, "m": 0.5, "hi": 1.0}, digit_bits=digit_bits).collect()}
+    ranked = sorted(values)
+    assert [got["g"][c] for c in ("lo", "q", "m", "hi")] == [float(ranked[i]) for i in (0, 75, 150, 300)]
+    assert (got["two"]["m"], got["two"]["q"]) == ((same + one) / 2, one + (same - one) / 4) and got[None]["m"] == one and set(got) == {"g", "two", None}
+    assert quantiles.radix_percentiles(df.limit(0), ["g"], "v", {"m": 0.5}).count() == 0
+
+
 def test_spine_zero_fill_and_baselines(spark):
     calendar = spark.createDataFrame([(ts(d).date(),) for d in range(5)], "calendar_date date")
     daily = spark.createDataFrame([("s", ts(0).date(), 10), ("s", ts(1).date(), 20), ("s", ts(3).date(), 30), ("s", ts(40).date(), 99)], "series string, d date, n long")
