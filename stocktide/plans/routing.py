@@ -55,10 +55,12 @@ def with_scores(questions: DataFrame, intents: Sequence[Intent]) -> DataFrame:
     """Normalised text, the registry terms it holds, and one score column per intent.
 
     Terms are looked up in one loop over a literal list rather than as an expression each: a projection of some
-    hundred and fifty text tests would be too long a method to be compiled.
+    hundred and fifty text tests would be too long a method to be compiled. The text enters that loop as a variable:
+    as a column that nothing else reads it would be merged into the loop and normalised anew for each term.
     """
     terms = list(dict.fromkeys(t for i in intents for group in (*i.all_of, i.any_of) for t in group))
-    found = with_text(questions).withColumn("_hits", F.filter(_list(terms), lambda t: F.contains("normalised", t)))
+    in_text = F.transform(F.array("normalised"), lambda q: F.filter(_list(terms), lambda t: F.contains(q, t)))
+    found = with_text(questions).withColumn("_hits", F.get(in_text, F.lit(0)))
     return found.withColumns({f"_s{i}": score(F.col("_hits"), n) for i, n in enumerate(intents)})
 
 

@@ -146,3 +146,11 @@ def test_periods(spark, text, anchor, expected):
     q = spark.createDataFrame([(text,)], "question string")
     r = routing.with_periods(q, [], F.lit(anchor)).first()
     assert (r["date_from"], r["date_to"], r["label"]) == expected
+
+
+def test_text_is_normalised_once_not_once_a_term(spark):
+    asked = spark.createDataFrame([(1, 0, "Net SALES, by month!"), (2, 0, None)], "conv_id long, turn long, question string")
+    scores = routing.scored(asked.repartition(2), ("conv_id", "turn"))
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" in plan and "Contains(regexp_replace" not in plan.replace("contains(", "Contains(")
+    assert {(r["conv_id"], r["intent"], r["score"]) for r in scores.collect()} == {(1, "sales_summary", 1)}
