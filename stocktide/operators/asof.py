@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampType
 NO_TIME = "0001-01-01"
 # A (key, day) is hot above this many facts and above its share of them all; so there are at most SHARE hot ones.
 HOT_ROWS, SHARE = 200_000, 4096
-RANGE_SECONDS = 900
+RANGE_SECONDS = 60
 RANGES = 25 * 3600 // RANGE_SECONDS  # the longest day has 25 hours
 
 
@@ -49,48 +49,34 @@ def asof_join(
     """
     usable = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull())
     header, version, fact = 0, 1, 2
-    fact_range, version_range = (_time_range(df, at) for df, at in ((facts, fact_ts), (versions, valid_from)))
     # Facts without a key or a time match nothing.
     unmatched = F.col(fact_key).isNull() | F.col(fact_ts).isNull()
-    source = facts if days_from is None else days_from
-    counted = source.where(~unmatched).groupBy(_day(F.col(fact_key), F.col(fact_ts)).alias("_day")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    fact_day = _day(F.col(fact_key), F.col(fact_ts)).alias("_day")
+    source = (facts if days_from is None else days_from).where(~unmatched)
+    counted = source.groupBy(fact_day).agg(F.count(F.lit(1)).alias("_n"))
     fair = F.greatest(F.lit(float(hot_rows)), counted.agg(F.sum("_n")).scalar() / F.lit(float(SHARE)))
-    sized = counted.select("_day", F.when(F.col("_n") > fair, F.ceil(F.col("_n") / fair).cast("int")).alias("_parts"))
+    sized = counted.select("_day", (F.col("_n") > fair).alias("_hot"))
     # At most SHARE rows, as each stands for more than a SHARE-th of all facts: safe to broadcast at any size.
-    hot = F.broadcast(sized.where("_parts IS NOT NULL"))
+    hot = F.broadcast(sized.where("_hot"))
 
     end = F.col(valid_to) if valid_to else F.lit(None).cast(versions.schema[valid_from].dataType)
     marked_versions = (
         usable.withColumn("_day", _day(F.col(version_key), F.col(valid_from)))
         .join(hot, "_day", "left")
         .select(
-            "_day", "_parts",
-            _range_of(version_range).alias("_range"),
+            "_day", "_hot",
+            _range_of(_time_range(versions, valid_from)).alias("_range"),
             F.lit(version).alias("_kind"),
             F.col(valid_from).alias("_at"),
             F.col(tie).cast("long").alias("_tie"),
             F.struct(*[F.col(source).alias(out) for out, source in attrs.items()], end.alias("_to")).alias("_version"),
         )
     )
-    dealt = F.xxhash64(*[F.col(c) for c in (spread or facts.columns)])
-    salt = F.when(unmatched, F.pmod(dealt, F.lit(4096))).otherwise(F.coalesce(F.pmod(dealt, "_parts"), F.lit(0)))
-    marked_facts = (
-        facts.withColumn("_day", _day(F.when(~unmatched, F.col(fact_key)), F.col(fact_ts)))
-        .join(hot, "_day", "left")
-        .select(
-            *facts.columns,
-            _chunk(_range_of(fact_range), salt).alias("_chunk"),
-            F.lit(fact).alias("_kind"),
-            F.col(fact_ts).alias("_at"),
-        )
-    )
     # One row per (key, day), or per range of a hot one: those that have facts ask, those that have versions answer
     # with their last one. The answer in force at the start of a range opens it as a header.
     asked = sized.select(
-        "_day", "_parts", F.lit(True).alias("_asked"),
-        F.explode(F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(RANGES - 1)))).alias("_range"),
+        "_day", F.when(F.col("_hot"), True).alias("_hot"), F.lit(True).alias("_asked"),
+        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(RANGES - 1))).otherwise(F.array(F.lit(0)))).alias("_range"),
     )
     answers = marked_versions.groupBy("_day", "_range").agg(F.max(F.struct("_at", "_tie", "_version")).alias("_last"))
     # Within one range the question stands before the answer, so it only sees earlier ones.
@@ -101,20 +87,58 @@ def asof_join(
     )
     headers = (
         asked.unionByName(answers, allowMissingColumns=True)
-        .select("_day", "_parts", "_range", "_asked", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+        .select("_day", "_hot", "_range", "_asked", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
         .where("_asked AND _carried IS NOT NULL")
-        .select("_day", "_parts", "_range", F.lit(header).alias("_kind"), F.col("_carried._version").alias("_version"))
+        .select("_day", "_hot", "_range", F.lit(header).alias("_kind"), F.col("_carried._version").alias("_version"))
     )
-    in_time = (
-        Window.partitionBy("_chunk")
-        .orderBy(F.col("_kind") != header, F.asc_nulls_first("_at"), "_kind", "_tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def in_time(*chunk: str) -> Column:
+        order = (F.col("_kind") != header, F.asc_nulls_first("_at"), "_kind", "_tie")
+        window = Window.partitionBy(*chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.last("_version", ignorenulls=True).over(window)
+
+    # The moments of hot days meet the versions; what each finds opens its chunk, one copy for each part of it.
+    moments = source.withColumn("_day", fact_day).join(hot, "_day").groupBy(
+        "_day", F.col(fact_ts).alias("_at"), _time_range(facts, fact_ts).alias("_range")
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.when(F.col("_n") > fair, F.ceil(F.col("_n") * 2 / fair).cast("int")).otherwise(1)  # of half a share each
+    crowded = F.broadcast(moments.where(F.col("_n") > fair).select("_day", "_at", parts.alias("_parts")))
+    openings = (
+        moments.select("_day", "_at", "_range", "_n", F.lit(fact).alias("_kind"))
+        .unionByName(marked_versions.where("_hot").drop("_hot"), allowMissingColumns=True)
+        .unionByName(headers.where("_hot").drop("_hot"), allowMissingColumns=True)
+        .withColumn("_found", in_time("_day", "_range"))
+        .where((F.col("_kind") == fact) & F.col("_found").isNotNull())
+        .select(
+            F.lit(header).alias("_kind"), F.col("_found").alias("_version"), "_day", "_at",
+            F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"),
+        )
+        .select("_kind", "_version", _chunk(F.col("_at"), F.col("_part")).alias("_chunk"))
     )
+    dealt = F.xxhash64(*[F.col(c) for c in (spread or facts.columns)])
+    salt = F.when(unmatched, F.pmod(dealt, F.lit(4096))).otherwise(F.coalesce(F.pmod(dealt, "_parts"), F.lit(0)))
+    whole_day = F.lit(None).cast(facts.schema[fact_ts].dataType)
+    marked_facts = (
+        facts.withColumn("_day", _day(F.when(~unmatched, F.col(fact_key)), F.col(fact_ts)))
+        .withColumn("_at", F.col(fact_ts))
+        .join(hot, "_day", "left")
+        .join(crowded, ["_day", "_at"], "left")
+        .select(
+            *facts.columns,
+            _chunk(F.when(F.col("_hot"), F.col(fact_ts)).otherwise(whole_day), salt).alias("_chunk"),
+            F.lit(fact).alias("_kind"),
+            "_at",
+        )
+    )
+    whole = _chunk(whole_day, F.lit(0)).alias("_chunk")
     found, holds = F.col("_found"), F.col("_found._to").isNull() | (F.col("_at") < F.col("_found._to"))
     return (
-        marked_facts.unionByName(_to_each_part(marked_versions), allowMissingColumns=True)
-        .unionByName(_to_each_part(headers), allowMissingColumns=True)
-        .withColumn("_found", F.last("_version", ignorenulls=True).over(in_time))
+        marked_facts.unionByName(
+            marked_versions.where("_hot IS NULL").select(whole, "_kind", "_at", "_tie", "_version"), allowMissingColumns=True
+        )
+        .unionByName(headers.where("_hot IS NULL").select(whole, "_kind", "_version"), allowMissingColumns=True)
+        .unionByName(openings, allowMissingColumns=True)
+        .withColumn("_found", in_time("_chunk"))
         .where(F.col("_kind") == fact)
         .select(*facts.columns, *[F.when(holds, found.getField(out)).alias(out) for out in attrs])
     )
@@ -192,16 +216,8 @@ def _time_range(df: DataFrame, ts: str) -> Column:
 
 
 def _range_of(time_range: Column) -> Column:
-    return F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(time_range)
-
-
-def _chunk(time_range: Column, part: Column) -> Column:
-    return F.struct(F.col("_day.k").alias("k"), F.col("_day.d").alias("d"), time_range.alias("r"), part.cast("long").alias("s"))
+    return F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(time_range)
 
 
-def _to_each_part(df: DataFrame) -> DataFrame:
-    """A copy of the row for each part of its range."""
-    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)).alias("_part")
-    copies = df.select("*", each)
-    kept = [c for c in df.columns if c not in ("_day", "_parts", "_range")]
-    return copies.select(_chunk(F.col("_range"), F.col("_part")).alias("_chunk"), *kept)
+def _chunk(moment: Column, part: Column) -> Column:
+    return F.struct(F.col("_day.k").alias("k"), F.col("_day.d").alias("d"), moment.alias("r"), part.cast("long").alias("s"))

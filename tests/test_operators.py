@@ -301,3 +301,33 @@ def test_silent_runs_and_sparse_median_equal_the_dense_form(spark):
         assert medians[s] == statistics.median([seen.get(d, 0) for d in days])
         ordered = sorted((r["absent_from"], r["absent_to"]) for r in runs if r["s"] == s)
         assert all((b[0] - a[1]).days > 1 for a, b in zip(ordered, ordered[1:]))
+
+
+def rows_exchanged(df):
+    """Rows that each exchange of a collected frame has written."""
+    def nodes(p):
+        if p.nodeName() == "AdaptiveSparkPlan":
+            p = p.executedPlan()
+        if p.nodeName().endswith("QueryStage"):
+            p = p.plan()
+        yield p
+        for i in range(p.children().size()):
+            yield from nodes(p.children().apply(i))
+
+    found = [p.metrics().get("shuffleRecordsWritten") for p in nodes(df._jdf.queryExecution().executedPlan())]
+    return [m.get().value() for m in found if m.isDefined()]
+
+
+def test_versions_of_a_hot_day_are_not_copied_to_its_parts(spark):
+    """600 versions and 600 facts on one day, a third of both at one moment, with a share of one fact."""
+    second = lambda c: F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") * 113 % 86400)
+    at = F.lit("2025-01-04").cast("timestamp_ntz") + F.make_dt_interval(secs=second("id"))
+    facts = spark.range(600).select("id", F.lit("hot").alias("key"), at.alias("at"))
+    versions = spark.range(600).select(F.lit("hot").alias("k"), at.alias("valid_from"), F.col("id").alias("version_no"))
+    got = asof.asof_join(
+        facts, versions, fact_key="key", fact_ts="at", version_key="k", attrs={"v": "version_no"}, valid_to=None, hot_rows=1, spread=["id"]
+    )
+    starts = [(r["valid_from"], r["version_no"]) for r in versions.collect()]
+    expected = {r["id"]: max((s for s in starts if s[0] <= r["at"]), default=(None, None))[1] for r in facts.collect()}
+    assert {r["id"]: r["v"] for r in got.collect()} == expected
+    assert max(rows_exchanged(got)) < 6 * 600
