@@ -57,7 +57,8 @@ class ChangeStore:
         """Merge a batch of raw change rows; the buckets that were rewritten."""
         key, names = self.key, [self.key, self.op_ts, self.seq]
         bucket = F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
-        batch = batch.select(*self.columns)
+        staged = scratch_path(self.spark, "changes")
+        batch = scans.write_table(batch.select(*self.columns), f"{staged}/batch")  # read many times, computed once
         touched = sorted(r[0] for r in batch.select(bucket).distinct().collect())  # at most as many as there are buckets
         if not touched:
             return []
@@ -70,7 +71,6 @@ class ChangeStore:
         rows = _same_keys(stored, batch, [key], "left_semi").select(*self.columns).unionByName(batch)
         renumbered = numbered(keep_first(rows, [key, self.seq], [self.arrived, self.op_ts]), of_keys, key, op_ts=self.op_ts, seq=self.seq)
         merged = _same_keys(stored, batch, [key], "left_anti").unionByName(renumbered.withColumn("_bucket", bucket))
-        staged = scratch_path(self.spark, "changes")
         for name, frame in (("rows", merged), ("counts", counts)):  # what is read is not yet replaced
             frame.write.parquet(f"{staged}/{name}")
         for name, schema in (("rows", self.row_schema), ("counts", self.count_schema)):
@@ -85,19 +85,18 @@ def merge_late(path: str, late: DataFrame, keys: Sequence[str], order: Sequence[
     the rows. A late row may be new, may lose against the stored copy, or may replace it, in another partition too. Only
     partitions whose rows change are rewritten; one that loses its last row goes.
     """
-    spark = late.sparkSession
+    spark, staged = late.sparkSession, scratch_path(late.sparkSession, "late")
+    late = scans.write_table(late, f"{staged}/late")  # read many times, computed once; so are the rows it meets
     stored = spark.read.schema(late.schema).parquet(path).select(*late.columns)
-    before = _same_keys(stored, late, keys, "left_semi")
-    after = keep_first(before.unionByName(late), keys, order)
+    before = scans.write_table(_same_keys(stored, late, keys, "left_semi"), f"{staged}/before")
+    after = scans.write_table(keep_first(before.unionByName(late), keys, order), f"{staged}/after")
     changed = after.exceptAll(before).union(before.exceptAll(after)).select(partition).distinct()
     values = sorted(r[0] for r in changed.collect())  # partitions of the table at most
     if not values:
         return []
     here = F.col(partition).isin(values)
     merged = _same_keys(stored.where(here), late, keys, "left_anti").unionByName(after.where(here))
-    staged = scratch_path(spark, "late")
-    merged.write.parquet(staged)
-    merged = spark.read.schema(late.schema).parquet(staged)
+    merged = scans.write_table(merged, f"{staged}/merged")
     left = {r[0] for r in merged.select(partition).distinct().collect()}
     scans.overwrite_partitions(merged, path, partition)
     scans.drop_partitions(spark, path, partition, [v for v in values if v not in left])

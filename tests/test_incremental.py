@@ -89,3 +89,23 @@ def test_stream_goes_on_after_a_stop(spark):
     one = dt.datetime(2025, 3, 1)
     assert deliver([(1, one, "a"), (1, one, "a"), (2, one, "b")]) == Counter([(1, one, "a"), (2, one, "b")])
     assert deliver([(2, one, "again"), (3, one, "c")]) == Counter([(1, one, "a"), (2, one, "b"), (3, one, "c")])
+
+
+def test_a_batch_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(value):
+        seen.add(1)
+        return value
+
+    draw = random.Random(8)
+    rows = log(draw, 40)
+    marked = F.udf(mark, "string")
+    batch = spark.createDataFrame(rows, CHANGES).withColumn("v", marked("v"))
+    ChangeStore(spark, tempfile.mkdtemp() + "/history", batch.schema, "k", buckets=4).apply(batch, "one")
+    assert seen.value == len(rows)
+    lines = spark.createDataFrame([(i, i % 3, "x") for i in range(30)], "id long, part long, v string")
+    path = tempfile.mkdtemp() + "/lines"
+    scans.overwrite_partitions(lines, path, "part")
+    merge_late(path, lines.where("id < 7").withColumn("v", marked("v")), ["id"], ["v"], "part")
+    assert seen.value == len(rows) + 7
