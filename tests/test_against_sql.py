@@ -54,3 +54,14 @@ def test_gaps_are_planted_only_where_completeness_looks(spark):
     assert feeds.raw["wms_scan_events"].count() == events.count() > feeds.watched["wms_scan_events"].count()
     assert feeds.raw["reefer_telemetry"].count() == events.count() + events.where("event_id % 31 = 0").count()
     assert feeds.watched["reefer_telemetry"].count() < feeds.raw["reefer_telemetry"].count()
+
+
+@pytest.mark.parametrize(("name", "scans"), [("check_scd2_integrity", 40), ("check_delete_resurrection", 8), ("order_noise_profile", 12)])
+def test_shared_inputs_are_computed_once(spark, name, scans):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= scans
+
+
+def test_second_build_is_dealt_by_size_not_over_five_tasks(spark):
+    plan = QUERIES["diff_builds"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and "RepartitionByExpression" not in plan
