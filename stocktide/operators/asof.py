@@ -1,7 +1,8 @@
 """Point-in-time join: the attributes that were valid for the key when the fact happened.
 
 A fact is never paired with more than one version: facts and versions of one chunk are merged in time order and the
-last version seen is carried forward. A chunk is a (key, day); the version in force when it starts is found among one
+last version seen is carried forward. A chunk is a key, unless the key is hot (more than ``HOT_ROWS`` facts and versions):
+of a hot key it is a (key, day); the version in force when it starts is found among one
 row per chunk and merged in as its first row, so the facts are exchanged once. A (key, day) that holds more than its
 share of all facts is cut further, into ranges of time and, within them, into parts dealt by a hash of the fact; each
 range opens with the version in force at its start, and each part sees the versions of its range.
@@ -15,9 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from stocktide.operators.changes import HOT_ROWS, hot_keys, of_keys
+
 NO_TIME = "0001-01-01"
-# A (key, day) is hot above this many facts and above its share of them all; so there are at most SHARE hot ones.
-HOT_ROWS, SHARE = 200_000, 4096
+# A (key, day) is hot above HOT_ROWS facts and above its share of them all; so there are at most SHARE hot ones.
+SHARE = 4096
 RANGE_SECONDS = 60
 RANGES = 25 * 3600 // RANGE_SECONDS  # the longest day has 25 hours
 
@@ -44,22 +47,51 @@ def asof_join(
 
     ``days_from`` is a cheaper frame that holds at least the keys and times of ``facts``. ``spread`` names the columns
     that spread facts without a key or a time and those of a hot (key, day) (all of them, if none is named); named, the
-    other columns can be pruned. Rows equal in these columns stay together. A (key, day) is hot with more than
+    other columns can be pruned. Rows equal in these columns stay together. A key with more than ``hot_rows`` facts and versions
+    goes by days, and a (key, day) is hot with more than
     ``hot_rows`` facts and more than one in ``SHARE`` of all facts.
     """
     usable = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull())
-    header, version, fact = 0, 1, 2
     # Facts without a key or a time match nothing.
     unmatched = F.col(fact_key).isNull() | F.col(fact_ts).isNull()
+    end = F.col(valid_to) if valid_to else F.lit(None).cast(versions.schema[valid_from].dataType)
+    entry = F.struct(*[F.col(source).alias(out) for out, source in attrs.items()], end.alias("_to")).alias("_version")
+    found, holds = F.col("_found"), F.col("_found._to").isNull() | (F.col("_at") < F.col("_found._to"))
+
+    def matched(merged: DataFrame) -> DataFrame:
+        return merged.select(*facts.columns, *[F.when(holds, found.getField(out)).alias(out) for out in attrs])
+
+    def by_key(facts: DataFrame, usable: DataFrame) -> DataFrame:
+        version, fact = 0, 1
+        dealt = F.pmod(F.xxhash64(*[F.col(c) for c in (spread or facts.columns)]), F.lit(4096))
+        in_time = Window.partitionBy("_key", "_part").orderBy(F.asc_nulls_first("_at"), "_kind", "_tie")
+        rows = facts.select(
+            "*", F.col(fact_key).alias("_key"), F.when(unmatched, dealt).otherwise(F.lit(0)).alias("_part"), F.lit(fact).alias("_kind"), F.col(fact_ts).alias("_at"),
+        )
+        marked = usable.select(
+            F.col(version_key).alias("_key"), F.lit(0).cast("long").alias("_part"), F.lit(version).alias("_kind"), F.col(valid_from).alias("_at"),
+            F.col(tie).cast("long").alias("_tie"), entry,
+        )
+        carried = F.last("_version", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return matched(rows.unionByName(marked, allowMissingColumns=True).withColumn("_found", carried).where(F.col("_kind") == fact))
+
+    source = facts if days_from is None else days_from
+    names = source.select(F.col(fact_key).alias("_key")).unionByName(usable.select(F.col(version_key).alias("_key")))
+    hot_key = hot_keys(names.where("_key IS NOT NULL"), "_key", hot_rows)
+    if hot_key is None:
+        return by_key(facts, usable)
+    usual = by_key(of_keys(facts, fact_key, hot_key, "left_anti"), of_keys(usable, version_key, hot_key, "left_anti"))
+    facts, source = (of_keys(df, fact_key, hot_key, "left_semi") for df in (facts, source))
+    usable = of_keys(usable, version_key, hot_key, "left_semi")
+    header, version, fact = 0, 1, 2
     fact_day = _day(F.col(fact_key), F.col(fact_ts)).alias("_day")
-    source = (facts if days_from is None else days_from).where(~unmatched)
+    source = source.where(~unmatched)
     counted = source.groupBy(fact_day).agg(F.count(F.lit(1)).alias("_n"))
     fair = F.greatest(F.lit(float(hot_rows)), counted.agg(F.sum("_n")).scalar() / F.lit(float(SHARE)))
     sized = counted.select("_day", (F.col("_n") > fair).alias("_hot"))
     # At most SHARE rows, as each stands for more than a SHARE-th of all facts: safe to broadcast at any size.
     hot = F.broadcast(sized.where("_hot"))
 
-    end = F.col(valid_to) if valid_to else F.lit(None).cast(versions.schema[valid_from].dataType)
     marked_versions = (
         usable.withColumn("_day", _day(F.col(version_key), F.col(valid_from)))
         .join(hot, "_day", "left")
@@ -69,7 +101,7 @@ def asof_join(
             F.lit(version).alias("_kind"),
             F.col(valid_from).alias("_at"),
             F.col(tie).cast("long").alias("_tie"),
-            F.struct(*[F.col(source).alias(out) for out, source in attrs.items()], end.alias("_to")).alias("_version"),
+            entry,
         )
     )
     # One row per (key, day), or per range of a hot one: those that have facts ask, those that have versions answer
@@ -131,8 +163,7 @@ def asof_join(
         )
     )
     whole = _chunk(whole_day, F.lit(0)).alias("_chunk")
-    found, holds = F.col("_found"), F.col("_found._to").isNull() | (F.col("_at") < F.col("_found._to"))
-    return (
+    return usual.unionByName(matched(
         marked_facts.unionByName(
             marked_versions.where("_hot IS NULL").select(whole, "_kind", "_at", "_tie", "_version"), allowMissingColumns=True
         )
@@ -140,8 +171,7 @@ def asof_join(
         .unionByName(openings, allowMissingColumns=True)
         .withColumn("_found", in_time("_chunk"))
         .where(F.col("_kind") == fact)
-        .select(*facts.columns, *[F.when(holds, found.getField(out)).alias(out) for out in attrs])
-    )
+    ))
 
 
 def window_defects(versions: DataFrame, *, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:

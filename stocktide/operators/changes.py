@@ -1,7 +1,7 @@
 """Change-log operators: version numbers, validity windows, deletions, canonical snapshots.
 
-An ordered window over one entity would put the whole history of a hot entity into one task. The windows here
-run over (entity, day) instead. What a day needs from its neighbours (the number of changes before it, the next
+Windows run over the entity where none has more than ``HOT_ROWS`` changes: rows are exchanged once, and nothing is joined.
+A hot entity would be put into one task whole; its windows run over (entity, day) instead. What a day needs from its neighbours (the number of changes before it, the next
 day's first change, whether the entity was ever deleted) is computed from one row per (entity, day) and travels
 as an extra row of that day, sorted to its start or end, so the wide rows are exchanged once and joined to
 nothing. A window over one entity sees days, never changes.
@@ -9,6 +9,8 @@ nothing. A window over one entity sees days, never changes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,34 @@ from stocktide.functions.cleaning import is_delete
 from stocktide.operators.dedup import keep_first
 
 OPEN_END = "9999-12-31"  # fixed value: end of a version that has not been replaced
+HOT_ROWS = 200_000  # a key with more rows is hot: its windows are cut
+
+
+#: Asks for the hot keys when they are needed, so that composing a plan runs no job before.
+HotKeys = Callable[[], "DataFrame | None"]
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """``_hot_key``, the keys with more than ``hot_rows`` rows (NULL may be one); None if there are none.
+
+    A count runs at once, so that plans without hot keys need no second branch. There is at most one such key for
+    ``hot_rows`` rows.
+    """
+    counted = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    found = counted.where(F.col("_n") > hot_rows).select("_hot_key")
+    return None if found.isEmpty() else found
+
+
+def of_keys(df: DataFrame, key: str, hot: DataFrame, how: str) -> DataFrame:
+    """The rows of hot keys (``left_semi``) or of all others (``left_anti``)."""
+    return df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), how)
+
+
+def by_heat(df: DataFrame, key: str, hot: DataFrame | None, usual: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``cut`` of the rows of hot keys and ``usual`` of all others."""
+    if hot is None:
+        return usual(df)
+    return usual(of_keys(df, key, hot, "left_anti")).unionByName(cut(of_keys(df, key, hot, "left_semi")))
 
 
 def day_chunk(key: str, ts: str | Column) -> Column:
@@ -25,16 +55,26 @@ def day_chunk(key: str, ts: str | Column) -> Column:
 
 
 def version_history(
-    raw: DataFrame, key: str, *, op_ts: str = "op_ts", seq: str = "seq", arrived: str = "extract_date"
+    raw: DataFrame, key: str, *, op_ts: str = "op_ts", seq: str = "seq", arrived: str = "extract_date",
+    hot_rows: int = HOT_ROWS, hot: HotKeys | None = None,
 ) -> DataFrame:
     """One row per (key, seq) with ``version_no``, the position of the change among the raw rows of its key.
 
     Numbers count the raw rows, so a dropped copy leaves a gap. Of the copies of a (key, seq) the one that arrived
-    first stays. Whole rows go through the rank filter and the day window; counting needs keys and times only, and
-    both shrink groups of copies before their exchange.
+    first stays. A position is a rank by time and seq, taken before copies go; both windows share one exchange. Of a hot
+    key whole rows go through the rank filter and the day window; counting needs keys and times only, and both shrink
+    groups of copies before their exchange. ``hot`` gives the ``hot_keys`` where they are known already.
     """
-    counts = raw.groupBy(key, op_ts, seq).agg(F.count(F.lit(1)).alias("_rows"))
-    return numbered(keep_first(raw, [key, seq], [arrived, op_ts]), counts, key, op_ts=op_ts, seq=seq)
+    position = F.rank().over(Window.partitionBy(key).orderBy(F.asc_nulls_last(op_ts), F.asc_nulls_last(seq)))
+
+    def first(rows: DataFrame) -> DataFrame:
+        return keep_first(rows, [key, seq], [arrived, op_ts])
+
+    def cut(rows: DataFrame) -> DataFrame:
+        counts = rows.groupBy(key, op_ts, seq).agg(F.count(F.lit(1)).alias("_rows"))
+        return numbered(first(rows), counts, key, op_ts=op_ts, seq=seq)
+
+    return by_heat(raw, key, hot() if hot else hot_keys(raw, key, hot_rows), lambda rows: first(rows.withColumn("version_no", position.cast("long"))), cut)
 
 
 def numbered(kept: DataFrame, counts: DataFrame, key: str, *, op_ts: str = "op_ts", seq: str = "seq") -> DataFrame:
@@ -70,13 +110,45 @@ def numbered(kept: DataFrame, counts: DataFrame, key: str, *, op_ts: str = "op_t
 
 
 def validity_windows(
-    history: DataFrame, key: str, *, op_ts: str = "op_ts", version: str = "version_no", op: str = "op_type"
+    history: DataFrame, key: str, *, op_ts: str = "op_ts", version: str = "version_no", op: str = "op_type",
+    hot_rows: int = HOT_ROWS, hot: HotKeys | None = None,
 ) -> DataFrame:
     """Slowly changing dimension windows ``[valid_from, valid_to)``.
 
     Once deleted an entity stays deleted, whatever change follows; two changes at one time leave a window of
-    zero length for the earlier of them.
+    zero length for the earlier of them. ``hot`` gives the ``hot_keys`` where they are known already.
     """
+    columns = history.columns
+    following = F.col("_next")
+    return by_heat(
+        history, key, hot() if hot else hot_keys(history, key, hot_rows), lambda rows: _next_in_key(rows, key, op_ts, version, op), lambda rows: _next_by_day(rows, key, op_ts, version, op)
+    ).select(
+        *columns,
+        F.col("_ever_gone").alias("is_deleted"),
+        F.col(op_ts).alias("valid_from"),
+        F.coalesce(following, F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
+        following.isNull().alias("is_last_version"),
+        (following.isNull() & ~F.col("_ever_gone")).alias("is_current"),
+    )
+
+
+def _next_in_key(history: DataFrame, key: str, op_ts: str, version: str, op: str) -> DataFrame:
+    """``_next``, the time of the next change of the key, and ``_ever_gone``; all windows share one sort by day and version."""
+    in_key = Window.partitionBy(key).orderBy("_day", version)
+    lead = lambda c: F.lead(c).over(in_key)
+    return (
+        history.withColumn("_day", day_chunk(key, op_ts)["d"])
+        .withColumns({"_later": lead(op_ts), "_later_day": lead("_day")})
+        .withColumn("_first", F.min(op_ts).over(Window.partitionBy(key, "_day")))
+        .withColumn("_later_first", lead("_first"))
+        .withColumn("_ever_gone", F.max(is_delete(op)).over(Window.partitionBy(key)))
+        .withColumn("_next", F.when(F.col("_later_day") == F.col("_day"), F.col("_later")).otherwise(F.col("_later_first")))
+        .select(*history.columns, "_next", "_ever_gone")
+    )
+
+
+def _next_by_day(history: DataFrame, key: str, op_ts: str, version: str, op: str) -> DataFrame:
+    """The same from windows over (key, day)."""
     chunked = history.select("*", day_chunk(key, op_ts).alias("_chunk"), F.lit(False).alias("_is_trailer"))
     by_key = Window.partitionBy("_chunk.k")
     # A trailer closes each day with the entity's next change after the day and whether it was ever deleted.
@@ -91,7 +163,6 @@ def validity_windows(
         )
     )
     in_day = Window.partitionBy("_chunk").orderBy("_is_trailer", version)
-    following = F.col("_next")
     return (
         chunked.unionByName(trailers, allowMissingColumns=True)
         .select(
@@ -99,14 +170,7 @@ def validity_windows(
             F.max("_gone").over(Window.partitionBy("_chunk")).alias("_ever_gone"),
         )
         .where("NOT _is_trailer")
-        .select(
-            *history.columns,
-            F.col("_ever_gone").alias("is_deleted"),
-            F.col(op_ts).alias("valid_from"),
-            F.coalesce(following, F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
-            following.isNull().alias("is_last_version"),
-            (following.isNull() & ~F.col("_ever_gone")).alias("is_current"),
-        )
+        .select(*history.columns, "_next", "_ever_gone")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktide.functions import cleaning as clean
 from stocktide.functions.numbers import money
-from stocktide.operators.changes import version_history
+from stocktide.operators.changes import HotKeys, version_history
 from stocktide.operators.dedup import keep_first
 
 
@@ -59,13 +59,13 @@ def change_rows(raw: DataFrame) -> DataFrame:
     return raw.select(*[renamed.get(c, F.col(c)) for c in raw.columns])
 
 
-def stg_outlet_history(raw: DataFrame) -> DataFrame:
-    return version_history(change_rows(raw), "outlet_code")
+def stg_outlet_history(raw: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    return version_history(change_rows(raw), "outlet_code", hot=hot)
 
 
-def stg_product_history(raw: DataFrame) -> DataFrame:
+def stg_product_history(raw: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     rows = change_rows(raw).withColumns({"mrp": money("mrp"), "list_price": money("list_price")})
-    return version_history(rows, "sku_code")
+    return version_history(rows, "sku_code", hot=hot)
 
 
 def stg_sales_order_header(raw: DataFrame) -> DataFrame:

@@ -331,3 +331,37 @@ def test_versions_of_a_hot_day_are_not_copied_to_its_parts(spark):
     expected = {r["id"]: max((s for s in starts if s[0] <= r["at"]), default=(None, None))[1] for r in facts.collect()}
     assert {r["id"]: r["v"] for r in got.collect()} == expected
     assert max(rows_exchanged(got)) < 6 * 600
+
+
+def test_a_change_feed_is_exchanged_once_unless_a_key_is_hot(spark):
+    """Numbers and windows of ordinary keys share one exchange; cut at hot keys they come out the same."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        key, day = rng.choice(["hot", "hot", "a", "b", None]), rng.randrange(6)
+        rows.append((key, rng.choice("UUUUUUUD"), None if i % 50 == 0 else ts(day, rng.choice([0, 6, 6])), i, ts(day).date(), f"v{i}"))
+    rows += rng.sample(rows, 40)
+    rows += [(r[0], r[1], ts(9), r[3], r[4] + dt.timedelta(days=rng.choice([-1, 1])), r[5] + "x") for r in rng.sample(rows, 20)]
+    h = history(spark, rows)
+
+    def dim(hot_rows):
+        return changes.validity_windows(changes.version_history(h, "k", hot_rows=hot_rows), "k", hot_rows=hot_rows)
+
+    usual = dim(10_000)
+    assert usual._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    rows_of = lambda df: sorted(map(repr, df.collect()))
+    assert rows_of(usual) == rows_of(dim(60)) == rows_of(dim(0))
+
+
+def test_asof_join_of_ordinary_keys_meets_versions_in_one_window(spark):
+    versions = spark.createDataFrame([("a", ts(d), n, f"a{n}") for n, d in enumerate([0, 4, 4, 9])] + [("b", ts(2), 0, "b0"), (None, ts(0), 0, "no")],
+                                     "k string, valid_from timestamp_ntz, version_no int, label string")
+    facts = [(0, "a", ts(0)), (1, "a", ts(5)), (2, "a", ts(-1)), (3, "b", ts(8)), (4, "c", ts(8)), (5, None, ts(8)), (6, "b", None)]
+    f = spark.createDataFrame(facts, "id int, key string, at timestamp_ntz")
+    args = dict(fact_key="key", fact_ts="at", version_key="k", attrs={"label": "label"}, valid_to=None)
+    usual = asof.asof_join(f, versions, **args)
+    assert usual._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = {0: "a0", 1: "a2", 2: None, 3: "b0", 4: None, 5: None, 6: None}
+    for hot_rows in (200_000, 4, 0):
+        got = asof.asof_join(f, versions, hot_rows=hot_rows, **args).collect()
+        assert len(got) == len(facts) and {r["id"]: r["label"] for r in got} == want
