@@ -5,9 +5,15 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from stocktide.plans import dq, finance, kpi, routing
+from stocktide.plans import dq, finance, kpi, marts, routing
 
 DAY = dt.date(2025, 1, 1)
+#: Columns of the facts that the flat view hands through.
+FACT_ONLY = (
+    "basket_id", "is_late_arrival", "channel_at_sale", "qty_original", "uom_original", "uom_unknown_flag", "uom_conversion_missing", "eaches_per_case",
+    "qty_eaches", "unit_price", "gross_sales_amount", "discount_amount", "net_sales_amount", "tax_amount", "sales_amount_incl_tax", "payment_mode",
+    "promo_code", "source_file",
+)
 
 
 def day(n):
@@ -154,3 +160,27 @@ def test_text_is_normalised_once_not_once_a_term(spark):
     plan = scores._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" in plan and "Contains(regexp_replace" not in plan.replace("contains(", "Contains(")
     assert {(r["conv_id"], r["intent"], r["score"]) for r in scores.collect()} == {(1, "sales_summary", 1)}
+
+
+def test_columns_of_the_flat_view_without_stored_versions(spark):
+    """The same rows as the whole view, from facts without version keys and without the other columns."""
+    at = lambda n, hour=10: dt.datetime(2025, 1, 1, hour) + dt.timedelta(days=n)
+    facts = [(1, 1, "o1", "s1", at(0)), (1, 2, "o1", "s2", at(0)), (2, 1, "o1", "s1", at(3)), (3, 1, "o2", None, at(3)), (4, 1, None, "s1", at(9)), (5, 1, "o9", "s9", at(1)), (6, 1, "o2", "s2", None)]
+    sales = spark.createDataFrame(facts, "txn_id int, txn_line_no int, outlet_code string, sku_code string, event_ts_ist timestamp_ntz").withColumn("event_date_ist", F.to_date("event_ts_ist"))
+    sales = sales.withColumns({c: F.lit(None).cast("string") for c in marts.FLAT_COLUMNS if c in FACT_ONLY})
+    open_end = dt.datetime(9999, 12, 31)
+    windows = lambda key: [(key + "1", 1, at(-5), at(2)), (key + "1", 2, at(2), open_end), (key + "2", 4, at(-5), open_end)]
+
+    def dim(key, attributes):
+        df = spark.createDataFrame(windows(key[0]), f"{key} string, version_no bigint, valid_from timestamp_ntz, valid_to timestamp_ntz")
+        return df.withColumns({c: F.concat_ws("-", key, "version_no", F.lit(c)) for c in attributes.values()})
+
+    outlets, products = dim("outlet_code", marts.OUTLET_AT_SALE), dim("sku_code", marts.PRODUCT_AT_SALE)
+    calendar = marts.calendar_between(spark.createDataFrame([(day(0), day(5))], "first_day date, last_day date"))
+    sites = spark.createDataFrame([("o1-2-warehouse_code", "north site", "north", "x")], "warehouse_code string, warehouse_name string, region_name string, city string")
+    whole = marts.rpt_sales_flat(marts.with_versions(sales, outlets, products), outlets, products, calendar, sites)
+    for columns in (marts.FLAT_COLUMNS, ("txn_id", "warehouse_region", "product_category"), ("txn_id", "fiscal_year"), ("txn_id", "product_version_no")):
+        lines = sales.select(*marts.line_columns(sales, columns))
+        got = marts.flat_columns(lines, outlets, products, calendar, sites, columns)
+        assert got.columns == list(columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, whole.select(*columns).collect()))
