@@ -80,10 +80,12 @@ def _nibble(digest: Column, i: Column) -> Column:
 
 def _varied(text: Column, digest: Column, fixed: Column, hex_only: Column) -> Column:
     """`text` with digits and letters from position `fixed` on replaced within their alphabet, by one byte each."""
-    chars = F.split(text, "")
+    def place(c: Column, i: Column) -> Column:
+        byte = _nibble(F.when(i < 32, digest).otherwise(F.sha2(F.concat(digest, F.floor(i / 32).cast("string")), 256)), i)
+        return F.struct(c.alias("c"), i.alias("i"), byte.alias("v"))
 
-    def change(c: Column, i: Column) -> Column:
-        v = _nibble(F.when(i < 32, digest).otherwise(F.sha2(F.concat(digest, F.floor(i / 32).cast("string")), 256)), i)
+    def change(at: Column) -> Column:
+        c, i, v = at["c"], at["i"], at["v"]
         digit = F.chr(F.lit(48) + v % 10)
         lower = F.chr(F.lit(97) + v % F.when(hex_only, F.lit(6)).otherwise(F.lit(26)))
         upper = F.chr(F.lit(65) + v % F.when(hex_only, F.lit(6)).otherwise(F.lit(26)))
@@ -93,7 +95,8 @@ def _varied(text: Column, digest: Column, fixed: Column, hex_only: Column) -> Co
             out = out.when(c.rlike(rf"^\p{{{script}}}$"), F.when(c.rlike(r"^\p{Lu}$"), F.upper(letter)).otherwise(letter))
         return out.when(c.rlike(r"^\p{Lu}$"), upper).when(c.rlike(r"^\p{L}$"), lower).otherwise(c)
 
-    return F.array_join(F.transform(chars, change), "")
+    # The byte of a place stands in the expression once, not in every branch: plans stay small.
+    return F.array_join(F.transform(F.transform(F.split(text, ""), place), change), "")
 
 
 def _kind(entity: Column) -> Column:
@@ -229,7 +232,7 @@ def surrogate_table(known: DataFrame, key: str) -> DataFrame:
 
     def draw(rows: DataFrame, attempt: int) -> DataFrame:
         digest = _digest(key, F.col("kind"), F.col("base"), F.lit(attempt))
-        return rows.withColumn("core", _core(F.col("kind"), F.col("base"), digest, attempt))
+        return rows.withColumn("_digest", digest).withColumn("core", _core(F.col("kind"), F.col("base"), F.col("_digest"), attempt)).drop("_digest")
 
     def clashes(rows: DataFrame, settled: DataFrame | None) -> DataFrame:
         """Entities to draw again: all but the first of those that share a surrogate, or whose surrogate is taken."""
