@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.functions.cleaning import seconds_between
 from stocktide.functions.numbers import as_double, count_where, percent, ratio, round_to
+from stocktide.operators.changes import HotKeys, by_heat, hot_keys
 from stocktide.operators.quantiles import exact_median, exact_percentiles
 from stocktide.plans.marts import STAGES
 
@@ -80,10 +83,27 @@ NOISE_PROFILE = {
 }
 
 
-def noise_profile(outlets: DataFrame) -> DataFrame:
-    """Mean distinct values per attribute over outlets with more than two versions; a real attribute has one."""
-    per_outlet = outlets.groupBy("outlet_code").agg(
-        F.count(F.lit(1)).alias("_versions"), *[F.countDistinct(c).alias(c) for c in NOISE_PROFILE]
+#: Up to so many versions an outlet's distinct values are held as sets; those of a busier one are counted as pairs.
+MANY_VERSIONS = 1_000
+
+
+def noise_profile(outlets: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Mean distinct values per attribute over outlets with more than two versions; a real attribute has one.
+
+    Counted as pairs, a version is a row for each attribute and each of them stands in a hash table. As sets, versions stay
+    one row and an outlet is one row of short sets. ``hot`` gives the ``hot_keys`` of over ``MANY_VERSIONS`` where a cheaper
+    frame with all versions can tell them. Doubles are compared as text: a set holds every NaN.
+    """
+    versions = outlets.select("outlet_code", *NOISE_PROFILE)
+    doubles = [c for c, t in versions.dtypes if t in ("float", "double")]
+    versions = versions.withColumns({c: F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)).cast("string") for c in doubles})
+    found = hot() if hot else hot_keys(versions, "outlet_code", MANY_VERSIONS)
+
+    def counted(rows: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
+        return rows.groupBy("outlet_code").agg(F.count(F.lit(1)).alias("_versions"), *[distinct(c).alias(c) for c in NOISE_PROFILE])
+
+    per_outlet = by_heat(
+        versions, "outlet_code", found, lambda rows: counted(rows, lambda c: F.size(F.collect_set(c)).cast("long")), lambda rows: counted(rows, F.countDistinct)
     )
     return per_outlet.where("_versions > 2").agg(*[mean_of(c, 2).alias(f"avg_distinct_{c}") for c in NOISE_PROFILE])
 

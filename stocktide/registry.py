@@ -761,7 +761,8 @@ def x03_changes(m: Models) -> DataFrame:
 
 @query
 def x03_noise_profile(m: Models) -> DataFrame:
-    return limits.noise_profile(m.dim_outlet)
+    changed = m.feeds.raw["erp_cdc/outlet_master"]
+    return limits.noise_profile(m.dim_outlet, hot=lambda: changes.hot_keys(changed, "outlet_code", limits.MANY_VERSIONS))
 
 
 @query

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from stocktide.plans import dq, finance, kpi, marts, routing
+from stocktide.plans import dq, finance, kpi, limits, marts, routing
 
 DAY = dt.date(2025, 1, 1)
 #: Columns of the facts that the flat view hands through.
@@ -184,3 +184,35 @@ def test_columns_of_the_flat_view_without_stored_versions(spark):
         got = marts.flat_columns(lines, outlets, products, calendar, sites, columns)
         assert got.columns == list(columns)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, whole.select(*columns).collect()))
+
+
+def outlet_versions(spark):
+    """Outlets with 1 to 9 versions and a missing key; values repeat, are null, NaN or zero of either sign."""
+    doubles = (0.0, float("nan"), None, -0.0, float("nan"), 2.5, 2.5)
+    rows = []
+    for outlet in (*[f"o{i}" for i in range(9)], None):
+        for v in range(1 + (4 if outlet is None else int(outlet[1:]))):
+            rows.append((outlet, "abc"[v % 3], None if v % 2 else "f", f"c{v // 2}", f"r{v}", doubles[v % 7], None, "n"))
+    ddl = "outlet_code string, channel string, outlet_format string, city string, route_code string, credit_limit double, warehouse_code string, outlet_name string"
+    return rows, spark.createDataFrame(rows, ddl).repartition(3)
+
+
+@pytest.mark.parametrize("many", [1000, 5])
+def test_noise_profile_matches_brute_force_with_and_without_busy_outlets(spark, monkeypatch, many):
+    monkeypatch.setattr(limits, "MANY_VERSIONS", many, raising=False)
+    rows, outlets = outlet_versions(spark)
+    columns = outlets.columns[1:]
+    by_outlet = {k: [r for r in rows if r[0] == k] for k in {r[0] for r in rows}}
+    kept = [versions for versions in by_outlet.values() if len(versions) > 2]
+
+    def distinct(versions, i):  # NaN is one value, and zero has no sign
+        return len({"nan" if r[i] != r[i] else r[i] for r in versions if r[i] is not None})
+
+    want = {f"avg_distinct_{c}": int(sum(distinct(v, i) for v in kept) / len(kept) * 100 + 0.5) / 100 for i, c in enumerate(columns, 1)}
+    assert limits.noise_profile(outlets).first().asDict() == want
+
+
+def test_noise_profile_keeps_a_version_one_row(spark):
+    """No row for each attribute: a version is not multiplied on its way to the counts."""
+    _, outlets = outlet_versions(spark)
+    assert "Expand" not in limits.noise_profile(outlets)._jdf.queryExecution().executedPlan().toString()
