@@ -65,3 +65,14 @@ def test_shared_inputs_are_computed_once(spark, name, scans):
 def test_second_build_is_dealt_by_size_not_over_five_tasks(spark):
     plan = QUERIES["diff_builds"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan and "RepartitionByExpression" not in plan
+
+
+def test_a_month_of_the_first_build_is_not_a_file_of_each_task(spark):
+    """Four tasks hold rows of every month here; dealt by month, each month is one file."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = QUERIES["diff_stored_builds"](spark, SF).inputFiles()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    months = [f.rsplit("/", 2)[1] for f in files if "/first/" in f]
+    assert len(months) == len(set(months)) > 50
