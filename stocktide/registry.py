@@ -906,19 +906,23 @@ def diff_stored_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Rows are compared only in the months whose digests differ; ``surplus`` is how many more the first build has.
     """
-    lines = Models(Feeds.from_tables(spark, sf_dir)).stg_pos_transactions.withColumn("month", F.date_format("event_date_ist", "yyyy-MM"))
+    # The month is its first day: days are sorted as numbers before a write and take no formatting.
+    lines = Models(Feeds.from_tables(spark, sf_dir)).stg_pos_transactions.withColumn("month", F.trunc("event_date_ist", "month"))
     root, month, line = scratch_path(spark, "builds"), F.col("month"), F.col("txn_line_no")
+    lossy, repriced, twice = (F.lit(first).cast("date") for first in ("1996-03-01", "1997-07-01", "1995-02-01"))
     # Dealt by month, a month is a few files. Undealt, each task writes a file for each of its months, and the second build,
     # which reads and writes as many again, spends its time opening them.
     lines.hint("rebalance", month).write.partitionBy("month").parquet(f"{root}/first")
     stored = spark.read.schema(lines.schema).parquet(f"{root}/first")
-    lost = (month == "1996-03") & (line == 1)
-    changed = F.when((month == "1997-07") & (line == 2), F.col("discount_amount") + F.lit(1).cast("decimal(18,2)")).otherwise(F.col("discount_amount"))
+    lost = (month == lossy) & (line == 1)
+    changed = F.when((month == repriced) & (line == 2), F.col("discount_amount") + F.lit(1).cast("decimal(18,2)")).otherwise(F.col("discount_amount"))
     second = stored.where(~lost).withColumn("discount_amount", changed.cast("decimal(18,2)"))
-    doubled = stored.where((month == "1995-02") & (line == 3))
+    doubled = stored.where((month == twice) & (line == 3))
     second.unionByName(doubled).write.partitionBy("month").parquet(f"{root}/second")
     other = spark.read.schema(lines.schema).parquet(f"{root}/second")
-    return reconcile.stored_diff(stored, other, "month").select("month", "txn_id", "txn_line_no", as_double("discount_amount").alias("discount_amount"), "surplus")
+    return reconcile.stored_diff(stored, other, "month").select(
+        F.date_format(month, "yyyy-MM").alias("month"), "txn_id", "txn_line_no", as_double("discount_amount").alias("discount_amount"), "surplus"
+    )
 
 
 @query
