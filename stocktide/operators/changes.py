@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from stocktide.functions.cleaning import is_delete
 from stocktide.operators.dedup import keep_first
+from stocktide.session import releasing
 
 OPEN_END = "9999-12-31"  # fixed value: end of a version that has not been replaced
 HOT_ROWS = 200_000  # a key with more rows is hot: its windows are cut
+SLOTS = 1 << 14  # in which keys are counted before hot ones are looked for
 
 
 #: Asks for the hot keys when they are needed, so that composing a plan runs no job before.
@@ -29,11 +31,17 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame |
     """``_hot_key``, the keys with more than ``hot_rows`` rows (NULL may be one); None if there are none.
 
     A count runs at once, so that plans without hot keys need no second branch. There is at most one such key for
-    ``hot_rows`` rows.
+    ``hot_rows`` rows. Rows are counted by slots of keys, of which each task sends at most ``SLOTS``; only the keys of
+    slots with as many rows are counted one by one.
     """
-    counted = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
-    found = counted.where(F.col("_n") > hot_rows).select("_hot_key")
-    return None if found.isEmpty() else found
+    slot = F.pmod(F.hash(key), F.lit(SLOTS))
+    counted = lambda df, by: df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    with releasing(rows.sparkSession):
+        slots = [r[0] for r in counted(rows, slot.alias("_slot")).select("_slot").collect()]  # SLOTS at most
+        if not slots:
+            return None
+        found = counted(rows.where(slot.isin(slots)), F.col(key).alias("_hot_key")).select("_hot_key")
+        return None if found.isEmpty() else found
 
 
 def of_keys(df: DataFrame, key: str, hot: DataFrame, how: str) -> DataFrame:
@@ -109,6 +117,38 @@ def numbered(kept: DataFrame, counts: DataFrame, key: str, *, op_ts: str = "op_t
     )
 
 
+def renumbered(
+    stored: DataFrame, batch: DataFrame, counts: DataFrame, key: str, *, op_ts: str = "op_ts", seq: str = "seq",
+    arrived: str = "extract_date", hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``version_history`` of what ``stored``, one row per (key, seq), and ``counts`` stand for and the raw rows of ``batch``.
+
+    ``counts`` has how many raw rows besides those of the batch carry a (key, op_ts, seq). All three meet in one exchange
+    by key; a hot key is cut by day as ever.
+    """
+    columns, counted = batch.columns, F.col("_rows")
+    rows = (
+        stored.select(*columns, F.lit(0).cast("long").alias("_rows"), F.lit(True).alias("_change"))
+        .unionByName(batch.select("*", F.lit(1).cast("long").alias("_rows"), F.lit(True).alias("_change")))
+        .unionByName(counts.select(key, op_ts, seq, "_rows", F.lit(False).alias("_change")), allowMissingColumns=True)
+    )
+    in_time = Window.partitionBy(key).orderBy(F.asc_nulls_last(op_ts), F.asc_nulls_last(seq))
+    so_far = F.sum(counted).over(in_time.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    at_once = F.sum(counted).over(Window.partitionBy(key, op_ts, seq))
+
+    def first(df: DataFrame) -> DataFrame:
+        return keep_first(df, [key, seq], [arrived, op_ts])
+
+    def usual(df: DataFrame) -> DataFrame:
+        return first(df.withColumn("version_no", so_far - at_once + 1).where("_change").select(*columns, "version_no"))
+
+    def cut(df: DataFrame) -> DataFrame:
+        each = df.where(counted > 0).groupBy(key, op_ts, seq).agg(F.sum(counted).alias("_rows"))
+        return numbered(first(df.where("_change").select(*columns)), each, key, op_ts=op_ts, seq=seq)
+
+    return by_heat(rows, key, hot_keys(rows, key, hot_rows), usual, cut)
+
+
 def validity_windows(
     history: DataFrame, key: str, *, op_ts: str = "op_ts", version: str = "version_no", op: str = "op_type",
     hot_rows: int = HOT_ROWS, hot: HotKeys | None = None,

@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stocktide.operators.changes import numbered
+from stocktide.operators.changes import renumbered
 from stocktide.operators.dedup import keep_first
-from stocktide.session import scratch_path
+from stocktide.session import releasing, scratch_path
 from stocktide.sources import feeds as scans
 
+FEW_ROWS = 100_000  # a batch of so many rows is small: its keys are broadcast
+
 
 def _same_keys(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -> DataFrame:
     """Semi or anti join by keys that may be null."""
@@ -28,9 +30,11 @@ def _same_keys(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str)
 class ChangeStore:
     """The versions of a change log in a folder, kept current batch by batch.
 
-    ``rows`` holds one numbered row per (key, seq), ``counts`` how many raw rows of each batch carry a (key, time, seq);
-    both are partitioned by a hash bucket of the key. A batch reads and rewrites only the buckets of its keys, and
-    renumbers only its keys. The outcome is that of a rebuild from the whole log, however the log is cut into batches and
+    ``rows`` holds one numbered row per (key, seq) and is partitioned by a hash bucket of the key; ``counts`` holds how many
+    raw rows of each batch carry a (key, time, seq), by batch and bucket, so that a batch only adds to it. A batch reads and
+    rewrites only the buckets of its keys. One of up to ``FEW_ROWS`` rows renumbers only its keys; of a larger one the
+    buckets' other keys are numbered along, which gives them the numbers they have, instead of being told apart by
+    exchanges of all rows. The outcome is that of a rebuild from the whole log, however the log is cut into batches and
     in whatever order they come; applying a batch again changes nothing, so a failed step is repeated.
     """
 
@@ -40,7 +44,7 @@ class ChangeStore:
         self.columns, self.buckets = schema.fieldNames(), buckets
         version = "version_no long, _bucket int"
         self.row_schema = StructType([*schema.fields, *StructType.fromDDL(version).fields])
-        count = [schema[key], schema[op_ts], schema[seq], *StructType.fromDDL("_batch string, _rows long, _bucket int").fields]
+        count = [schema[key], schema[op_ts], schema[seq], *StructType.fromDDL("_rows long, _batch string, _bucket int").fields]
         self.count_schema = StructType(count)
 
     def _read(self, name: str, schema: StructType) -> DataFrame:
@@ -58,23 +62,25 @@ class ChangeStore:
         key, names = self.key, [self.key, self.op_ts, self.seq]
         bucket = F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
         staged = scratch_path(self.spark, "changes")
-        batch = scans.write_table(batch.select(*self.columns), f"{staged}/batch")  # read many times, computed once
-        touched = sorted(r[0] for r in batch.select(bucket).distinct().collect())  # at most as many as there are buckets
-        if not touched:
-            return []
+        batch = scans.write_table(batch.select(*self.columns), staged)  # read many times, computed once
+        with releasing(self.spark):
+            touched = sorted(r[0] for r in batch.select(bucket).distinct().collect())  # at most as many as there are buckets
+            if not touched:
+                return []
+            few = batch.count() <= FEW_ROWS
         here = F.col("_bucket").isin(touched)
         stored = self._read("rows", self.row_schema).where(here)
         counts = self._read("counts", self.count_schema).where(here & (F.col("_batch") != batch_id))
-        new_counts = batch.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows")).select(*names, F.lit(batch_id).alias("_batch"), "_rows", bucket.alias("_bucket"))
-        counts = counts.select(*new_counts.columns).unionByName(new_counts)
-        of_keys = _same_keys(counts, batch, [key], "left_semi").groupBy(*names).agg(F.sum("_rows").alias("_rows"))
-        rows = _same_keys(stored, batch, [key], "left_semi").select(*self.columns).unionByName(batch)
-        renumbered = numbered(keep_first(rows, [key, self.seq], [self.arrived, self.op_ts]), of_keys, key, op_ts=self.op_ts, seq=self.seq)
-        merged = _same_keys(stored, batch, [key], "left_anti").unionByName(renumbered.withColumn("_bucket", bucket))
-        for name, frame in (("rows", merged), ("counts", counts)):  # what is read is not yet replaced
-            frame.write.parquet(f"{staged}/{name}")
-        for name, schema in (("rows", self.row_schema), ("counts", self.count_schema)):
-            scans.overwrite_partitions(self.spark.read.schema(schema).parquet(f"{staged}/{name}"), f"{self.path}/{name}", "_bucket")
+        met, counted = (_same_keys(df, batch, [key], "left_semi") if few else df for df in (stored, counts))
+        merged = renumbered(met, batch, counted, key, op_ts=self.op_ts, seq=self.seq, arrived=self.arrived).withColumn("_bucket", bucket)
+        if few:
+            merged = _same_keys(stored, batch, [key], "left_anti").unionByName(merged)
+        # The rows first: if this ends between the two, the batch is not yet counted and a repetition counts it.
+        scans.replace_partitions(merged, f"{self.path}/rows", "_bucket")
+        raw = batch.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+        raw = raw.select(*names, "_rows", F.lit(batch_id).alias("_batch"), bucket.alias("_bucket"))
+        scans.replace_partitions(raw, f"{self.path}/counts", "_batch", "_bucket")
+        scans.drop_table(self.spark, staged)
         return touched
 
 

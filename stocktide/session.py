@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +37,34 @@ def local_session(cores: int | str = "*", memory: str = "12g", app: str = "stock
     return spark
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_releasing, _lock = Counter(), threading.Lock()
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go as soon as each job is over, not when the driver happens to collect its garbage.
+
+    For jobs whose result is stored or small: steps that follow each other then need disk for one step, not for all. Jobs
+    of several threads may be inside at once; the last one out puts the session's own setting back.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        if not _releasing[session]:
+            _releasing[session, "before"] = spark.conf.get(RELEASE, None)
+            spark.conf.set(RELEASE, "true")
+        _releasing[session] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _releasing[session] -= 1
+            if not _releasing[session]:
+                before = _releasing.pop((session, "before"))
+                del _releasing[session]
+                spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name in the shared folder the cluster names in ``spark.checkpoint.dir``.
 

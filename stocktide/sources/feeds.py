@@ -14,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.functions.cleaning import nan_to_null
+from stocktide.session import releasing
 from stocktide.sources import schemas
 
 
+COMPRESSION = "zstd"  # of stored tables: a quarter smaller than the default
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def scan_feed(
     spark: SparkSession,
     root: str,
@@ -96,19 +101,39 @@ def write_table(df: DataFrame, path: str, cluster_by: Iterable[str] = ()) -> Dat
     columns = [F.col(c) for c in cluster_by]
     if columns:
         df = df.hint("rebalance", *columns).sortWithinPartitions(*columns)
-    df.write.mode("overwrite").parquet(path)
+    with releasing(df.sparkSession):
+        df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions that ``df`` has rows for; all others stay as they are, files and all."""
-    spread = df.hint("rebalance", F.col(partition))
-    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(path)
+    """Replace the partitions that ``df`` has rows for; all others stay as they are, files and all.
+
+    ``df`` may read the partitions it replaces: old files go when the last task has ended.
+    """
+    replace_partitions(df.hint("rebalance", F.col(partition)), path, partition)
+
+
+def replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:
+    """The same, with the rows of a partition in as many files as there are tasks that hold some."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+    with releasing(df.sparkSession):
+        writer.partitionBy(*partitions).parquet(path)
+
+
+def append_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Add rows to partitions, new ones among them; no stored file is read or replaced."""
+    with releasing(df.sparkSession):
+        df.hint("rebalance", F.col(partition)).write.mode("append").option("compression", COMPRESSION).partitionBy(partition).parquet(path)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Remove a table that a step stored for itself."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[object]) -> None:
     """Remove whole partitions of a stored table."""
     for value in values:
-        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        drop_table(spark, f"{path}/{partition}={NULL_PARTITION if value is None else value}")

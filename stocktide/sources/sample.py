@@ -272,13 +272,30 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """
 
 
+# The same joins in another order, where Spark would take them as they are written: customers meet their orders before the
+# many lines do, which travel once less, and copies are made before parts are met, so that a condition on a line and its
+# copy is applied before lines travel. Rows and columns are those of the text above.
+ORDER = (
+    (
+        "JOIN orders o ON l.l_orderkey = o.o_orderkey\nJOIN customer c ON o.o_custkey = c.c_custkey\n",
+        "JOIN (orders o JOIN customer c ON o.o_custkey = c.c_custkey) ON l.l_orderkey = o.o_orderkey\n",
+    ),
+    (
+        "FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey\nJOIN (SELECT 0 AS copy UNION ALL SELECT 1) d ON d.copy = 0 OR l.l_orderkey % 60 = 0\n",
+        "FROM lineitem l JOIN (SELECT 0 AS copy UNION ALL SELECT 1) d ON d.copy = 0 OR l.l_orderkey % 60 = 0\nJOIN part p ON l.l_partkey = p.p_partkey\n",
+    ),
+)
+
+
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Run one adapter over the tables of ``sf_dir``; names in the text resolve to tables or earlier adapters."""
     text = SQL[name].replace("datediff('day', ", "datediff(DAY, ")
-    names = {w for w in re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text)}
+    for written, ordered in ORDER:
+        text = text.replace(written, ordered)
+    names = {w for w in re.findall(r"\b(?:FROM|JOIN)\s+\(?(\w+)", text)}
     inputs = {}
     for ref in names & {*TABLES, *SQL}:
         source = feed(spark, sf_dir, ref) if ref in SQL else spark.read.parquet(f"{sf_dir}/{ref}.parquet")
         inputs[ref] = source
-        text = re.sub(rf"\b(FROM|JOIN)\s+{ref}\b", rf"\1 {{{ref}}}", text)
+        text = re.sub(rf"\b(FROM|JOIN)\s+(\(?){ref}\b", rf"\1 \2{{{ref}}}", text)
     return spark.sql(text, **inputs)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from stocktide.operators import changes, dedup
+from stocktide.plans import incremental
 from stocktide.plans.incremental import ChangeStore, merge_late, stream_first
 from stocktide.sources import feeds as scans
 
@@ -109,3 +110,56 @@ def test_a_batch_is_computed_once(spark):
     scans.overwrite_partitions(lines, path, "part")
     merge_late(path, lines.where("id < 7").withColumn("v", marked("v")), ["id"], ["v"], "part")
     assert seen.value == len(rows) + 7
+
+
+def test_a_batch_adds_its_counts_and_leaves_those_of_others(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "FEW_ROWS", 0)  # a large batch numbers all keys of its buckets
+    draw = random.Random(9)
+    rows = log(draw, 80)
+    whole = spark.createDataFrame(rows, CHANGES)
+    path = tempfile.mkdtemp() + "/history"
+    store = ChangeStore(spark, path, whole.schema, "k", buckets=2)
+    counted = lambda: {f"{d}/{f}" for d in os.listdir(f"{path}/counts") if "one" in d for b in os.listdir(f"{path}/counts/{d}") for f in _files(f"{path}/counts/{d}/{b}")}
+    store.apply(spark.createDataFrame(rows[:30], CHANGES), "one")
+    before = counted()
+    store.apply(spark.createDataFrame(rows[30:], CHANGES), "two")
+    assert before and counted() == before
+    assert everything(store.history()) == everything(changes.version_history(whole, "k"))
+    store.apply(spark.createDataFrame(rows[:30], CHANGES), "one")  # once more: nothing changes
+    assert everything(store.history()) == everything(changes.version_history(whole, "k"))
+
+
+def test_history_and_batch_meet_in_one_exchange_and_hot_keys_are_cut(spark):
+    draw = random.Random(10)
+    rows = log(draw, 90)
+    stored = changes.version_history(spark.createDataFrame(rows[:40], CHANGES), "k").drop("version_no")
+    counts = spark.createDataFrame(rows[:40], CHANGES).groupBy("k", "op_ts", "seq").agg(F.count("*").alias("_rows"))
+    batch = spark.createDataFrame(rows[40:], CHANGES)
+    want = everything(changes.version_history(spark.createDataFrame(rows, CHANGES), "k"))
+    for hot_rows in (5, changes.HOT_ROWS):
+        assert everything(changes.renumbered(stored, batch, counts, "k", hot_rows=hot_rows)) == want
+    kept = [scans.write_table(df, tempfile.mkdtemp() + "/kept") for df in (stored, counts)]
+    plan = changes.renumbered(kept[0], batch, kept[1], "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    import glob
+    import time
+
+    from stocktide.session import RELEASE
+
+    spark.conf.set(RELEASE, "false")
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = files()
+    try:
+        scans.write_table(spark.range(1000).repartition(3, "id"), tempfile.mkdtemp() + "/step")
+        assert spark.conf.get(RELEASE) == "false"
+    finally:
+        spark.conf.unset(RELEASE)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
