@@ -85,28 +85,38 @@ class ChangeStore:
 
 
 def merge_late(path: str, late: DataFrame, keys: Sequence[str], order: Sequence[str], partition: str) -> list:
-    """Merge late rows into a stored table of first deliveries; the partitions that were rewritten.
+    """Merge late rows into a stored table of first deliveries; the partitions whose rows changed.
 
     The table at ``path`` has one row per key, the first by ``order``, and is partitioned by ``partition``, a column of
     the rows. A late row may be new, may lose against the stored copy, or may replace it, in another partition too. Only
-    partitions whose rows change are rewritten; one that loses its last row goes.
+    partitions that lose a row are rewritten, and one that loses its last row goes; where rows only come, they are added in
+    files of their own. Of the stored rows the keys alone are exchanged, to find the rows that late ones meet.
     """
     spark, staged = late.sparkSession, scratch_path(late.sparkSession, "late")
-    late = scans.write_table(late, f"{staged}/late")  # read many times, computed once; so are the rows it meets
-    stored = spark.read.schema(late.schema).parquet(path).select(*late.columns)
-    before = scans.write_table(_same_keys(stored, late, keys, "left_semi"), f"{staged}/before")
-    after = scans.write_table(keep_first(before.unionByName(late), keys, order), f"{staged}/after")
-    changed = after.exceptAll(before).union(before.exceptAll(after)).select(partition).distinct()
-    values = sorted(r[0] for r in changed.collect())  # partitions of the table at most
-    if not values:
-        return []
-    here = F.col(partition).isin(values)
-    merged = _same_keys(stored.where(here), late, keys, "left_anti").unionByName(after.where(here))
-    merged = scans.write_table(merged, f"{staged}/merged")
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    scans.overwrite_partitions(merged, path, partition)
-    scans.drop_partitions(spark, path, partition, [v for v in values if v not in left])
-    return values
+    late = scans.write_table(late, f"{staged}/late")  # read many times, computed once
+    stored, value = spark.read.schema(late.schema).parquet(path).select(*late.columns), F.col(partition)
+    met = scans.write_table(_same_keys(stored.select(*keys), late, keys, "left_semi"), f"{staged}/met")
+    before = scans.write_table(_same_keys(stored, met, keys, "left_semi"), f"{staged}/before")
+    # Of equal rows the stored one comes first, as all columns before the mark are equal.
+    both = before.withColumn("_late", F.lit(False)).unionByName(late.withColumn("_late", F.lit(True)))
+    came = scans.write_table(keep_first(both, keys, order).where("_late").drop("_late"), f"{staged}/came")
+    replaced = scans.write_table(_same_keys(before, came, keys, "left_semi"), f"{staged}/replaced")
+    with releasing(spark):
+        lost, gained = ({r[0] for r in df.select(partition).distinct().collect()} for df in (replaced, came))  # partitions of the table at most
+
+    def within(values: set) -> Column:
+        return value.isin([v for v in values if v is not None]) | (value.isNull() if None in values else F.lit(False))
+
+    if lost:
+        merged = _same_keys(stored.where(within(lost)), replaced, keys, "left_anti").unionByName(came.where(within(lost)))
+        with releasing(spark):
+            left = {r[0] for r in merged.select(partition).distinct().collect()}
+        scans.overwrite_partitions(merged, path, partition)
+        scans.drop_partitions(spark, path, partition, [v for v in lost if v not in left])
+    if gained - lost:
+        scans.append_partitions(came.where(within(gained - lost)), path, partition)
+    scans.drop_table(spark, staged)
+    return sorted(lost | gained, key=lambda v: (v is not None, v))
 
 
 def stream_first(spark: SparkSession, source: str, schema: StructType, target: str, keys: Sequence[str], at: Column, within: str) -> DataFrame:

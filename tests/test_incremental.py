@@ -143,6 +143,19 @@ def test_history_and_batch_meet_in_one_exchange_and_hot_keys_are_cut(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_late_rows_are_added_where_no_row_goes(spark):
+    schema = "id long, arrived int, v string, month string"
+    path = tempfile.mkdtemp() + "/table"
+    first = [(1, 1, "a", "m1"), (2, 2, "b", "m2"), (3, 2, "c", None), (4, 2, "d", None)]
+    late = [(5, 3, "new", "m1"), (2, 1, "wins", "m2"), (3, 1, "moves", "m3"), (2, 2, "b", "m2"), (6, 1, "new", None)]
+    scans.overwrite_partitions(spark.createDataFrame(first, schema), path, "month")
+    before = _files(f"{path}/month=m1")
+    assert merge_late(path, spark.createDataFrame(late, schema), ["id"], ["arrived"], "month") == [None, "m1", "m2", "m3"]
+    assert set(before) < set(_files(f"{path}/month=m1"))
+    want = everything(dedup.keep_first(spark.createDataFrame(first + late, schema), ["id"], ["arrived"]))
+    assert everything(spark.read.schema(schema).parquet(path).select("id", "arrived", "v", "month")) == want
+
+
 def test_a_stored_step_leaves_no_shuffle_files(spark):
     import glob
     import time
