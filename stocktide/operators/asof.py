@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from stocktide.operators.changes import HOT_ROWS, hot_keys, of_keys
+from stocktide.functions.numbers import count_where
+from stocktide.operators.changes import HOT_ROWS, by_heat, hot_keys, of_keys
 
 NO_TIME = "0001-01-01"
 # A (key, day) is hot above HOT_ROWS facts and above its share of them all; so there are at most SHARE hot ones.
@@ -174,61 +175,76 @@ def asof_join(
     ))
 
 
-def window_defects(versions: DataFrame, *, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+def window_defects(
+    versions: DataFrame, *, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Versions that begin before an earlier one has ended (``overlaps``) or after all earlier ones have (``gap``).
 
-    Reads the stored windows as they are. One row per version; the latest end of earlier days comes from one row per
-    (key, day), so no key is sorted whole in one task.
+    Reads the stored windows as they are. One row per version. A key is windowed whole unless it has more than ``hot_rows``
+    versions; of a hot one the latest end of earlier days comes from one row per (key, day).
     """
-    day = _day(F.col(key), F.col(valid_from))
-    ends = versions.groupBy(day.alias("_day")).agg(F.max(valid_to).alias("_end"))
-    by_day = Window.partitionBy("_day.k").orderBy("_day.d").rowsBetween(Window.unboundedPreceding, -1)
-    before = ends.select("_day", F.max("_end").over(by_day).alias(valid_to), F.lit(0).alias("_kind")).where(F.col(valid_to).isNotNull())
-    rows = versions.withColumn("_day", day).withColumn("_kind", F.lit(1))
-    in_day = Window.partitionBy("_day").orderBy("_kind", valid_from, valid_to).rowsBetween(Window.unboundedPreceding, -1)
-    latest = F.col("_latest")
-    return (
-        rows.unionByName(before, allowMissingColumns=True)
-        .withColumn("_latest", F.max(valid_to).over(in_day))
-        .where("_kind = 1")
-        .select(
+    latest, day = F.col("_latest"), _day(F.col(key), F.col(valid_from))
+
+    def usual(rows: DataFrame) -> DataFrame:
+        in_key = Window.partitionBy(key).orderBy("_date", valid_from, valid_to).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn("_date", day["d"]).withColumn("_latest", F.max(valid_to).over(in_key))
+
+    def cut(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy(day.alias("_day")).agg(F.max(valid_to).alias("_end"))
+        by_day = Window.partitionBy("_day.k").orderBy("_day.d").rowsBetween(Window.unboundedPreceding, -1)
+        before = ends.select("_day", F.max("_end").over(by_day).alias(valid_to), F.lit(0).alias("_kind")).where(F.col(valid_to).isNotNull())
+        in_day = Window.partitionBy("_day").orderBy("_kind", valid_from, valid_to).rowsBetween(Window.unboundedPreceding, -1)
+        both = rows.withColumn("_day", day).withColumn("_kind", F.lit(1)).unionByName(before, allowMissingColumns=True)
+        return both.withColumn("_latest", F.max(valid_to).over(in_day)).where("_kind = 1")
+
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.select(
             *versions.columns,
             F.coalesce(F.col(valid_from) < latest, F.lit(False)).alias("overlaps"),
             F.coalesce(F.col(valid_from) > latest, F.lit(False)).alias("gap"),
         )
-    )
+
+    return by_heat(versions, key, hot_keys(versions, key, hot_rows), lambda rows: marked(usual(rows)), lambda rows: marked(cut(rows)))
 
 
 def moments_matched(
     facts: DataFrame, versions: DataFrame, *, fact_key: str, fact_ts: str, version_key: str,
-    valid_from: str = "valid_from", valid_to: str = "valid_to",
+    valid_from: str = "valid_from", valid_to: str = "valid_to", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For each (key, time) of the facts, how many facts it has and how many versions hold it: what a range join gives.
 
-    Nothing is paired: a version opens at its start and closes at its end, and the open ones are a running sum, carried
+    Nothing is paired: a version opens at its start and closes at its end, and the open ones are a running sum. Facts and
+    versions of a key with at most ``hot_rows`` of both are exchanged once, by key; of a hot one the sum is carried
     from day to day by one row per (key, day). Facts without a key or a time are held by none.
     """
-    moments = facts.groupBy(F.col(fact_key).alias("key"), F.col(fact_ts).alias("at")).agg(F.count(F.lit(1)).alias("facts"))
-    usable = versions.where(F.col(version_key).isNotNull() & (F.col(valid_from) < F.col(valid_to)))
-    edges = F.array(F.struct(F.col(valid_from).alias("at"), F.lit(1).alias("step")), F.struct(F.col(valid_to).alias("at"), F.lit(-1).alias("step")))
-    steps = (
-        usable.select(F.col(version_key).alias("key"), F.explode(edges).alias("_e"))
-        .groupBy("key", F.col("_e.at").alias("at"))
-        .agg(F.sum("_e.step").alias("_step"))
-    )
-    known = moments.where("key IS NOT NULL AND at IS NOT NULL")
-    both = known.unionByName(steps, allowMissingColumns=True).groupBy("key", "at").agg(F.max("facts").alias("facts"), F.max("_step").alias("_step"))
-    both = both.withColumn("_day", _day(F.col("key"), F.col("at")))
-    by_day = Window.partitionBy("_day.k").orderBy("_day.d").rowsBetween(Window.unboundedPreceding, -1)
-    carried = both.groupBy("_day").agg(F.sum("_step").alias("_of_day")).select("_day", F.sum("_of_day").over(by_day).alias("_step"))
-    in_day = Window.partitionBy("_day").orderBy(F.asc_nulls_first("at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    held = (
-        both.unionByName(carried.where("_step <> 0"), allowMissingColumns=True)
-        .withColumn("versions", F.coalesce(F.sum("_step").over(in_day), F.lit(0)))
-        .where("facts IS NOT NULL")
-        .select("key", "at", "facts", "versions")
+    moments = facts.select(F.col(fact_key).alias("key"), F.col(fact_ts).alias("at"))
+    unheld = F.col("key").isNull() | F.col("at").isNull()
+    usable = versions.where(F.col(version_key).isNotNull() & (F.col(valid_from) < F.col(valid_to))).select(
+        F.col(version_key).alias("key"), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to")
     )
-    return held.unionByName(moments.where("key IS NULL OR at IS NULL").withColumn("versions", F.lit(0).cast("long")))
+    edges = F.array(F.struct(F.col("_from").alias("at"), F.lit(1).alias("step")), F.struct(F.col("_to").alias("at"), F.lit(-1).alias("step")))
+    rows = moments.where(~unheld).unionByName(usable, allowMissingColumns=True)
+
+    def summed(rows: DataFrame) -> DataFrame:
+        """One row for each (key, time): facts, or NULL where there are none, and by how much the versions that hold it change."""
+        step = F.when(F.col("_from").isNull(), F.array(F.struct("at", F.lit(None).cast("int").alias("step")))).otherwise(edges)
+        each = rows.select("key", F.explode(step).alias("_e")).select("key", "_e.at", "_e.step")
+        return each.groupBy("key", "at").agg(F.nullif(count_where(F.col("step").isNull()), F.lit(0)).alias("facts"), F.sum("step").alias("_step"))
+
+    def held(summed: DataFrame, window: Window) -> DataFrame:
+        running = F.sum("_step").over(window.orderBy(F.asc_nulls_first("at")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return summed.withColumn("versions", F.coalesce(running, F.lit(0))).where("facts IS NOT NULL").select("key", "at", "facts", "versions")
+
+    def cut(rows: DataFrame) -> DataFrame:
+        both = summed(rows).withColumn("_day", _day(F.col("key"), F.col("at")))
+        by_day = Window.partitionBy("_day.k").orderBy("_day.d").rowsBetween(Window.unboundedPreceding, -1)
+        carried = both.groupBy("_day").agg(F.sum("_step").alias("_of_day")).select("_day", F.sum("_of_day").over(by_day).alias("_step"))
+        return held(both.unionByName(carried.where("_step <> 0"), allowMissingColumns=True), Window.partitionBy("_day"))
+
+    hot = hot_keys(rows, "key", hot_rows)
+    # Dealt by key before times are summed, so that the sums and the running sum need no exchange of their own.
+    known = by_heat(rows, "key", hot, lambda rows: held(summed(rows.repartition("key")), Window.partitionBy("key")), cut)
+    return known.unionByName(moments.where(unheld).groupBy("key", "at").agg(F.count(F.lit(1)).alias("facts")).withColumn("versions", F.lit(0).cast("long")))
 
 
 def _day(key: Column, ts: Column) -> Column:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stocktide.operators import asof, changes, completeness, dedup, quantiles, reconcile
+from stocktide.sources import feeds as scans
 
 
 def ts(day, hour=0, minute=0):
@@ -365,3 +366,31 @@ def test_asof_join_of_ordinary_keys_meets_versions_in_one_window(spark):
     for hot_rows in (200_000, 4, 0):
         got = asof.asof_join(f, versions, hot_rows=hot_rows, **args).collect()
         assert len(got) == len(facts) and {r["id"]: r["label"] for r in got} == want
+
+
+def test_windows_and_moments_of_hot_keys_are_those_of_ordinary_ones(spark):
+    rng = random.Random(5)
+    at = lambda days: ts(rng.randrange(days), rng.choice([0, 0, 7, 15])) if rng.random() < 0.95 else None
+    versions = []
+    for n in range(150):
+        start = at(12)
+        end = start + dt.timedelta(hours=rng.choice([0, 5, 24, 70])) if start else at(12)
+        versions.append((rng.choice(["hot", "hot", "a", "b", None]), n, start, end))
+    facts = [(rng.choice(["hot", "hot", "a", "none", None]), at(14)) for _ in range(300)]
+    v = spark.createDataFrame(versions + versions[:9], "k string, version_no int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    f = spark.createDataFrame(facts, "key string, at timestamp_ntz")
+    names = {"fact_key": "key", "fact_ts": "at", "version_key": "k"}
+    whole, parted, cut = ([sorted(map(str, df.collect())) for df in (
+        asof.moments_matched(f, v, **names, hot_rows=n), asof.window_defects(v, key="k", hot_rows=n).drop("version_no"))] for n in (1000, 40, 0))
+    assert whole == parted == cut and len(whole[1]) == len(versions) + 9
+
+
+def test_windows_and_moments_are_exchanged_once(spark, tmp_path):
+    day = F.col("id").cast("int") % 50
+    rows = spark.range(400).select((F.col("id") % 7).cast("string").alias("k"), F.date_add(F.lit("2025-01-01"), day).cast("timestamp_ntz").alias("at"))
+    facts = scans.write_table(rows, f"{tmp_path}/facts")
+    windows = scans.write_table(rows.select("k", F.col("at").alias("valid_from"), (F.col("at") + F.expr("INTERVAL 3 DAYS")).alias("valid_to")), f"{tmp_path}/windows")
+    dealt = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert dealt(asof.window_defects(windows, key="k")) == 1
+    # one for the keys, one for the facts without a key or a time
+    assert dealt(asof.moments_matched(facts, windows, fact_key="k", fact_ts="at", version_key="k")) == 2
