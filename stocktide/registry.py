@@ -787,7 +787,8 @@ def check_dedup_counts(m: Models) -> DataFrame:
         "wms_scan_events": m.stg_wms_scan_events, "erp_cdc/outlet_master": m.stg_outlet_history,
         "erp_cdc/product_master": m.stg_product_history, "erp_cdc/sales_order_header": m.stg_sales_order_header,
     }
-    return checks.dedup_counts({n: (m.feeds.raw[n], s) for n, s in staged.items()})
+    # Feed by feed, so that disk holds the shuffled rows of one feed at a time.
+    return reduce(DataFrame.unionByName, [kept(checks.dedup_counts({n: (m.feeds.raw[n], s)}), "counts") for n, s in staged.items()])
 
 
 @query

@@ -76,3 +76,10 @@ def test_a_month_of_the_first_build_is_not_a_file_of_each_task(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     months = [f.rsplit("/", 2)[1] for f in files if "/first/" in f]
     assert len(months) == len(set(months)) > 50
+
+
+@pytest.mark.parametrize("name", ["check_dedup_counts"])
+def test_feeds_are_counted_one_after_another(spark, name):
+    """What is returned reads stored counts: no feed's shuffled rows wait for those of the next."""
+    files = QUERIES[name](spark, SF).inputFiles()
+    assert files and all("/counts-" in f for f in files)
