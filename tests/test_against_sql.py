@@ -78,7 +78,7 @@ def test_a_month_of_the_first_build_is_not_a_file_of_each_task(spark):
     assert len(months) == len(set(months)) > 50
 
 
-@pytest.mark.parametrize("name", ["check_dedup_counts"])
+@pytest.mark.parametrize("name", ["check_dedup_counts", "model_row_counts"])
 def test_feeds_are_counted_one_after_another(spark, name):
     """What is returned reads stored counts: no feed's shuffled rows wait for those of the next."""
     files = QUERIES[name](spark, SF).inputFiles()
