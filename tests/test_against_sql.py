@@ -83,3 +83,15 @@ def test_feeds_are_counted_one_after_another(spark, name):
     """What is returned reads stored counts: no feed's shuffled rows wait for those of the next."""
     files = QUERIES[name](spark, SF).inputFiles()
     assert files and all("/counts-" in f for f in files)
+
+
+def test_build_keeps_no_step(spark, tmp_path):
+    import os
+
+    from stocktide.plans.warehouse import Feeds, Models
+
+    lazy, stored = (Models(Feeds.from_tables(spark, SF), store) for store in (None, str(tmp_path / "tables")))
+    sales = stored.fct_sales
+    assert set(os.listdir(tmp_path / "tables")) == {"stg_pos_transactions", "stg_outlet_history", "stg_product_history", "dim_outlet", "dim_product", "fct_sales"}
+    assert sales.drop("outlet_version_no", "product_version_no").exceptAll(lazy.fct_sales).isEmpty()
+    assert sales.count() == lazy.fct_sales.count()

@@ -216,3 +216,18 @@ def test_noise_profile_keeps_a_version_one_row(spark):
     """No row for each attribute: a version is not multiplied on its way to the counts."""
     _, outlets = outlet_versions(spark)
     assert "Expand" not in limits.noise_profile(outlets)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_each_point_in_time_join_is_a_step_of_its_own(spark):
+    """What a join gives can be stored before the next one shuffles; results stay the same."""
+    facts = [(1, 1, "o1", "s1", dt.datetime(2025, 1, 1)), (2, 1, "o2", None, dt.datetime(2025, 1, 3)), (3, 1, None, "s1", None)]
+    sales = spark.createDataFrame(facts, "txn_id int, txn_line_no int, outlet_code string, sku_code string, event_ts_ist timestamp_ntz")
+    window = (7, dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31))
+    outlets, products = (
+        spark.createDataFrame([(f"{c[0]}1", *window)], f"{c} string, version_no bigint, valid_from timestamp_ntz, valid_to timestamp_ntz")
+        for c in ("outlet_code", "sku_code")
+    )
+    seen = []
+    got = marts.with_versions(sales, outlets, products, step=lambda df: seen.append(df.columns[-1]) or df)
+    assert seen == list(marts.VERSION_KEYS)
+    assert sorted((r[0], r[5], r[6]) for r in got.collect()) == [(1, 7, 7), (2, None, None), (3, None, None)]
