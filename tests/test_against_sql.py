@@ -85,6 +85,11 @@ def test_feeds_are_counted_one_after_another(spark, name):
     assert files and all("/counts-" in f for f in files)
 
 
+def test_flat_columns_store_what_the_first_join_gives(spark):
+    files = QUERIES["rpt_sales_flat"](spark, SF).inputFiles()
+    assert any("/with_products/" in f for f in files) and not any("/lines/" in f for f in files)
+
+
 def test_build_keeps_no_step(spark, tmp_path):
     import os
 
